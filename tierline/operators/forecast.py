@@ -88,17 +88,16 @@ def fit(train: DataFrame, trees: int = TREES, max_depth: int | None = MAX_DEPTH)
 
 
 def error_metrics(predicted: DataFrame, label: str = LABEL, prediction: str = PREDICTION) -> DataFrame:
-    """One row ``(mae, r2, rows)`` over rows with a label and a prediction.
+    """One row ``(mae, r2, rows)``; R2 is NULL if the label does not vary.
 
-    R2 is NULL if the label does not vary. The spread of the label is taken about its
-    mean from a first pass, since the one-pass formula cancels for large amounts.
+    One pass: the spread of the label is a variance, which Spark merges from partial
+    moments without the cancellation a difference of sums would bring.
     """
     y, p = F.col(label), F.col(prediction)
-    mean = predicted.agg(F.avg(y)).scalar()
     sums = predicted.agg(
         F.avg(F.abs(y - p)).alias("mae"),
-        F.sum((y - p) * (y - p)).alias("residual"),
-        F.sum((y - mean) * (y - mean)).alias("spread"),
+        F.avg((y - p) * (y - p)).alias("residual"),
+        F.var_pop(y).alias("spread"),
         F.count(F.lit(1)).alias("rows"),
     )
     r2 = F.when(F.col("spread") > 0, 1 - F.col("residual") / F.col("spread"))

@@ -77,7 +77,8 @@ def nearest(documents: DataFrame, query: Column, k: int = TOP_K) -> DataFrame:
     """
     columns = [c for c in documents.columns if c != "embedding"]
     return (
-        documents.select(*columns, squared_l2(F.col("embedding"), query).alias("distance"))
+        documents.withColumn("_query", query)
+        .select(*columns, squared_l2(F.col("embedding"), F.col("_query")).alias("distance"))
         .orderBy("distance", "id")
         .limit(k)
     )

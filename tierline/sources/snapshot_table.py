@@ -12,7 +12,8 @@ handles grows with the number of partitions only. One writer per table at a time
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from urllib.parse import unquote
@@ -29,6 +30,7 @@ _SNAPSHOT_SCHEMA = (
     "operation STRING, source_version BIGINT, committed_at TIMESTAMP"
 )
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+_IN = "_in_partition"
 
 
 @dataclass(frozen=True)
@@ -127,6 +129,18 @@ def _written_folders(spark: SparkSession, root: str, depth: int) -> list[str]:
     return ["/".join(p.split("/")[-depth:]) for p in found]
 
 
+@contextmanager
+def _all_cores(spark: SparkSession) -> Iterator[None]:
+    """Let even a small write use every core: with many partitions, files cost more than bytes."""
+    name = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "64kb")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _stage_version(
     df: DataFrame, table: str, partition_by: tuple[str, ...], spread: bool = True
 ) -> tuple[int, list[str]]:
@@ -143,7 +157,8 @@ def _stage_version(
     writer = out.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(root)
+    with _all_cores(spark):
+        writer.parquet(root)
     return version, _written_folders(spark, root, len(partition_by))
 
 
@@ -202,16 +217,14 @@ def overwrite(
     )
 
 
-def _partition_text(partition_by: tuple[str, ...]) -> list[Column]:
-    """Partition values as they stand in folder names; for string, integer and date columns."""
-    return [
-        F.coalesce(F.col(c).cast("string"), F.lit(NULL_PARTITION)).alias(f"_in_{c}")
-        for c in partition_by
-    ]
+def _partition_text(partition_by: tuple[str, ...]) -> Column:
+    """A row's partition as its folder name has it; for string, integer and date columns."""
+    values = [F.coalesce(F.col(c).cast("string"), F.lit(NULL_PARTITION)) for c in partition_by]
+    return F.concat_ws("/", *values).alias(_IN)
 
 
-def _folder_values(folder: str) -> tuple[str, ...]:
-    return tuple(unquote(part.split("=", 1)[1]) for part in folder.split("/"))
+def _folder_text(folder: str) -> str:
+    return "/".join(unquote(part.split("=", 1)[1]) for part in folder.split("/"))
 
 
 def _refuse_ambiguous(current: DataFrame, updates: DataFrame, keys: list[str]) -> None:
@@ -222,21 +235,17 @@ def _refuse_ambiguous(current: DataFrame, updates: DataFrame, keys: list[str]) -
         raise DuplicateSourceKeys(f"update rows repeat a key of the table: {', '.join(keys)}")
 
 
-def _touched_folders(
-    current: DataFrame, updates: DataFrame, keys: list[str], snap: Snapshot
+def _touched(
+    current: DataFrame, updates: DataFrame, keys: list[str], by: tuple[str, ...]
 ) -> list[str]:
-    """Folders an upsert has to rewrite: where matches lie now, and where updates go."""
-    by = snap.partition_by
-    if not by:
-        return list(snap.folders)
-    places = updates.select(*_partition_text(by))
+    """Partitions an upsert has to rewrite: where matches lie now, and where updates go."""
+    places = updates.select(_partition_text(by))
     if not set(by) <= set(keys):
-        matches = current.select(*keys, *_partition_text(by)).join(
+        matches = current.select(*keys, _partition_text(by)).join(
             updates.select(*keys), keys, "left_semi"
         )
-        places = places.union(matches.select(*[f"_in_{c}" for c in by]))
-    touched = {tuple(r) for r in places.distinct().collect()}
-    return [f for f in snap.folders if _folder_values(f) in touched]
+        places = places.union(matches.select(_IN))
+    return [r[0] for r in places.distinct().collect()]  # one row per partition
 
 
 def upsert(
@@ -259,10 +268,13 @@ def upsert(
     current = read_folders(spark, table, snap)
     with staged(updates, "updates") as changes:
         _refuse_ambiguous(current, changes, keys)
-        rewritten = _touched_folders(current, changes, keys, snap)
-        kept = read_folders(spark, table, snap, rewritten).join(
-            changes.select(*keys), keys, "left_anti"
-        )
+        rewritten, old = list(snap.folders), current
+        if snap.partition_by:
+            touched = _touched(current, changes, keys, snap.partition_by)
+            rewritten = [f for f in snap.folders if _folder_text(f) in set(touched)]
+            # On partition columns only, so it selects folders and no row is tested.
+            old = current.filter(_partition_text(snap.partition_by).isin(touched))
+        kept = old.join(changes.select(*keys), keys, "left_anti")
         merged = kept.unionByName(changes, allowMissingColumns=True)
         merged = merged.select(*_evolved(snap.schema, changes.schema))
         return replace_folders(

@@ -70,7 +70,12 @@ def optimize(
     ]
     if not rewritten:
         return None
-    pieces = max(1, math.ceil(sum(chosen.values()) / target_bytes))
+    # At least one task per core while there are folders to go round: a cut through a
+    # folder adds one file, and with many small folders files cost more than bytes.
+    pieces = max(
+        math.ceil(sum(chosen.values()) / target_bytes),
+        min(len(rewritten), spark.sparkContext.defaultParallelism),
+    )
     rows = snapshot_table.read_folders(spark, table, snap, rewritten)
     order = [*snap.partition_by, *([cluster_by] if cluster_by else [])]
     packed = rows.repartitionByRange(pieces, *order, F.xxhash64(*rows.columns))
