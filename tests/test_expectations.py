@@ -1,0 +1,96 @@
+from functools import reduce
+
+import pytest
+from conftest import ids
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tierline.operators import expectations as ex
+from tierline.operators.expectations import Expectation
+
+
+@pytest.fixture
+def frame(spark):
+    return spark.createDataFrame([(1, 5), (2, -1), (3, 10), (4, None)], "id BIGINT, val BIGINT")
+
+
+def test_unknown_action_is_refused():
+    with pytest.raises(ValueError, match="unknown action"):
+        Expectation("typo", "val > 0", "quarentine")
+
+
+@pytest.mark.parametrize("action", ["drop", "fail", "quarantine"])
+def test_known_actions(action):
+    assert Expectation("ok", "val > 0", action).action == action
+
+
+def test_drop(frame):
+    rule = Expectation("positive", "val > 0", "drop")
+    good, bad = rule.split(frame)
+    assert ids(good, "id") == {1, 3} and bad is None
+    assert ids(rule.apply(frame), "id") == {1, 3}
+
+
+def test_quarantine_loses_no_row(frame):
+    good, bad = Expectation("positive", "val > 0", "quarantine").split(frame)
+    assert ids(good, "id") == {1, 3}
+    assert ids(bad, "id") == {2, 4}
+    assert {"_expectation", "_rejected_at"} <= set(bad.columns)
+
+
+def test_null_may_count_as_neither(frame):
+    good, bad = Expectation("positive", "val > 0", "quarantine", null_is_violation=False).split(frame)
+    assert ids(good, "id") == {1, 3}
+    assert ids(bad, "id") == {2}
+
+
+def test_fail(frame):
+    with pytest.raises(ValueError, match="failed on 2 rows"):
+        Expectation("positive", "val > 0", "fail").split(frame)
+    with pytest.raises(ValueError, match="failed on 1 rows: val > 0"):
+        Expectation("positive", "val > 0", "fail", null_is_violation=False).split(frame)
+    good, bad = Expectation("positive", "val > 0", "fail").split(frame.filter("val > 0"))
+    assert ids(good, "id") == {1, 3} and bad is None
+
+
+RULES = st.lists(
+    st.tuples(
+        st.sampled_from(["val > 0", "other < 5", "val + other > 2", "id % 2 = 0"]),
+        st.sampled_from(["drop", "quarantine"]),
+        st.booleans(),
+    ),
+    min_size=1,
+    max_size=4,
+)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rules=RULES)
+def test_one_pass_equals_the_chain(spark, rules):
+    values = [None, -1, 3, 7]
+    rows = [(i, v, o) for i, (v, o) in enumerate((v, o) for v in values for o in values)]
+    df = spark.createDataFrame(rows, "id BIGINT, val BIGINT, other BIGINT")
+    chain = [Expectation(f"r{i}", *r) for i, r in enumerate(rules)]
+    tagged = ex.tag(df, chain)
+
+    left, caught = df, []
+    for rule in chain:
+        left, bad = rule.split(left)
+        if bad is not None:
+            caught.append(bad.select("id", F.lit(rule.name).alias("rule")))
+    assert ids(ex.kept(tagged), "id") == ids(left, "id")
+    expected = {tuple(r) for r in reduce(lambda a, b: a.union(b), caught).collect()} if caught else set()
+    got = {tuple(r) for r in ex.quarantined(tagged, chain).select("id", "_expectation").collect()}
+    assert got == expected
+
+
+def test_violation_counts(frame):
+    rules = [Expectation("known", "val IS NOT NULL", "drop"), Expectation("positive", "val > 0", "quarantine")]
+    tagged = ex.tag(frame, rules)
+    assert ex.violation_counts(tagged, rules) == {"known": 1, "positive": 1}
+    rows = {r["expectation"]: r["rows"] for r in ex.violations(tagged, rules).collect()}
+    assert rows == {"known": 1, "positive": 1}
+    watched, watch = ex.observed(tagged, rules)
+    watched.write.format("noop").mode("overwrite").save()
+    assert watch.get == {"known": 1, "positive": 1}

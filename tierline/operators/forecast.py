@@ -87,21 +87,26 @@ def fit(train: DataFrame, trees: int = TREES, max_depth: int | None = MAX_DEPTH)
     return Pipeline(stages=[assembler, forest]).fit(placed)
 
 
-def error_metrics(predicted: DataFrame, label: str = LABEL, prediction: str = PREDICTION) -> DataFrame:
-    """One row ``(mae, r2, rows)``; R2 is NULL if the label does not vary.
+def error_metrics(
+    predicted: DataFrame,
+    label: str = LABEL,
+    prediction: str = PREDICTION,
+    by: tuple[str, ...] = (),
+) -> DataFrame:
+    """``(mae, r2, rows)`` in one row, or one row per ``by``; R2 is NULL if the label is constant.
 
     One pass: the spread of the label is a variance, which Spark merges from partial
     moments without the cancellation a difference of sums would bring.
     """
     y, p = F.col(label), F.col(prediction)
-    sums = predicted.agg(
+    sums = predicted.groupBy(*by).agg(
         F.avg(F.abs(y - p)).alias("mae"),
-        F.avg((y - p) * (y - p)).alias("residual"),
-        F.var_pop(y).alias("spread"),
+        F.avg((y - p) * (y - p)).alias("_residual"),
+        F.var_pop(y).alias("_spread"),
         F.count(F.lit(1)).alias("rows"),
     )
-    r2 = F.when(F.col("spread") > 0, 1 - F.col("residual") / F.col("spread"))
-    return sums.select("mae", r2.alias("r2"), "rows")
+    r2 = F.when(F.col("_spread") > 0, 1 - F.col("_residual") / F.col("_spread"))
+    return sums.select(*by, "mae", r2.alias("r2"), "rows")
 
 
 def train(

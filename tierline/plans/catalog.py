@@ -7,7 +7,6 @@ return what is read back. Times of the run itself are left out of the results.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -461,16 +460,10 @@ def jobs_declarative_daily(spark, sf_dir):
 def forecast_error_metrics(spark, sf_dir):
     """Errors of the simplest forecasts: each lag feature taken as the prediction."""
     rows = features.lag_features(_daily(spark, sf_dir))
-    scored = [
-        forecast.error_metrics(rows, prediction=c).select(
-            F.lit(c).alias("forecast"),
-            F.round("mae", 2).alias("mae"),
-            F.round("r2", 6).alias("r2"),
-            "rows",
-        )
-        for c in ("lag_1", "lag_7", "rolling_3")
-    ]
-    return reduce(DataFrame.union, scored)
+    forecasts = rows.unpivot("gross_revenue", ["lag_1", "lag_7", "rolling_3"], "forecast", "value")
+    return forecast.error_metrics(forecasts, prediction="value", by=("forecast",)).select(
+        "forecast", F.round("mae", 2).alias("mae"), F.round("r2", 6).alias("r2"), "rows"
+    )
 
 
 @_query
