@@ -41,7 +41,10 @@ def customer_documents(ltv: DataFrame) -> DataFrame:
 
 
 def fit_embedder(documents: DataFrame, dimensions: int = DIMENSIONS) -> PipelineModel:
-    """Text to unit vectors of hashed, rarity-weighted words; one pass to count words."""
+    """Text to unit vectors of hashed, rarity-weighted words; one pass to count words.
+
+    A text whose words all occur in every document gives the zero vector.
+    """
     stages = [
         RegexTokenizer(inputCol="text", outputCol="_words", pattern=r"\W+"),
         HashingTF(inputCol="_words", outputCol="_tf", numFeatures=dimensions),
