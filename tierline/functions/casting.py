@@ -5,24 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Whitespace and ISO control characters, which a string-to-int cast ignores at both ends.
-_EDGES = r"^[\x00-\x20\x7f-\x9f]+|[\x00-\x20\x7f-\x9f]+$"
-_DECIMAL = r"^([+-]?)(\d*)(?:\.\d*)?$"
-_HAS_VALUE = r"^[+-]?(?:\d|\.)"
+# A decimal number, with the whitespace and control characters a cast ignores at both ends.
+_EDGE = r"[\x00-\x20\x7f-\x9f]*"
+_FRACTIONAL = rf"^{_EDGE}([+-]?)(\d*)\.\d*{_EDGE}$"
 
 
 def int_or_null(c: Column) -> Column:
     """String to int; a fraction is cut off and anything else is NULL.
 
     The plain cast answers for whole numbers. Only rows it cannot read reach the
-    regular expressions, since ``coalesce`` stops at the first value.
+    regular expression, since ``coalesce`` stops at the first value. The sign, a zero
+    and the digits before the point are kept, so that ".5" reads as 0.
     """
-    body = F.regexp_replace(c, _EDGES, "")
-    whole = F.concat(
-        F.regexp_extract(body, _DECIMAL, 1), F.lit("0"), F.regexp_extract(body, _DECIMAL, 2)
-    )
-    fractional = F.when(body.rlike(_DECIMAL) & body.rlike(_HAS_VALUE), whole.try_cast("int"))
-    return F.coalesce(c.try_cast("int"), fractional)
+    whole = F.regexp_replace(c, _FRACTIONAL, "$10$2")
+    return F.coalesce(c.try_cast("int"), whole.try_cast("int"))
 
 
 def double_or_null(c: Column) -> Column:
@@ -42,10 +38,9 @@ def normalized(c: Column) -> Column:
     return F.trim(F.lower(c))
 
 
-def is_finite(c: Column) -> Column:
-    """True for ordinary numbers. Spark orders NaN above infinity, so one bound covers both."""
-    inf = F.lit(float("inf"))
-    return (c < inf) & (c > -inf)
+def below_infinity(c: Column) -> Column:
+    """False for infinity and for NaN, which Spark orders above it."""
+    return c < F.lit(float("inf"))
 
 
 def timestamp_text(c: Column) -> Column:

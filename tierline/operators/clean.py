@@ -9,9 +9,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tierline.functions.casting import (
+    below_infinity,
     double_or_null,
     int_or_null,
-    is_finite,
     normalized,
     timestamp_or_null,
     trimmed,
@@ -44,27 +44,27 @@ def typed(raw: DataFrame, keep: tuple[str, ...] = (), keep_raw: bool = False) ->
 
 
 def gates(finite_price: bool = True) -> dict[str, Column]:
-    """What a clean row fulfils, by the reason given when it does not.
+    """What a clean row fulfils, by the reason given when it does not; NULL means it does not.
 
-    Each condition is true or false, never NULL, so a row is either clean or rejected.
     ``finite_price`` also refuses NaN and infinity, which pass ``>= 0`` and spoil sums.
     """
-
-    def given(name: str) -> Column:
-        return F.col(name).isNotNull()
-
-    price = given("unit_price") & (F.col("unit_price") >= 0)
+    price = F.col("unit_price") >= 0
     if finite_price:
-        price = price & is_finite(F.col("unit_price"))
+        price = price & below_infinity(F.col("unit_price"))
     return {
-        "transaction_id missing": given("transaction_id"),
-        "event_ts unreadable": given("event_ts"),
-        "quantity not positive": given("quantity") & (F.col("quantity") > 0),
+        "transaction_id missing": F.col("transaction_id").isNotNull(),
+        "event_ts unreadable": F.col("event_ts").isNotNull(),
+        "quantity not positive": F.col("quantity") > 0,
         "unit_price not valid": price,
-        "customer_id missing": given("customer_id") & (F.col("customer_id") != ""),
+        "customer_id missing": F.col("customer_id") != "",
     }
 
 
+def _fails(condition: Column) -> Column:
+    """True where a condition is false or NULL, so clean and rejected rows are complements."""
+    return ~F.coalesce(condition, F.lit(False))
+
+
 def clean_rows(rows: DataFrame, finite_price: bool = True) -> DataFrame:
     return rows.filter(reduce(Column.__and__, gates(finite_price).values()))
 
@@ -73,10 +73,10 @@ def rejected_rows(rows: DataFrame, finite_price: bool = True) -> DataFrame:
     """The complement of ``clean_rows`` with every reason, in gate order, and the time."""
     passes = gates(finite_price)
     failed = F.array_compact(
-        F.array(*[F.when(~ok, F.lit(reason)) for reason, ok in passes.items()])
+        F.array(*[F.when(_fails(ok), F.lit(reason)) for reason, ok in passes.items()])
     )
     return (
-        rows.filter(~reduce(Column.__and__, passes.values()))
+        rows.filter(_fails(reduce(Column.__and__, passes.values())))
         .withColumn("_reason", failed)
         .withColumn("_rejected_at", F.current_timestamp())
     )

@@ -538,11 +538,18 @@ def grounded_answer(spark, sf_dir):
     )
 
 
+def _customer_index(spark, sf_dir) -> str:
+    """Customer mart written and indexed; returns the index path."""
+    layout = Layout(scratch_dir(spark, "index"))
+    snapshot_table.overwrite(_ltv(spark, sf_dir), layout.customer_ltv)
+    retrieval.build_index(snapshot_table.read(spark, layout.customer_ltv), layout.customer_index)
+    return layout.customer_index
+
+
 @_query
 def text_embed_search(spark, sf_dir):
     """Index of all customers, asked a question; hits in order."""
-    path = scratch_dir(spark, "index")
-    retrieval.build_index(_ltv(spark, sf_dir), path)
+    path = _customer_index(spark, sf_dir)
     question = "Which customer was first seen in 1995 and last seen in 2001?"
     return retrieval.retrieve(spark, path, question).select("id", "text", "distance")
 
@@ -550,6 +557,4 @@ def text_embed_search(spark, sf_dir):
 @_query
 def text_ask(spark, sf_dir):
     """Index of all customers and the answer to the default question."""
-    path = scratch_dir(spark, "index")
-    retrieval.build_index(_ltv(spark, sf_dir), path)
-    return retrieval.ask(spark, path)
+    return retrieval.ask(spark, _customer_index(spark, sf_dir))
