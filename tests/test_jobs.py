@@ -94,12 +94,11 @@ def test_incremental_equals_full(spark, tmp_path, raw_rows):
     ]
     results = {}
     for mode in (False, True):
-        layout = Layout(str(tmp_path / f"incremental-{mode}"))
+        layout = Layout(str(tmp_path / f"full-{mode}"))
         for batch in batches:
-            df = spark.createDataFrame(batch, RAW_TRANSACTIONS).withColumn("_source_file", F.lit("f"))
-            append_table.append(df, layout.bronze)
-            counts = jobs.silver_job(spark, layout, incremental=mode)
-        again = jobs.silver_job(spark, layout, incremental=mode)
+            append_table.append(spark.createDataFrame(batch, RAW_TRANSACTIONS), layout.bronze)
+            counts = jobs.silver_job(spark, layout, full=mode)
+        again = jobs.silver_job(spark, layout, full=mode)
         assert again == counts
         rows = silver_of(spark, layout).drop("ingest_ts").collect()
         rejects = append_table.read(spark, layout.rejects).select("transaction_id", "_bronze_ingest_version")
@@ -113,7 +112,7 @@ def test_incremental_without_news_writes_no_version(spark, layout, raw_rows, wri
     write_raw(raw_rows)
     jobs.bronze_job(spark, layout)
     for _ in range(2):
-        jobs.silver_job(spark, layout, incremental=True)
+        jobs.silver_job(spark, layout)
     assert snapshot_table.versions(spark, layout.silver) == [0]
 
 
@@ -124,7 +123,7 @@ def test_maintenance(spark, layout, raw_rows, write_raw):
     before = sorted(map(tuple, silver_of(spark, layout).collect()))
     assert jobs.maintenance_job(spark, layout) == []
     assert sorted(map(tuple, silver_of(spark, layout).collect())) == before
-    assert jobs.silver_job(spark, layout, incremental=True)["silver"] == 2
+    assert jobs.silver_job(spark, layout)["silver"] == 2
 
 
 # ---- declared steps -----------------------------------------------------------------

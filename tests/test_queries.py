@@ -19,6 +19,7 @@ WRITES_DAYS = {
     "vacuum_candidates",
     "jobs_daily_revenue",
     "jobs_rejects",
+    "jobs_incremental_silver",
     "jobs_declarative_daily",
 }
 ROWS_ONLY = {"train_forecaster_metrics", "text_embed_search", "text_ask"}

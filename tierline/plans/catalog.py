@@ -444,6 +444,16 @@ def jobs_rejects(spark, sf_dir):
     )
 
 
+@_query
+def jobs_incremental_silver(spark, sf_dir):
+    """Silver after two deliveries, each cleaned on arrival: as if cleaned at once."""
+    layout = Layout(scratch_dir(spark, "lakehouse"))
+    for delivery in (first_delivery(), ~first_delivery()):
+        append_table.append(raw_feed(spark, sf_dir, delivery), layout.bronze)
+        jobs.silver_job(spark, layout)
+    return _plain(snapshot_table.read(spark, layout.silver))
+
+
 @_query
 def jobs_declarative_daily(spark, sf_dir):
     """CSV to Bronze, then the declared steps; the narrow daily mart."""

@@ -234,6 +234,7 @@ SQL: dict[str, str] = {
     "jobs_rejects": _with()
     + f""" SELECT transaction_id, {_REASONS} AS reasons, raw_event_ts
  FROM typed WHERE NOT ({_IS_CLEAN})""",
+    "jobs_incremental_silver": _with(_SILVER) + " SELECT * FROM silver",
     "jobs_declarative_daily": _with(_UNGATED)
     + f""" SELECT event_date, country, {_money('revenue')} AS gross_revenue
  FROM ungated WHERE {_CAUGHT} IS NULL GROUP BY event_date, country""",

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tierline.operators import clean, dashboard, marts
 from tierline.operators.audit import row_counts
-from tierline.schemas import SILVER_PARTITION
+from tierline.schemas import BRONZE_TRANSACTIONS, SILVER_PARTITION
 from tierline.sources import append_table, snapshot_table, upkeep
 from tierline.sources.csv_feed import read_raw_csv, with_lineage
 from tierline.sources.layout import Layout
@@ -22,15 +22,22 @@ def bronze_job(
     raw = read_raw_csv(spark, source, check_header)
     hint = source.rstrip("/").rsplit("/", 1)[-1]
     append_table.append(with_lineage(raw, hint), layout.bronze)
-    return append_table.read(spark, layout.bronze).count()
+    return read_bronze(spark, layout).count()
 
 
-def silver_job(spark: SparkSession, layout: Layout, incremental: bool = False) -> dict[str, int | None]:
+def read_bronze(
+    spark: SparkSession, layout: Layout, as_of: int | None = None, after: int | None = None
+) -> DataFrame:
+    """Bronze rows under the contract, which spares reading file footers for a schema."""
+    return append_table.read(spark, layout.bronze, as_of, after, BRONZE_TRANSACTIONS)
+
+
+def silver_job(spark: SparkSession, layout: Layout, full: bool = False) -> dict[str, int | None]:
     """Clean Bronze into Silver by upsert, append new rejects, return row counts.
 
-    All of Bronze is read, or with ``incremental`` only versions Silver has not seen; the
-    winner among copies of a transaction is then found among the new rows and the
-    Silver rows with the same keys, so both ways give the same Silver table.
+    Only Bronze versions Silver has not seen are read, or all with ``full``. Copies of a
+    transaction that are in Silver already compete with the new ones in the same order,
+    so both ways give the same Silver table.
 
     Rejects of a Bronze version are written once: the batch key names the versions
     covered, and versions covered before are left out.
@@ -38,33 +45,22 @@ def silver_job(spark: SparkSession, layout: Layout, incremental: bool = False) -
     upto = append_table.latest_version(spark, layout.bronze)
     if upto is None:
         raise FileNotFoundError(f"nothing ingested at {layout.bronze}")
-    known = snapshot_table.latest_version(spark, layout.silver)
     seen = None
-    if known is not None:
-        seen = snapshot_table.snapshot(spark, layout.silver, known).source_version
-    if not incremental or seen is None:
-        rows = clean.silver(append_table.read(spark, layout.bronze, as_of=upto))
-        _write_silver(rows, layout, upto)
-    elif upto > seen:
-        fresh = append_table.read(spark, layout.bronze, as_of=upto, after=seen)
-        _write_silver(_resolved(clean.silver(fresh), layout), layout, upto)
+    if not full and snapshot_table.latest_version(spark, layout.silver) is not None:
+        seen = snapshot_table.snapshot(spark, layout.silver).source_version
+    if seen is None or upto > seen:
+        snapshot_table.write_or_upsert(
+            clean.silver(read_bronze(spark, layout, as_of=upto, after=seen)),
+            layout.silver,
+            [clean.KEY],
+            (SILVER_PARTITION,),
+            source_version=upto,
+            resolve=clean.deduplicated,
+        )
     _write_rejects(spark, layout, upto)
     return layer_counts(spark, layout)
 
 
-def _write_silver(rows: DataFrame, layout: Layout, upto: int) -> None:
-    snapshot_table.write_or_upsert(
-        rows, layout.silver, [clean.KEY], (SILVER_PARTITION,), source_version=upto
-    )
-
-
-def _resolved(fresh: DataFrame, layout: Layout) -> DataFrame:
-    """Winners among new rows and the Silver rows that share their keys."""
-    current = snapshot_table.read(fresh.sparkSession, layout.silver)
-    rivals = current.join(fresh.select(clean.KEY), clean.KEY, "left_semi").select(*fresh.columns)
-    return clean.deduplicated(fresh.unionByName(rivals))
-
-
 def _write_rejects(spark: SparkSession, layout: Layout, upto: int) -> None:
     covered = [
         int(a.key.rsplit("-", 1)[-1])
@@ -74,7 +70,7 @@ def _write_rejects(spark: SparkSession, layout: Layout, upto: int) -> None:
     after = max(covered, default=None)
     if after is not None and after >= upto:
         return
-    raw = append_table.read(spark, layout.bronze, as_of=upto, after=after)
+    raw = read_bronze(spark, layout, as_of=upto, after=after)
     rejects = clean.silver_rejects(raw, layout.bronze, keep=_LINEAGE)
     rejects = rejects.withColumnsRenamed({c: f"_bronze_{c.lstrip('_')}" for c in _LINEAGE})
     append_table.append(rejects, layout.rejects, f"bronze-{-1 if after is None else after}-{upto}")

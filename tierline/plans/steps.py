@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tierline.operators import clean, expectations, marts
 from tierline.operators.expectations import Expectation
+from tierline.plans.jobs import read_bronze
 from tierline.schemas import SILVER_PARTITION
 from tierline.sources import append_table, snapshot_table
 from tierline.sources.layout import Layout
@@ -29,17 +30,18 @@ class Step:
         return self.rejects_path or self.target_path.rstrip("/") + "_rejects"
 
 
-def materialize(spark: SparkSession, step: Step, source_version: int | None = None) -> int:
+def materialize(spark: SparkSession, step: Step, rejects_key: str | None = None) -> int:
     """Build the step's table as a new version and append its quarantined rows.
 
     The violations are counted by the job that writes the kept rows. A broken ``fail``
     rule raises before the new version becomes visible, so readers keep the old one.
+    Rejects written again under the same ``rejects_key`` replace the earlier ones.
     """
     rules = list(step.expectations)
     rows = step.transform(spark)
     if not rules:
         return snapshot_table.overwrite(
-            rows, step.target_path, tuple(step.partition_by), step.name, source_version
+            rows, step.target_path, tuple(step.partition_by), step.name
         )
     tagged = expectations.tag(rows, rules)
     watched, watch = expectations.observed(tagged, rules)
@@ -57,14 +59,13 @@ def materialize(spark: SparkSession, step: Step, source_version: int | None = No
         step.target_path,
         tuple(step.partition_by),
         step.name,
-        source_version,
         check=check,
     )
     if any(r.action == "quarantine" for r in rules):
         append_table.append(
             expectations.quarantined(tagged, rules),
             step.resolved_rejects_path(),
-            None if source_version is None else f"source-{source_version}",
+            rejects_key,
         )
     return version
 
@@ -74,9 +75,7 @@ def retail_steps(layout: Layout, as_of: int | None = None) -> list[Step]:
     return [
         Step(
             "silver_transactions",
-            lambda spark: clean.silver_before_rules(
-                append_table.read(spark, layout.bronze, as_of=as_of)
-            ),
+            lambda spark: clean.silver_before_rules(read_bronze(spark, layout, as_of=as_of)),
             layout.silver,
             (SILVER_PARTITION,),
             expectations.SILVER_RULES,
@@ -99,6 +98,6 @@ def declarative_job(spark: SparkSession, layout: Layout) -> dict[str, int]:
     if upto is None:
         raise FileNotFoundError(f"nothing ingested at {layout.bronze}")
     return {
-        step.name: materialize(spark, step, source_version=upto)
+        step.name: materialize(spark, step, rejects_key=f"declared-{upto}")
         for step in retail_steps(layout, as_of=upto)
     }

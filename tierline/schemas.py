@@ -29,6 +29,14 @@ RAW_TRANSACTIONS = _contract(
         StringType(),
     ),
 )
+BRONZE_TRANSACTIONS = StructType(
+    RAW_TRANSACTIONS.fields
+    + [
+        StructField("_source_file", StringType()),
+        StructField("_source_hint", StringType()),
+        StructField("_ingest_ts", TimestampType()),
+    ]
+)
 SILVER_TRANSACTIONS = _contract(
     {
         "transaction_id": StringType(),

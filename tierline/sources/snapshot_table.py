@@ -255,9 +255,13 @@ def upsert(
     source_version: int | None = None,
     operation: str = "upsert",
     committed_at: datetime | None = None,
+    resolve: Callable[[DataFrame], DataFrame] | None = None,
 ) -> int:
     """Replace rows whose key is in ``updates``, add the others, as a new version.
 
+    With ``resolve`` an update does not always win: it is given the updates together with
+    the rows they match and returns the rows to keep.
+
     NULL keys match nothing, so such rows are added. New columns in ``updates`` become
     part of the table. Finding the matches reads the key and partition columns only.
     The partitions then rewritten are those holding a matched row and those an update
@@ -274,8 +278,13 @@ def upsert(
             rewritten = [f for f in snap.folders if _folder_text(f) in set(touched)]
             # On partition columns only, so it selects folders and no row is tested.
             old = current.filter(_partition_text(snap.partition_by).isin(touched))
-        kept = old.join(changes.select(*keys), keys, "left_anti")
-        merged = kept.unionByName(changes, allowMissingColumns=True)
+        update_keys = changes.select(*keys)
+        kept = old.join(update_keys, keys, "left_anti")
+        incoming = changes
+        if resolve is not None:
+            rivals = old.join(update_keys, keys, "left_semi")
+            incoming = resolve(changes.unionByName(rivals, allowMissingColumns=True))
+        merged = kept.unionByName(incoming, allowMissingColumns=True)
         merged = merged.select(*_evolved(snap.schema, changes.schema))
         return replace_folders(
             merged, table, snap, rewritten, operation, source_version, committed_at, spread=True
@@ -321,8 +330,9 @@ def write_or_upsert(
     keys: list[str],
     partition_by: tuple[str, ...] = (),
     source_version: int | None = None,
+    resolve: Callable[[DataFrame], DataFrame] | None = None,
 ) -> int:
     """First run writes the table, later runs upsert into it."""
     if latest_version(df.sparkSession, table) is None:
         return overwrite(df, table, partition_by, "initial write", source_version)
-    return upsert(df, table, keys, source_version)
+    return upsert(df, table, keys, source_version, resolve=resolve)
