@@ -91,6 +91,3 @@ def test_violation_counts(frame):
     assert ex.violation_counts(tagged, rules) == {"known": 1, "positive": 1}
     rows = {r["expectation"]: r["rows"] for r in ex.violations(tagged, rules).collect()}
     assert rows == {"known": 1, "positive": 1}
-    watched, watch = ex.observed(tagged, rules)
-    watched.write.format("noop").mode("overwrite").save()
-    assert watch.get == {"known": 1, "positive": 1}

@@ -42,6 +42,25 @@ def test_unfinished_append_is_not_read(spark, table):
     files.delete(spark, f"{table}/ingest_version=1/batch_key=broken/_SUCCESS")
     assert append_table.read(spark, table).count() == 3
     assert append_table.append(spark.range(2), table) == 2
+    # The batch comes again: under a new version, and its remains are gone.
+    assert append_table.append(spark.range(10), table, "broken") == 3
+    assert append_table.read(spark, table).count() == 15
+    assert not files.exists(spark, f"{table}/ingest_version=1/batch_key=broken")
+
+
+def test_kept_batch(spark, table):
+    append_table.append(spark.range(3), table, "b")
+    assert append_table.append(spark.range(9), table, "b", keep=True) == 0
+    assert append_table.read(spark, table).count() == 3
+
+
+def test_evolution_can_be_refused(spark, table):
+    append_table.append(spark.createDataFrame([(1, "x")], "a INT, b STRING"), table)
+    wider = spark.createDataFrame([(1, "y", "extra")], "a INT, b STRING, c STRING")
+    with pytest.raises(schemas.SchemaMismatch, match="unknown column c"):
+        append_table.append(wider, table, evolve=False)
+    assert append_table.append(wider.drop("c"), table, evolve=False) == 1
+    assert append_table.append(wider, table) == 2
 
 
 def test_bad_batch_key(spark, table):
@@ -152,20 +171,37 @@ def test_empty_tables(spark, table):
     assert snapshot_table.read(spark, table).count() == 1
 
 
-def test_refused_write_stays_invisible(spark, table):
+def test_failed_write_stays_invisible(spark, table):
     snapshot_table.overwrite(spark.range(3), table)
-
-    def no():
-        raise RuntimeError("no")
-
-    with pytest.raises(RuntimeError):
-        snapshot_table.overwrite(spark.range(9), table, check=no)
+    broken = spark.range(9).select(F.when(F.col("id") == 8, F.raise_error(F.lit("no"))).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="no"):
+        snapshot_table.overwrite(broken, table)
     assert snapshot_table.versions(spark, table) == [0]
     assert snapshot_table.read(spark, table).count() == 3
     assert snapshot_table.overwrite(spark.range(4), table) == 1
     assert snapshot_table.read(spark, table).count() == 4
 
 
+def test_updates_that_do_not_fit_are_refused(spark, table):
+    snapshot_table.overwrite(frame(spark, [("a", 1, date(2025, 1, 1))]), table, ("day",))
+    with pytest.raises(schemas.SchemaMismatch, match="missing column v"):
+        snapshot_table.upsert(frame(spark, []).drop("v"), table, ["k"])
+    with pytest.raises(schemas.SchemaMismatch, match="unknown column note"):
+        snapshot_table.upsert(frame(spark, []).withColumn("note", F.lit("n")), table, ["k"], evolve=False)
+    assert snapshot_table.versions(spark, table) == [0]
+
+
+def test_updates_may_lose_to_the_rows_they_match(spark, table):
+    d = date(2025, 1, 1)
+    snapshot_table.overwrite(frame(spark, [("a", 5, d), ("b", 5, d)]), table, ("day",))
+
+    def highest(rows):
+        return rows.groupBy("k").agg(F.max("v").alias("v"), F.max("day").alias("day"))
+
+    snapshot_table.upsert(frame(spark, [("a", 3, d), ("b", 7, d)]), table, ["k"], resolve=highest)
+    assert rows_of(snapshot_table.read(spark, table)) == [("a", 5, d), ("b", 7, d)]
+
+
 # ---- upkeep -------------------------------------------------------------------------
 
 

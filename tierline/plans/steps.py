@@ -13,6 +13,7 @@ from tierline.plans.jobs import read_bronze
 from tierline.schemas import SILVER_PARTITION
 from tierline.sources import append_table, snapshot_table
 from tierline.sources.layout import Layout
+from tierline.sources.scratch import staged
 
 
 @dataclass(frozen=True)
@@ -33,40 +34,23 @@ class Step:
 def materialize(spark: SparkSession, step: Step, rejects_key: str | None = None) -> int:
     """Build the step's table as a new version and append its quarantined rows.
 
-    The violations are counted by the job that writes the kept rows. A broken ``fail``
-    rule raises before the new version becomes visible, so readers keep the old one.
-    Rejects written again under the same ``rejects_key`` replace the earlier ones.
+    The tagged rows are computed once into the shared folder; counts, kept rows and
+    rejects are read from there. A broken ``fail`` rule raises before anything is
+    written to the step's tables. Rejects written again under the same ``rejects_key``
+    replace the earlier ones.
     """
     rules = list(step.expectations)
     rows = step.transform(spark)
+    by = tuple(step.partition_by)
     if not rules:
-        return snapshot_table.overwrite(
-            rows, step.target_path, tuple(step.partition_by), step.name
-        )
-    tagged = expectations.tag(rows, rules)
-    watched, watch = expectations.observed(tagged, rules)
-
-    def check() -> None:
-        if any(watch.get.get(r.name) for r in rules if r.action == "fail"):
-            # Rare, so count again for an exact message.
-            expectations.check_failures(expectations.violation_counts(tagged, rules), rules)
-        expectations.check_failures(
-            {r.name: watch.get.get(r.name) for r in rules if r.action == "drop"}, rules
-        )
-
-    version = snapshot_table.overwrite(
-        expectations.kept(watched),
-        step.target_path,
-        tuple(step.partition_by),
-        step.name,
-        check=check,
-    )
-    if any(r.action == "quarantine" for r in rules):
-        append_table.append(
-            expectations.quarantined(tagged, rules),
-            step.resolved_rejects_path(),
-            rejects_key,
-        )
+        return snapshot_table.overwrite(rows, step.target_path, by, step.name)
+    with staged(expectations.tag(rows, rules), "tagged") as tagged:
+        expectations.check_failures(expectations.violation_counts(tagged, rules), rules)
+        kept = expectations.kept(tagged)
+        version = snapshot_table.overwrite(kept, step.target_path, by, step.name)
+        if any(r.action == "quarantine" for r in rules):
+            rejects = expectations.quarantined(tagged, rules)
+            append_table.append(rejects, step.resolved_rejects_path(), rejects_key)
     return version
 
 

@@ -2,9 +2,9 @@
 
     <table>/ingest_version=<n>/batch_key=<key>/part-*.parquet
 
-``batch_key`` names the batch, so that a batch delivered twice replaces itself
-and never adds rows. A folder counts once Spark has put ``_SUCCESS`` in it, so a
-failed or running append is not read.
+``batch_key`` names the batch, so that a batch delivered twice never adds rows. A
+folder counts once Spark has put ``_SUCCESS`` in it, so a failed or running append is
+not read. One writer per table at a time.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from tierline.schemas import enforce
 from tierline.sources import files
 
 VERSION = "ingest_version"
@@ -48,20 +49,39 @@ def latest_version(spark: SparkSession, table: str) -> int | None:
     return done[-1].version if done else None
 
 
-def append(df: DataFrame, table: str, batch_key: str | None = None) -> int:
+def append(
+    df: DataFrame,
+    table: str,
+    batch_key: str | None = None,
+    keep: bool = False,
+    evolve: bool = True,
+) -> int:
     """Add ``df`` as one batch and return its version.
 
-    Without a ``batch_key`` every call is a new batch. With one, a batch that is
-    there already is replaced under its old version.
+    Without a ``batch_key`` every call is a new batch. With one, a batch that is there
+    already is replaced under its old version, or left as it is with ``keep``. Columns the
+    table does not have are refused unless ``evolve`` is set.
     """
     spark = df.sparkSession
     key = batch_key or f"batch-{uuid.uuid4().hex}"
     if not re.fullmatch(r"[A-Za-z0-9._-]+", key):
         raise ValueError(f"batch key {key!r} may hold letters, digits, dot, dash and underscore")
-    known = _appends(spark, table, "")
-    same = [a.version for a in known if a.key == key]
-    version = same[0] if same else max((a.version for a in known), default=-1) + 1
+    done = committed(spark, table)
+    if done and not evolve:
+        df = enforce(df, read(spark, table).drop(VERSION, KEY).schema)
+    same = [a for a in done if a.key == key]
+    if same and keep:
+        return same[0].version
+    started = _appends(spark, table, "")
+    version = max((a.version for a in started), default=-1) + 1
+    if same:
+        version = same[0].version
     df.write.mode("overwrite").parquet(f"{table}/{VERSION}={version}/{KEY}={key}")
+    # What a failed attempt left goes. The batch came under a new version, since readers
+    # that follow versions may be past the old one.
+    for a in started:
+        if a.key == key and a.version != version:
+            files.delete(spark, a.path)
     return version
 
 

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tierline.schemas import enforce
 from tierline.sources import files
 from tierline.sources.scratch import staged
 
@@ -193,17 +194,10 @@ def overwrite(
     operation: str = "overwrite",
     source_version: int | None = None,
     spread: bool = True,
-    check: Callable[[], None] | None = None,
     committed_at: datetime | None = None,
 ) -> int:
-    """Make ``df`` the whole content of the table, schema included, as a new version.
-
-    ``check`` is called after the data is written and before it becomes visible; if
-    it raises, readers go on seeing the version before.
-    """
+    """Make ``df`` the whole content of the table, schema included, as a new version."""
     version, folders = _stage_version(df, table, tuple(partition_by), spread)
-    if check is not None:
-        check()
     return _commit(
         df.sparkSession,
         table,
@@ -256,19 +250,21 @@ def upsert(
     operation: str = "upsert",
     committed_at: datetime | None = None,
     resolve: Callable[[DataFrame], DataFrame] | None = None,
+    evolve: bool = True,
 ) -> int:
     """Replace rows whose key is in ``updates``, add the others, as a new version.
 
     With ``resolve`` an update does not always win: it is given the updates together with
     the rows they match and returns the rows to keep.
 
-    NULL keys match nothing, so such rows are added. New columns in ``updates`` become
-    part of the table. Finding the matches reads the key and partition columns only.
+    NULL keys match nothing, so such rows are added. ``updates`` must have all columns of
+    the table; new ones become part of it unless ``evolve`` is off. Finding the matches reads the key and partition columns only.
     The partitions then rewritten are those holding a matched row and those an update
     row goes to, since an update may move a row from one partition to another.
     """
     spark = updates.sparkSession
     snap = snapshot(spark, table)
+    updates = enforce(updates, snap.schema, evolve)
     current = read_folders(spark, table, snap)
     with staged(updates, "updates") as changes:
         _refuse_ambiguous(current, changes, keys)
@@ -284,8 +280,7 @@ def upsert(
         if resolve is not None:
             rivals = old.join(update_keys, keys, "left_semi")
             incoming = resolve(changes.unionByName(rivals, allowMissingColumns=True))
-        merged = kept.unionByName(incoming, allowMissingColumns=True)
-        merged = merged.select(*_evolved(snap.schema, changes.schema))
+        merged = kept.unionByName(incoming, allowMissingColumns=True).select(*changes.columns)
         return replace_folders(
             merged, table, snap, rewritten, operation, source_version, committed_at, spread=True
         )
@@ -319,11 +314,6 @@ def replace_folders(
     )
 
 
-def _evolved(table: StructType, added: StructType) -> list[str]:
-    known = table.fieldNames()
-    return known + [n for n in added.fieldNames() if n not in known]
-
-
 def write_or_upsert(
     df: DataFrame,
     table: str,

@@ -33,9 +33,9 @@ def raw_stream(
 def _bronze_writer(checkpoint: str, bronze: str) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
         # Spark keeps one id per checkpoint. With it, a batch delivered again after a
-        # failure replaces itself, and a new checkpoint never replaces an old batch.
+        # failure is added once, and a new checkpoint never meets an old batch.
         stream = batch.sparkSession.read.json(f"{checkpoint}/metadata").first()["id"]
-        append_table.append(batch, bronze, f"stream-{stream}-{batch_id}")
+        append_table.append(batch, bronze, f"stream-{stream}-{batch_id}", keep=True)
 
     return write
 
