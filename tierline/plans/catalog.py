@@ -535,16 +535,21 @@ def customer_documents(spark, sf_dir):
 
 @_query
 def grounded_answer(spark, sf_dir):
-    """Answer from the customers nearest to the highest orders and revenue of all."""
+    """Answer from the customers nearest to the highest orders and revenue of all.
+
+    The vectors are shares of those highest values, so the ideal customer is (1, 1).
+    """
     ltv = _ltv(spark, sf_dir)
-    best = ltv.agg(
-        F.array(F.max("orders").cast("double"), F.max("lifetime_revenue")).alias("v")
-    ).scalar()
+
+    def share(name: str):
+        return F.col(f"metadata.{name}") / ltv.agg(F.max(name).cast("double")).scalar()
+
     documents = retrieval.customer_documents(ltv).withColumn(
-        "embedding", F.array(F.col("metadata.orders").cast("double"), "metadata.lifetime_revenue")
+        "embedding", F.array(share("orders"), share("lifetime_revenue"))
     )
+    ideal = F.array(F.lit(1.0), F.lit(1.0))
     return retrieval.compose_answer(
-        retrieval.DEFAULT_QUESTION, retrieval.nearest(documents, best)
+        retrieval.DEFAULT_QUESTION, retrieval.nearest(documents, ideal)
     )
 
 

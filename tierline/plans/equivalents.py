@@ -260,8 +260,8 @@ SQL: dict[str, str] = {
     "grounded_answer": _with(_SILVER, _LTV)
     + f""", best AS (SELECT cast(max(orders) AS double) AS o, max(lifetime_revenue) AS r FROM ltv),
  hits AS (
-  SELECT *, {_SENTENCE} AS text, (orders - o) * (orders - o)
-    + (lifetime_revenue - r) * (lifetime_revenue - r) AS distance
+  SELECT *, {_SENTENCE} AS text, (orders / o - 1.0) * (orders / o - 1.0)
+    + (lifetime_revenue / r - 1.0) * (lifetime_revenue / r - 1.0) AS distance
   FROM ltv, best ORDER BY distance, customer_id LIMIT 3),
  lines AS (
   SELECT string_agg(printf('  - %s  (distance=%.3f)', text, distance), chr(10)
