@@ -1,0 +1,40 @@
+import pytest
+
+from tierline import __main__ as command
+from tierline.sources.layout import Layout
+
+
+def test_jobs_in_order(spark, layout, raw_rows, write_raw, monkeypatch):
+    path = write_raw(raw_rows)
+
+    def run(*args):
+        return command.main(["--root", layout.root, *args])
+
+    assert run("bronze", "--source", path) == 6
+    assert run("silver")["silver"] == 2
+    run("gold")
+    assert spark.table("gold_customer_ltv").count() == 2
+    assert run("maintain") == []
+    run("stream")
+    assert run("silver", "--full") == {
+        "bronze": 12, "silver": 2, "rejects": 6, "daily_revenue": 1, "customer_ltv": 2,
+    }
+    assert run("index") == 0
+    assert "Answer (grounded): customer C-" in run("ask", "-k", "1")
+    monkeypatch.setenv("LAKEHOUSE_ROOT", layout.root)
+    assert command.main(["declared"])["silver_transactions"] > 0
+    with pytest.raises(RuntimeError):
+        run("train")
+    with pytest.raises(RuntimeError):
+        run("register")
+
+
+def test_unknown_job():
+    with pytest.raises(SystemExit):
+        command.main(["nothing"])
+
+
+def test_layout(monkeypatch):
+    monkeypatch.delenv("LAKEHOUSE_ROOT", raising=False)
+    assert Layout.from_environment().bronze == "data/bronze/transactions"
+    assert Layout("s3a://b/x/").silver == "s3a://b/x/silver/transactions"

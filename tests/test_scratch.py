@@ -1,0 +1,35 @@
+from types import SimpleNamespace
+
+import pytest
+
+from tierline.sources import files, scratch
+
+
+def fake(master, folder=None):
+    conf = {"spark.checkpoint.dir": folder} if folder else {}
+    context = SimpleNamespace(master=master, applicationId="app-1", getConf=lambda: conf)
+    return SimpleNamespace(sparkContext=context)
+
+
+def test_named_folder_is_used(spark):
+    named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    assert scratch.scratch_dir(spark, "x").startswith(f"{named}/x-")
+    assert scratch.scratch_dir(fake("spark://h:7077", "s3a://b/c/"), "x").startswith("s3a://b/c/x-")
+
+
+def test_only_a_local_session_may_name_none():
+    first, second = (scratch.scratch_dir(fake("local[2]"), "x") for _ in range(2))
+    assert first != second and first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch.scratch_dir(fake("yarn"), "x")
+
+
+def test_staged_copy_is_gone_afterwards(spark):
+    with scratch.staged(spark.range(5), "s") as copy:
+        path = copy.inputFiles()[0].rsplit("/", 1)[0]
+        assert copy.count() == 5 and files.exists(spark, path)
+    assert not files.exists(spark, path)
+    with pytest.raises(RuntimeError), scratch.staged(spark.range(5), "s") as copy:
+        path = copy.inputFiles()[0].rsplit("/", 1)[0]
+        raise RuntimeError
+    assert not files.exists(spark, path)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tierline.operators.features import lag_features
 from tierline.sources import append_table, snapshot_table
 from tierline.sources.layout import Layout
+from tierline.sources.scratch import staged
 
 # Model interface and settings.
 FEATURES = ["lag_1", "lag_7", "rolling_3", "day_of_week", "order_count", "unique_customers"]
@@ -116,15 +117,21 @@ def train(
     max_depth: int | None = MAX_DEPTH,
     cut: str | None = None,
 ) -> str:
-    """Train on the mart, save the model, record the run and return its id."""
+    """Train on the mart, save the model, record the run and return its id.
+
+    The features are computed once into the shared folder, since fitting reads them
+    several times.
+    """
     spark = daily.sparkSession
-    train_rows, test_rows = split(training_frame(daily), cut)
-    if train_rows.isEmpty() or test_rows.isEmpty():
-        raise NoTrainingRows("daily revenue is empty or too short for lag features")
-    model = fit(train_rows, trees, max_depth)
-    scores = error_metrics(model.transform(test_rows)).first()
     run_id = uuid.uuid4().hex
     path = f"{layout.model_files}/{run_id}"
+    with staged(training_frame(daily), "features") as rows:
+        train_rows, test_rows = split(rows, cut)
+        n_train = train_rows.count()
+        if not n_train or test_rows.isEmpty():
+            raise NoTrainingRows("daily revenue is empty or too short for lag features")
+        model = fit(train_rows, trees, max_depth)
+        scores = error_metrics(model.transform(test_rows)).first()
     model.write().save(path)
     signature = {
         "inputs": {c: "double" for c in FEATURES},
@@ -138,7 +145,7 @@ def train(
             "n_estimators": str(trees),
             "max_depth": str(max_depth),
             "n_features": str(len(FEATURES)),
-            "train_rows": str(train_rows.count()),
+            "train_rows": str(n_train),
         },
         metrics={"mae": scores["mae"], "r2": scores["r2"]},
         signature=json.dumps(signature),

@@ -6,25 +6,30 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tierline.sources import files
 
 
+@cache
+def _local_folder(application_id: str) -> str:
+    return tempfile.mkdtemp(prefix="tierline-")
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder name under the shared folder named by ``spark.checkpoint.dir``.
 
     Every executor must see the folder, so a machine-local one is used only by a
     local session that names none.
     """
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    base = base or spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    base = context.getConf().get("spark.checkpoint.dir")
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="tierline-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_folder(context.applicationId)
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
 
 
