@@ -237,6 +237,42 @@ def test_clustering_cuts_a_hot_partition_and_a_hot_customer(spark, table):
     assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
 
 
+def test_upkeep_leaves_untouched_days_alone(spark, table):
+    days = [date(2025, 1, i) for i in (1, 2, 3)]
+    rows = [(f"k{i}", i, d) for i, d in enumerate(days)]
+    snapshot_table.overwrite(frame(spark, rows), table, ("day",))
+    assert upkeep.optimize(spark, table, cluster_by="k") == 1
+    assert upkeep.optimize(spark, table, cluster_by="k") is None
+    assert upkeep.optimize(spark, table) is None
+    snapshot_table.upsert(frame(spark, [("k1", 9, days[1])]), table, ["k"])
+    assert upkeep.optimize(spark, table, cluster_by="k") == 3
+    assert snapshot_table.snapshot(spark, table).folders == {
+        "day=2025-01-01": 1, "day=2025-01-02": 3, "day=2025-01-03": 1,
+    }
+    assert upkeep.optimize(spark, table, cluster_by="v") == 4
+    assert rows_of(snapshot_table.read(spark, table)) == sorted([rows[0], ("k1", 9, days[1]), rows[2]], key=str)
+
+
+def test_a_day_too_big_for_one_task_is_cut(spark, table):
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "1m")  # the small days of one reduce task together stay below this
+    try:
+        df = spark.range(0, 120000, 1, 8).select(
+            F.sha2(F.col("id").cast("string"), 256).alias("k"),
+            F.col("id").cast("int").alias("v"),
+            F.when(F.col("id") % 3 > 0, F.lit(date(2025, 1, 1))).otherwise(F.date_add(F.lit(date(2025, 2, 1)), F.pmod("id", F.lit(20)).cast("int"))).alias("day"),
+        )
+        snapshot_table.overwrite(df, table, ("day",))
+    finally:
+        spark.conf.set(name, before)
+    sizes = {r["folder"]: r["files"] for r in upkeep.file_inventory(spark, table).groupBy("folder").agg(F.count("*").alias("files")).collect()}
+    assert len(sizes) == 21
+    assert sizes["data_version=0/day=2025-01-01"] > 2
+    assert sorted(sizes.values())[10] == 1  # most small days are one file
+    assert snapshot_table.read(spark, table).count() == 120000
+
+
 def test_vacuum_counts_age_from_replacement(spark, table):
     t0 = datetime(2025, 1, 1, tzinfo=timezone.utc)
     d = [date(2025, 1, 1), date(2025, 1, 2)]

@@ -28,7 +28,7 @@ from tierline.sources.scratch import staged
 
 _SNAPSHOT_SCHEMA = (
     "folders MAP<STRING, BIGINT>, partition_by ARRAY<STRING>, table_schema STRING, "
-    "operation STRING, source_version BIGINT, committed_at TIMESTAMP"
+    "operation STRING, source_version BIGINT, packed MAP<BIGINT, STRING>, committed_at TIMESTAMP"
 )
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 _IN = "_in_partition"
@@ -42,6 +42,7 @@ class Snapshot:
     schema: StructType
     operation: str
     source_version: int | None
+    packed: dict[int, str]  # data version written by upkeep -> column it is clustered by, or ""
     committed_at: datetime
 
     def paths(self, table: str, folders: list[str] | None = None) -> list[str]:
@@ -82,6 +83,7 @@ def snapshots(spark: SparkSession, table: str, only: list[int] | None = None) ->
             schema=StructType.fromJson(json.loads(r["table_schema"])),
             operation=r["operation"],
             source_version=r["source_version"],
+            packed=dict(r["packed"]),
             committed_at=r["committed_at"].astimezone(timezone.utc),
         )
         for r in rows
@@ -173,6 +175,7 @@ def _commit(
     operation: str,
     source_version: int | None,
     committed_at: datetime | None,
+    packed: dict[int, str],
 ) -> int:
     row = (
         folders,
@@ -180,6 +183,7 @@ def _commit(
         _nullable(schema).json(),
         operation,
         source_version,
+        packed,
         committed_at or datetime.now(timezone.utc),
     )
     target = f"{table}/snapshots/version={version}"
@@ -208,6 +212,7 @@ def overwrite(
         operation,
         source_version,
         committed_at,
+        {},
     )
 
 
@@ -295,12 +300,19 @@ def replace_folders(
     source_version: int | None = None,
     committed_at: datetime | None = None,
     spread: bool = False,
+    packed_by: str | None = None,
 ) -> int:
-    """New version with the rows of ``df`` in place of some folders of ``snap``."""
+    """New version with the rows of ``df`` in place of some folders of ``snap``.
+
+    Upkeep passes ``packed_by`` to mark what it wrote, so that it does not write it again.
+    """
     version, written = _stage_version(df, table, snap.partition_by, spread)
     gone = set(rewritten)
     folders = {f: v for f, v in snap.folders.items() if f not in gone}
     folders.update({f: version for f in written})
+    packed = {v: c for v, c in snap.packed.items() if v in folders.values()}
+    if packed_by is not None:
+        packed[version] = packed_by
     return _commit(
         df.sparkSession,
         table,
@@ -311,6 +323,7 @@ def replace_folders(
         operation,
         snap.source_version if source_version is None else source_version,
         committed_at,
+        packed,
     )
 
 

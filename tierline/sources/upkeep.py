@@ -48,26 +48,32 @@ def optimize(
 ) -> int | None:
     """Rewrite small files into files near ``target_bytes``; rows stay the same.
 
-    With ``cluster_by`` every partition is rewritten, sorted on that column, so that a
-    filter on it skips files. Without it only partitions with more files than they need
-    are rewritten, and None is returned if there are none.
+    With ``cluster_by`` partitions not yet clustered by that column are rewritten, sorted on
+    it, so that a filter on it skips files. Without it those with more files than they need
+    are. What an earlier call wrote and nothing touched since is left alone; None is
+    returned if nothing is left to do.
 
     Rows are range-partitioned on partition, cluster column and a row hash: a partition
     or a cluster value that holds a large part of the table is still cut into pieces of
     the same size.
     """
     snap = snapshot_table.snapshot(spark, table)
-    if not snap.folders:
+    todo = [
+        f
+        for f, v in snap.folders.items()
+        if v not in snap.packed or (cluster_by is not None and snap.packed[v] != cluster_by)
+    ]
+    if not todo:
         return None
-    sizes = file_inventory(spark, table, snap).groupBy("folder").agg(
-        F.count("*").alias("files"), F.sum("bytes").alias("bytes")
+    sizes = (
+        _listing(spark, snap.paths(table, todo))
+        .groupBy("folder")
+        .agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"))
     )
     if cluster_by is None:
         sizes = sizes.filter(F.col("files") > F.ceil(F.col("bytes") / F.lit(target_bytes)))
     chosen = {r["folder"]: r["bytes"] for r in sizes.collect()}  # one row per partition folder
-    rewritten = [
-        f for f, v in snap.folders.items() if f"data_version={v}/{f}".rstrip("/") in chosen
-    ]
+    rewritten = [f for f in todo if f"data_version={snap.folders[f]}/{f}".rstrip("/") in chosen]
     if not rewritten:
         return None
     # At least one task per core while there are folders to go round: a cut through a
@@ -81,7 +87,9 @@ def optimize(
     packed = rows.repartitionByRange(pieces, *order, F.xxhash64(*rows.columns))
     if order:
         packed = packed.sortWithinPartitions(*order)
-    return snapshot_table.replace_folders(packed, table, snap, rewritten, "optimize")
+    return snapshot_table.replace_folders(
+        packed, table, snap, rewritten, "optimize", packed_by=cluster_by or ""
+    )
 
 
 def _live(history: list[Snapshot], cutoff: datetime) -> list[Snapshot]:
