@@ -18,6 +18,7 @@ from pyspark.sql.types import StructType
 
 from tierline.schemas import enforce
 from tierline.sources import files
+from tierline.sources.settings import few_listing_tasks
 
 VERSION = "ingest_version"
 KEY = "batch_key"
@@ -107,4 +108,5 @@ def read(
         raise FileNotFoundError(f"no committed batch in {table} for as_of={as_of} after={after}")
     reader = spark.read.option("basePath", table)
     reader = reader.schema(schema) if schema is not None else reader.option("mergeSchema", True)
-    return reader.parquet(*[a.path for a in done])
+    with few_listing_tasks(spark):
+        return reader.parquet(*[a.path for a in done])

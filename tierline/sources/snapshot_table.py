@@ -12,8 +12,7 @@ handles grows with the number of partitions only. One writer per table at a time
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from urllib.parse import unquote
@@ -25,6 +24,7 @@ from pyspark.sql.types import StructType
 from tierline.schemas import enforce
 from tierline.sources import files
 from tierline.sources.scratch import staged
+from tierline.sources.settings import all_cores, few_listing_tasks
 
 _SNAPSHOT_SCHEMA = (
     "folders MAP<STRING, BIGINT>, partition_by ARRAY<STRING>, table_schema STRING, "
@@ -110,7 +110,9 @@ def read_folders(
     if not paths:
         return spark.createDataFrame([], snap.schema)
     reader = spark.read.schema(snap.schema).option("basePath", f"{table}/data")
-    return reader.parquet(*paths).select(*snap.schema.fieldNames())
+    with few_listing_tasks(spark):
+        rows = reader.parquet(*paths)
+    return rows.select(*snap.schema.fieldNames())
 
 
 def read(spark: SparkSession, table: str, version: int | None = None) -> DataFrame:
@@ -132,18 +134,6 @@ def _written_folders(spark: SparkSession, root: str, depth: int) -> list[str]:
     return ["/".join(p.split("/")[-depth:]) for p in found]
 
 
-@contextmanager
-def _all_cores(spark: SparkSession) -> Iterator[None]:
-    """Let even a small write use every core: with many partitions, files cost more than bytes."""
-    name = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "64kb")
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def _stage_version(
     df: DataFrame, table: str, partition_by: tuple[str, ...], spread: bool = True
 ) -> tuple[int, list[str]]:
@@ -160,7 +150,7 @@ def _stage_version(
     writer = out.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    with _all_cores(spark):
+    with all_cores(spark):
         writer.parquet(root)
     return version, _written_folders(spark, root, len(partition_by))
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.sources import files, snapshot_table
+from tierline.sources.settings import few_listing_tasks
 from tierline.sources.snapshot_table import Snapshot
 
 # File size aimed at, and the shortest retention allowed without force.
@@ -20,17 +21,18 @@ _FOLDER = r"/data/(data_version=\d+(?:/[^/]+=[^/]+)*)/[^/]+$"
 
 def _listing(spark: SparkSession, paths: list[str]) -> DataFrame:
     """One row per file; names and sizes only, contents are not opened."""
-    return (
+    reader = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.parquet")
-        .load(paths)
-        .select(
-            F.regexp_extract("path", _FOLDER, 1).alias("folder"),
-            "path",
-            F.col("length").alias("bytes"),
-            F.col("modificationTime").alias("modified_at"),
-        )
+    )
+    with few_listing_tasks(spark):
+        found = reader.load(paths)
+    return found.select(
+        F.regexp_extract("path", _FOLDER, 1).alias("folder"),
+        "path",
+        F.col("length").alias("bytes"),
+        F.col("modificationTime").alias("modified_at"),
     )
 
 
