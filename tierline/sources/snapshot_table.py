@@ -253,9 +253,10 @@ def upsert(
     the rows they match and returns the rows to keep.
 
     NULL keys match nothing, so such rows are added. ``updates`` must have all columns of
-    the table; new ones become part of it unless ``evolve`` is off. Finding the matches reads the key and partition columns only.
-    The partitions then rewritten are those holding a matched row and those an update
-    row goes to, since an update may move a row from one partition to another.
+    the table; new ones become part of it unless ``evolve`` is off. Finding the matches
+    reads the key and partition columns only. The partitions then rewritten are those
+    holding a matched row and those an update row goes to, since an update may move a row
+    from one partition to another.
     """
     spark = updates.sparkSession
     snap = snapshot(spark, table)
