@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import exact_dedup, mixing, token_files, url_rules
+from tierline.llm import exact_dedup, mixing, pieces, quality, spotsigs, token_files, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -29,6 +29,12 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@_query
+def op1_spotsigs(spark, sf_dir):
+    """Fingerprints of all texts and their edited texts."""
+    return spotsigs.fingerprints(_table(spark, sf_dir, "documents"))
+
+
 @_query
 def op2_token_files(spark, sf_dir):
     """Ids of all documents in files, read back document by document."""
@@ -46,6 +52,16 @@ def op4_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"), digest_all=True)
 
 
+@_query
+def op6_sentencepiece(spark, sf_dir):
+    return pieces.encoded(_table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"))
+
+
+@_query
+def op8_quality(spark, sf_dir):
+    return quality.judged(_table(spark, sf_dir, "documents"))
+
+
 @_query
 def op10_url_rules(spark, sf_dir):
     pages = _table(spark, sf_dir, "pages").select("page_id", "url")

@@ -22,17 +22,16 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tierline.llm.common import arrow_map, by_ranges, shuffle_width, slices, stored, texts_of
+from tierline.llm.pool import PiecePool, starts_of
 from tierline.sources.scratch import scratch_dir
 
 LENGTH = 2048
 ROWS = 64
 END_ID = 0
-#: Pieces of text whose ids a worker keeps. Only speed depends on it.
-KEPT_PIECES = 600_000
 
 
-class PieceEncoder:
-    """Encodes texts with a byte-level BPE of the tokenizers library, each distinct piece once.
+class PieceEncoder(PiecePool):
+    """Encodes texts with a byte-level BPE of the tokenizers library.
 
     A space that a non-space follows always begins a pre-token, so a text may be cut there and
     its pieces encoded apart. Texts where white space follows a space go to the library whole.
@@ -42,62 +41,18 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-        self.codes: dict[str, int] = {}
-        self._reset(np.zeros(0, self.dtype), np.zeros(0, np.int64))
-
-    def _reset(self, pool: np.ndarray, lengths: np.ndarray) -> None:
-        self.pool, self.lengths = pool, lengths
-        self.uses = np.zeros(len(lengths), np.int64)
-
-    def _shrink(self) -> None:
-        """Keep the pieces met more than once."""
-        keep = self.uses > 1
-        if keep.sum() > KEPT_PIECES // 2:
-            keep[:] = False
-        starts = np.concatenate(([0], np.cumsum(self.lengths)))[:-1]
-        number = np.cumsum(keep) - 1
-        self.codes = {p: int(number[c]) for p, c in self.codes.items() if keep[c]}
-        lengths = self.lengths[keep]
-        self._reset(self.pool[runs(starts[keep], lengths)], lengths)
-
-    def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, text by text, and the number of ids of each text."""
-        if len(self.codes) > KEPT_PIECES:
-            self._shrink()
-        codes, new, known = self.codes, [], len(self.codes)
-        pieces: list[list[str]] = []
-        for text in texts:
-            first, *rest = text.split(" ")
-            if any(not r or r[0].isspace() for r in rest):
-                pieces.append([text])
-            else:
-                pieces.append(([first] if first else []) + [" " + r for r in rest])
-        counts = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        for p in dict.fromkeys(chain.from_iterable(pieces)):
-            if p not in codes:
-                codes[p] = known + len(new)
-                new.append(p)
-        if new:
-            got = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-            lengths = np.fromiter(map(len, got), np.int64, len(got))
-            flat = np.fromiter(chain.from_iterable(got), self.dtype, int(lengths.sum()))
-            self.pool = np.concatenate((self.pool, flat))
-            self.lengths = np.concatenate((self.lengths, lengths))
-            self.uses = np.concatenate((self.uses, np.zeros(len(new), np.int64)))
-        at = np.fromiter(map(codes.__getitem__, chain.from_iterable(pieces)), np.int64, int(counts.sum()))
-        self.uses += np.bincount(at, minlength=len(self.uses))
-        starts = np.concatenate(([0], np.cumsum(self.lengths)))[:-1]
-        lengths = self.lengths[at]
-        total = np.concatenate(([0], np.cumsum(lengths)))
-        ends = np.concatenate(([0], np.cumsum(counts)))
-        return self.pool[runs(starts[at], lengths)], np.diff(total[ends])
-
-
-def runs(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """The numbers from each start on, as many as its length says, one run after another."""
-    skip = starts - np.concatenate(([0], np.cumsum(lengths)))[:-1] if len(starts) else starts
-    return np.repeat(skip, lengths) + np.arange(int(lengths.sum()))
+        super().__init__(np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4"))
+
+    def split(self, text: str) -> list[str]:
+        first, *rest = text.split(" ")
+        if any(not r or r[0].isspace() for r in rest):
+            return [text]
+        return ([first] if first else []) + [" " + r for r in rest]
+
+    def ids_of_new(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        lengths = np.fromiter(map(len, got), np.int64, len(got))
+        return np.fromiter(chain.from_iterable(got), self.dtype, int(lengths.sum())), lengths
 
 
 @cache
@@ -132,7 +87,7 @@ class Shard:
         )
 
     def add(self, doc_ids: list, ids: np.ndarray, counts: np.ndarray) -> None:
-        starts = self.tokens + np.concatenate(([0], np.cumsum(counts)))[:-1]
+        starts = self.tokens + starts_of(counts)
         self.docs.write_batch(
             pa.record_batch([pa.array(doc_ids, pa.int64()), pa.array(starts, pa.int64()), pa.array(counts)], schema=self.docs_schema)
         )
