@@ -55,6 +55,34 @@ def broadcast_if_small(df: DataFrame, rows: int = 50_000) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+#: Bits of a bitmap filter. Its broadcast is at most 2**22 / 32768 = 128 rows of 4 kB.
+FILTER_BITS = 22
+_ROW_BITS = 32768
+
+
+def bitmap(hashes: DataFrame) -> DataFrame:
+    """(_row, _bits) of a fixed-size filter that holds all numbers of the only column of ``hashes``."""
+    return (
+        hashes.toDF("_h")
+        .select(F.pmod("_h", F.lit(1 << FILTER_BITS)).alias("_bit"))
+        .groupBy(F.expr(f"_bit div {_ROW_BITS}").alias("_row"))
+        .agg(F.expr(f"bitmap_construct_agg(_bit % {_ROW_BITS})").alias("_bits"))
+    )
+
+
+def in_bitmap(df: DataFrame, bits: DataFrame, number: str, out: str) -> DataFrame:
+    """``df`` with a boolean ``out``: false only if the filter does not hold ``number``.
+
+    A full filter lets everything pass, which costs time and changes no result.
+    """
+    at = df.withColumn("_bit", F.pmod(number, F.lit(1 << FILTER_BITS)))
+    at = at.withColumn("_row", F.expr(f"_bit div {_ROW_BITS}"))
+    byte = F.conv(F.hex(F.expr(f"substring(_bits, cast((_bit % {_ROW_BITS}) div 8 + 1 as int), 1)")), 16, 10)
+    joined = at.join(F.broadcast(bits), "_row", "left").withColumn("_byte", F.coalesce(byte, F.lit("0")).cast("int"))
+    hit = F.expr("shiftright(_byte, cast(_bit % 8 as int)) & 1 = 1")
+    return joined.withColumn(out, hit).drop("_row", "_bit", "_bits", "_byte")
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -163,7 +191,7 @@ def components(links: DataFrame) -> DataFrame:
             )
             edges = moved.where("a <> b").distinct()
         edges = checkpointed(edges)
-        state = tuple(edges.agg(F.count("*"), F.expr("sum(cast(a as decimal(38,0)))"), F.expr("sum(cast(b as decimal(38,0)))")).first())
+        state = tuple(edges.agg(F.count("*"), F.expr("sum(cast(xxhash64(a, b) as decimal(38,0)))")).first())
         if state == before:
             break
         before = state

@@ -13,15 +13,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierline.llm.common import checkpointed
+from tierline.llm.common import bitmap, checkpointed, in_bitmap
 
 #: White space that does not count.
 BLANK = " \t\n\x0b\x0c\r"
 PREFIX_CHARS = 256
-#: Bits in the bitmap of survivors: at most 2**22 / 32768 = 128 rows of 4 kB are broadcast.
-FILTER_BITS = 22
-_ROW_BITS = 32768
-
 
 def normalised(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), BLANK, "")
@@ -33,31 +29,18 @@ def _with_prefix(df: DataFrame, text: str) -> DataFrame:
     return plain.withColumns({"_len": F.length("_plain"), "_head": head})
 
 
-def _bit(length: Column, head: Column) -> Column:
-    return F.pmod(F.xxhash64(length, head), F.lit(1 << FILTER_BITS))
-
-
 def survivors(df: DataFrame, text: str = "text") -> DataFrame:
-    """Bitmap rows (_row, _bits) over the (length, prefix hash) pairs that occur at least twice."""
+    """Bitmap over the (length, prefix hash) pairs that occur at least twice."""
     small = _with_prefix(df, text).groupBy("_len", "_head").agg(F.count("*").alias("_n"))
     lengths = small.groupBy("_len").agg(F.sum("_n").alias("_all")).where("_all > 1").select("_len")
     pairs = small.where("_n > 1").join(lengths, "_len", "left_semi")
-    bit = _bit(F.col("_len"), F.col("_head"))
-    return (
-        pairs.select(bit.alias("_bit"))
-        .groupBy(F.expr(f"_bit div {_ROW_BITS}").alias("_row"))
-        .agg(F.expr(f"bitmap_construct_agg(_bit % {_ROW_BITS})").alias("_bits"))
-    )
+    return bitmap(pairs.select(F.xxhash64("_len", "_head")))
 
 
-def _marked(df: DataFrame, bitmap: DataFrame, text: str) -> DataFrame:
+def _marked(df: DataFrame, bits: DataFrame, text: str) -> DataFrame:
     """Rows with ``_alive``: whether another row may share length and prefix."""
-    at = _with_prefix(df, text).withColumn("_bit", _bit(F.col("_len"), F.col("_head")))
-    at = at.withColumn("_row", F.expr(f"_bit div {_ROW_BITS}"))
-    byte = F.conv(F.hex(F.expr(f"substring(_bits, cast((_bit % {_ROW_BITS}) div 8 + 1 as int), 1)")), 16, 10)
-    hit = F.expr("shiftright(_byte, cast(_bit % 8 as int)) & 1 = 1")
-    joined = at.join(F.broadcast(bitmap), "_row", "left").withColumn("_byte", F.coalesce(byte, F.lit("0")).cast("int"))
-    return joined.withColumn("_alive", hit).drop("_row", "_bit", "_bits", "_byte")
+    at = _with_prefix(df, text).withColumn("_pair", F.xxhash64("_len", "_head"))
+    return in_bitmap(at, bits, "_pair", "_alive").drop("_pair")
 
 
 def _full_hash() -> Column:
@@ -113,10 +96,10 @@ def drop_copies(df: DataFrame, id_column: str = "doc_id", text: str = "text") ->
     Rows that the bitmap clears pass without a shuffle. Of the others, only those that share
     their full hash with another row lose their text to a comparison of ranks.
     """
-    bitmap = checkpointed(survivors(df.select(text), text))
+    bits = checkpointed(survivors(df.select(text), text))
     columns: Sequence[str] = df.columns
     held = df.select(F.struct("*").alias("_doc"), F.col(id_column).alias("_id"), F.col(text).alias("_text"))
-    marked = _marked(held, bitmap, "_text")
+    marked = _marked(held, bits, "_text")
     free = marked.where(~F.col("_alive")).select("_doc.*")
     chars = F.length(F.coalesce("_text", F.lit("")))
     order = F.struct(
