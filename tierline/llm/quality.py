@@ -178,7 +178,7 @@ def train(df: DataFrame, text: str = "text", sample: int = SAMPLE) -> np.ndarray
     chosen = df.select(F.col(text).alias("text")).withColumn("h", F.xxhash64("text"))
     # Of hashes of all rows, the smallest: about twice as many as wanted pass, then the first are kept.
     share = min(1.0, 2.0 * sample / counts.sum())
-    few = chosen.where(F.col("h") <= F.lit(int(-(2**63) + share * (2**64 - 1)))).orderBy("h").limit(sample)
+    few = chosen.where(F.col("h") <= F.lit(min(int(share * 2**64) - 2**63, 2**63 - 1))).orderBy("h").limit(sample)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -5,9 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tierline.llm import exact_dedup, mixing, pieces, quality, spotsigs, token_files, url_rules
+from tierline.llm import (
+    compact_windows,
+    exact_dedup,
+    licenses,
+    mixing,
+    near_dedup,
+    pieces,
+    quality,
+    spotsigs,
+    token_files,
+    url_rules,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -52,16 +62,31 @@ def op4_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"), digest_all=True)
 
 
+@_query
+def op5_repeated_passages(spark, sf_dir):
+    return compact_windows.repeated_passages(_table(spark, sf_dir, "documents"))
+
+
 @_query
 def op6_sentencepiece(spark, sf_dir):
     return pieces.encoded(_table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"))
 
 
+@_query
+def op7_license_scan(spark, sf_dir):
+    return licenses.found_licenses(_table(spark, sf_dir, "documents"))
+
+
 @_query
 def op8_quality(spark, sf_dir):
     return quality.judged(_table(spark, sf_dir, "documents"))
 
 
+@_query
+def op9_near_dedup(spark, sf_dir):
+    return near_dedup.near_groups(_table(spark, sf_dir, "documents")).drop("mark")
+
+
 @_query
 def op10_url_rules(spark, sf_dir):
     pages = _table(spark, sf_dir, "pages").select("page_id", "url")
