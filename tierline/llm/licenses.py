@@ -54,21 +54,27 @@ def _runs(words: list[str]) -> list[str]:
     return [" ".join(words[i : i + SHINGLE]) for i in range(len(words) - SHINGLE + 1)]
 
 
-def key_words(templates: dict[str, str]) -> list[str]:
-    """Words such that every shingle of every template holds one: a text without any can hold no match.
+def key_words(templates: dict[str, str], containment: float = CONTAINMENT) -> list[str]:
+    """Words of which every text that matches a template holds one.
 
-    Of a shingle only words of seven letters, or else its longest, are taken: short ones are in most texts.
+    A match has the share ``containment`` of a template's shingles, so at least one of any that are more than
+    the rest. Of these shingles, each holds one of the words. Words of seven letters or more are
+    preferred, as short ones are in most texts.
     """
-    left = {s for t in templates.values() for s in _runs(_words(t))}
+    runs = {n: set(_runs(_words(t))) for n, t in templates.items()}
+    spare = {n: len(r) - math.ceil(containment * len(r) - 1e-9) for n, r in runs.items()}
     out: list[str] = []
-    while left:
+    while wanting := [n for n in runs if len(runs[n]) > 0 and spare[n] >= 0]:
         cover: dict[str, int] = defaultdict(int)
-        for s in left:
-            for w in set(s.split()):
-                cover[w] += len(w) >= min(7, max(map(len, s.split())))
-        best = min(cover, key=lambda w: (-cover[w], -len(w), w))
+        for n in wanting:
+            for w in {w for s in runs[n] for w in s.split()}:
+                cover[w] += min(spare[n] + 1, sum(w in s.split() for s in runs[n]))
+        best = min(cover, key=lambda w: (len(w) < 7, -cover[w], -len(w), w))
         out.append(best)
-        left = {s for s in left if best not in s.split()}
+        for n in wanting:
+            covered = {s for s in runs[n] if best in s.split()}
+            runs[n] -= covered
+            spare[n] -= len(covered)
     return out
 
 
@@ -120,7 +126,7 @@ def found_licenses(
     rows = df.select(F.col(id_column).alias("id"), F.col(text).alias("text"), F.monotonically_increasing_id().alias("row"))
     lower = F.lower("text")
     hit = F.lit(False)
-    for word in key_words(templates):
+    for word in key_words(templates, containment):
         hit = hit | F.contains(lower, F.lit(word))
     rows = _once(rows.where(hit), "words", F.regexp_extract_all(F.lower("text"), F.lit(WORD), 0)).drop("text").where(F.size("words") >= SHINGLE)
     shingle = F.transform(F.sequence(F.lit(1), F.size("words") - SHINGLE + 1), lambda i: F.xxhash64(F.concat_ws(" ", F.slice("words", i, SHINGLE))))
