@@ -29,13 +29,17 @@ from tierline.llm.common import (
 )
 
 SIMILARITY = 0.8
-#: Coordinates, cut in bands of ROWS; at a similarity of 0.8 two texts share one of 16 bands with 0.9998.
-COORDINATES, ROWS = 64, 4
-#: Candidates that agree in fewer coordinates than this share (6 deviations below 0.8) are not compared.
-LEAST_SHARE = 0.5
+#: Coordinates, and how many of them go into each band. At a similarity of 0.8 two texts share one of
+#: the 24 bands with a probability of 0.99993.
+COORDINATES, ROWS, BANDS = 256, 5, 24
+#: One bit of each coordinate is kept. Bits agree with (1 + similarity) / 2: candidates 5 deviations below
+#: what 0.8 gives (a chance of 3 in 10 million) are not compared.
+WORDS = COORDINATES // 64
+LEAST_BITS = 206
 #: Ranks at which cells of the plane begin: [0, 1/256), then four times as far up to 1, then units.
 _LOW = np.array([0, 2.0**-8, 2.0**-6, 2.0**-4, 2.0**-2])
 _HIGH = np.array([2.0**-8, 2.0**-6, 2.0**-4, 2.0**-2, 1])
+_BITS = [f"bits{i}" for i in range(WORDS)]
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -95,12 +99,13 @@ def earliest_darts(flat: np.ndarray, per_text: np.ndarray, k: int = COORDINATES)
 
 
 def signatures(ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Band keys, and two bytes for each coordinate."""
+    """Band keys, and one bit of each coordinate in numbers of 64."""
     bits = mixed(ranks.view(np.uint64).reshape(ranks.shape))
-    keys = np.zeros((len(ranks), COORDINATES // ROWS), np.uint64)
+    keys = np.zeros((len(ranks), BANDS), np.uint64)
     for j in range(ROWS):
-        keys = mixed(keys * _GOLD + bits[:, j::ROWS])
-    return keys.view(np.int64), (bits & np.uint64(0xFFFF)).astype("<u2")
+        keys = mixed(keys * _GOLD + bits[:, j * BANDS : (j + 1) * BANDS])
+    low = np.packbits((bits & np.uint64(1)).astype(bool), axis=1).reshape(len(ranks), -1)
+    return keys.view(np.int64), np.ascontiguousarray(low).view(np.int64).reshape(len(ranks), WORDS)
 
 
 def _node(flat: np.ndarray, per_text: np.ndarray) -> np.ndarray:
@@ -118,7 +123,7 @@ def _nodes(x: np.ndarray) -> pa.Array:
 
 
 def sketched(rows: DataFrame) -> DataFrame:
-    """From (id, mark, text): id, mark, node (same for same sets), n elements, bands, est."""
+    """From (id, mark, text): id, mark, node (same for same sets), n elements, bands, bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -131,12 +136,12 @@ def sketched(rows: DataFrame) -> DataFrame:
                 yield pa.record_batch(
                     [
                         part.column("id"), part.column("mark"), _nodes(_node(flat, per_text)), pa.array(per_text),
-                        pa.ListArray.from_arrays(ends, pa.array(keys.reshape(-1))), _nodes(est),
+                        pa.ListArray.from_arrays(ends, pa.array(keys.reshape(-1))), *map(pa.array, est.T.copy()),
                     ],
-                    names=["id", "mark", "node", "n", "bands", "est"],
+                    names=["id", "mark", "node", "n", "bands", *_BITS],
                 )
 
-    return arrow_map(rows, run, "id long, mark long, node binary, n long, bands array<long>, est binary")
+    return arrow_map(rows, run, "id long, mark long, node binary, n long, bands array<long>, " + ", ".join(f"{b} long" for b in _BITS))
 
 
 def whole_sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -155,25 +160,9 @@ def whole_sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     return arrow_map(few, run, "node binary, elements binary").dropDuplicates(["node"])
 
 
-def agreeing(pairs: DataFrame, texts: DataFrame, at_least: float) -> DataFrame:
-    """Pairs (a, b) whose sizes and signatures allow the similarity."""
-    est = texts.select("node", "n", "est")
-    both = (
-        pairs.join(est.toDF("a", "n_a", "est_a"), "a").join(est.toDF("b", "n_b", "est_b"), "b")
-        .where(F.least("n_a", "n_b") >= at_least * F.greatest("n_a", "n_b"))
-    )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), "<u2").reshape(-1, COORDINATES) for c in ("est_a", "est_b"))
-            yield b.select(["a", "b"]).filter(pa.array((x == y).mean(axis=1) >= LEAST_SHARE))
-
-    return arrow_map(both.select("a", "b", "est_a", "est_b"), run, "a binary, b binary")
-
-
 def alike(pairs: DataFrame, sets: DataFrame, at_least: float) -> DataFrame:
     """Pairs (a, b) whose weighted Jaccard similarity is at least so high."""
-    nodes = broadcast_if_small(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+    nodes = broadcast_if_small(pairs.select("a").union(pairs.select("b")).distinct().toDF("node"))
     needed = sets.join(nodes, "node", "left_semi")
     both = pairs.join(needed.toDF("b", "set_b"), "b").join(needed.toDF("a", "set_a"), "a")
 
@@ -191,9 +180,9 @@ def alike(pairs: DataFrame, sets: DataFrame, at_least: float) -> DataFrame:
 
 def linked(rows: DataFrame, texts: DataFrame, at_least: float) -> DataFrame:
     """(id, root) of the nodes of ``texts`` in classes of more than one node."""
-    bands = texts.where("n > 0").select("node", F.posexplode("bands").alias("band", "key"))
+    bands = texts.where("n > 0").select("node", "n", *_BITS, F.posexplode("bands").alias("band", "key"))
     # A partial count first: one row for each task and group is shuffled.
-    shared = bands.groupBy("band", "key").agg(F.count("*").alias("size")).where("size > 1")
+    shared = bands.select("band", "key").groupBy("band", "key").agg(F.count("*").alias("size")).where("size > 1")
     members = stored(bands.join(shared, ["band", "key"]), "near-members")
     in_groups = members.select("node").distinct()
     sets = stored(whole_sets(rows, texts.join(in_groups, "node", "left_semi").select("mark")), "near-sets")
@@ -210,14 +199,18 @@ def linked(rows: DataFrame, texts: DataFrame, at_least: float) -> DataFrame:
         if largest is None:
             break
         rank = F.row_number().over(W.partitionBy("band", "key").orderBy(F.xxhash64("node"), "node"))
-        first = now.withColumn("rank", rank).where(F.col("rank") <= leaders).select("band", "key", F.col("node").alias("a"), F.col("root").alias("ra"))
-        found = first.join(now.withColumnRenamed("node", "b"), ["band", "key"]).where("ra <> root")
-        pairs = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        first = now.withColumn("rank", rank).where(F.col("rank") <= leaders)
+        first = first.select("band", "key", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"), *[F.col(b).alias(f"a_{b}") for b in _BITS])
+        # Sizes and bits are compared inside the join, so only likely pairs come out of it.
+        differ = sum((F.bit_count(F.col(b).bitwiseXOR(F.col(f"a_{b}"))) for b in _BITS), F.lit(0))
+        likely = (F.least("n", "na") >= at_least * F.greatest("n", "na")) & (differ <= COORDINATES - LEAST_BITS)
+        met = (F.col("l.band") == F.col("m.band")) & (F.col("l.key") == F.col("m.key")) & (F.col("l.ra") != F.col("m.root")) & likely
+        found = first.alias("l").join(now.alias("m"), met).select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
+        pairs = found.distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = checkpointed(pairs)
-        close = checkpointed(agreeing(pairs, texts, at_least))
-        new = alike(close, sets, at_least)
+        new = alike(pairs, sets, at_least)
         links = checkpointed(new if links is None else links.union(new))
         tested = checkpointed(pairs if tested is None else tested.union(pairs))
         if leaders >= largest:
@@ -242,8 +235,8 @@ def near_groups(df: DataFrame, id_column: str = "doc_id", text: str = "text", at
     order = F.struct(F.col("id").isNull().alias("null"), F.col("id").alias("id"), "mark", "place")
     texts = stored(
         sketch.groupBy("node").agg(F.min(order).alias("first"), F.count("*").alias("copies"), F.any_value("n").alias("n"),
-                                   F.any_value("bands").alias("bands"), F.any_value("est").alias("est"))
-        .select("node", "first", "first.mark", "copies", "n", "bands", "est"),
+                                   F.any_value("bands").alias("bands"), *[F.any_value(b).alias(b) for b in _BITS])
+        .select("node", "first", "first.mark", "copies", "n", "bands", *_BITS),
         "near-texts",
     )
     roots = linked(rows, texts, at_least)
