@@ -31,11 +31,11 @@ from tierline.llm.common import (
 SIMILARITY = 0.8
 #: Coordinates, and how many of them go into each band. At a similarity of 0.8 two texts share one of
 #: the 24 bands with a probability of 0.99993.
-COORDINATES, ROWS, BANDS = 256, 5, 24
-#: One bit of each coordinate is kept. Bits agree with (1 + similarity) / 2: candidates 5 deviations below
-#: what 0.8 gives (a chance of 3 in 10 million) are not compared.
+COORDINATES, ROWS, BANDS = 512, 5, 24
+#: One bit of each coordinate is kept. Bits agree with (1 + similarity) / 2: candidates 3.5 deviations below
+#: what 0.8 gives (a chance of 2 in 10000 at 0.8, of none to speak of above) are not compared.
 WORDS = COORDINATES // 64
-LEAST_BITS = 206
+LEAST_BITS = 437
 #: Ranks at which cells of the plane begin: [0, 1/256), then four times as far up to 1, then units.
 _LOW = np.array([0, 2.0**-8, 2.0**-6, 2.0**-4, 2.0**-2])
 _HIGH = np.array([2.0**-8, 2.0**-6, 2.0**-4, 2.0**-2, 1])
