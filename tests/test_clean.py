@@ -108,3 +108,11 @@ def test_one_key_holding_most_rows(spark):
         F.lit("us").alias("country"),
     )
     assert clean.silver(hot).count() == 6667 + 1
+
+
+def test_of_one_time_the_last_delivery_wins(spark):
+    row = ("T-9", "C-9", "P-9", {}, "3.50", "EUR", "2024-06-01 08:00:00", "fr", {})
+    rows = [tuple(q if x == {} and i == 3 else v if x == {} else x for i, x in enumerate(row)) for q, v in (("2", 0), ("5", 1))]
+    names = "transaction_id STRING, customer_id STRING, product_id STRING, quantity STRING, unit_price STRING, currency STRING, event_ts STRING, country STRING, ingest_version BIGINT"
+    got = clean.silver(spark.createDataFrame(rows, names)).collect()
+    assert [r["quantity"] for r in got] == [5]

@@ -80,6 +80,15 @@ def test_money_sum_keeps_amounts_beyond_the_decimal(spark):
     assert empty.agg(money.money_sum(F.col("x"))).first()[0] is None
 
 
+def test_money_sum_keeps_tiny_amounts_and_large_ones(spark):
+    tiny = spark.createDataFrame([(4e-7,)] * 1000, "x DOUBLE")
+    assert tiny.agg(money.money_sum(F.col("x"))).first()[0] == 0.0004
+    large = [(1e25,), (3.0,), (-1e25,), (1e24,), (-1e24,)]
+    for parts in (1, 3, 5):
+        df = spark.createDataFrame(large, "x DOUBLE").repartition(parts)
+        assert df.agg(money.money_sum(F.col("x"))).first()[0] == 3.0
+
+
 def test_squared_l2(spark):
     df = spark.createDataFrame([([1.0, 2.0], [4.0, 6.0]), ([1.0], [1.0, 2.0])], "a ARRAY<FLOAT>, b ARRAY<FLOAT>")
     got = [r[0] for r in df.select(vectors.squared_l2(F.col("a"), F.col("b"))).collect()]

@@ -81,13 +81,18 @@ def test_kpis(daily, ltv):
 def test_pivot(daily):
     for countries in (None, ["gb", "us"]):
         got = dashboard.revenue_by_country(daily, countries)
-        assert got.columns == ["event_date", "gb", "us"]
-        assert [tuple(r) for r in got.collect()] == [
+        assert got.columns == ["event_date", "gb", "us", *(["other"] if countries else [])]
+        assert [tuple(r)[:3] for r in got.collect()] == [
             (date(2025, 1, 1), 50.0, 100.0),
             (date(2025, 1, 2), 0.0, 25.0),
         ]
 
 
+def test_pivot_keeps_countries_outside_the_list(daily):
+    got = dashboard.revenue_by_country(daily, ["gb"]).collect()
+    assert [(r["gb"], r["other"]) for r in got] == [(50.0, 100.0), (0.0, 25.0)]
+
+
 def test_top_customers(ltv):
     assert [r["customer_id"] for r in dashboard.top_customers(ltv, 2).collect()] == ["c1", "c2"]
     assert dashboard.top_customers(ltv).count() == 3

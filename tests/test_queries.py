@@ -8,6 +8,7 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as spark_entry
+from tierline.plans import catalog, equivalents
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = ("lineitem", "orders", "customer", "nation", "embeddings")
@@ -37,8 +38,8 @@ def duck():
 
 
 def test_every_query_has_sql_or_is_known_to_have_none():
-    assert set(spark_entry.queries()) - set(spark_entry.oracle_sql()) == ROWS_ONLY
-    assert set(spark_entry.oracle_sql()) <= set(spark_entry.queries())
+    assert set(catalog.QUERIES) - set(equivalents.SQL) == ROWS_ONLY
+    assert set(equivalents.SQL) <= set(catalog.QUERIES)
 
 
 def test_entry(spark):
@@ -47,7 +48,7 @@ def test_entry(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(set(spark_entry.oracle_sql()) - WRITES_DAYS))
+@pytest.mark.parametrize("name", sorted(set(equivalents.SQL) - WRITES_DAYS))
 def test_same_rows_as_sql(spark, duck, name):
     df = spark_entry.queries()[name](spark, SF_DIR)
     columns = sorted(df.columns)

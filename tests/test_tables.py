@@ -32,7 +32,7 @@ def test_append_and_time_travel(spark, table):
 def test_the_same_batch_replaces_itself(spark, table):
     append_table.append(spark.range(3), table, "b-0")
     append_table.append(spark.range(5), table, "b-1")
-    assert append_table.append(spark.range(3), table, "b-0") == 0
+    assert append_table.append(spark.range(3), table, "b-0") == 2
     assert append_table.read(spark, table).count() == 8
 
 
@@ -325,3 +325,21 @@ def test_null_report(spark):
     assert got == {"transaction_id": 1, "currency": 2}
     with pytest.raises(schemas.SchemaMismatch, match="1 NULLs in transaction_id"):
         schemas.assert_not_null(df, schemas.SILVER_TRANSACTIONS)
+
+
+def test_upsert_into_an_empty_text_partition_loses_no_row(spark, table):
+    rows = spark.createDataFrame([("a", None), ("c", "x")], "k STRING, p STRING")
+    snapshot_table.write_or_upsert(rows, table, ["k"], ("p",))
+    snapshot_table.write_or_upsert(spark.createDataFrame([("b", "")], "k STRING, p STRING"), table, ["k"], ("p",))
+    assert {r["k"] for r in snapshot_table.read(spark, table).collect()} == {"a", "b", "c"}
+
+
+def test_a_failed_replacement_keeps_the_batch(spark, table):
+    append_table.append(spark.range(7), table, "day")
+    broken = spark.range(4).selectExpr("id + raise_error('no') AS id")
+    with pytest.raises(Exception, match="no"):
+        append_table.append(broken, table, "day")
+    assert append_table.read(spark, table).count() == 7
+    assert append_table.append(spark.range(3), table, "day") == 2
+    assert append_table.read(spark, table, after=0).count() == 3
+    assert append_table.read(spark, table).count() == 3

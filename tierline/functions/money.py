@@ -7,16 +7,27 @@ from pyspark.sql import functions as F
 
 # Micro-units: finer than any currency, and wide enough for 1e22 per row.
 MONEY_TYPE = "decimal(28,6)"
+# For what lies below micro-units, and for amounts from 1e22 up.
+FINE_TYPE = "decimal(38,24)"
+LARGE_TYPE = "decimal(38,0)"
+# A remainder below this share of its amount is noise of binary fractions.
+NOISE = 1e-14
 
 
 def money_sum(c: Column) -> Column:
     """Sum that does not depend on row order, partitioning or task retries.
 
     Double addition is not associative, so a shuffled sum changes in its last
-    digits from run to run. Amounts are added as decimals instead. An amount too
-    large for the decimal (or not finite) is added as a double, so no row is lost
-    and no overflow is raised.
+    digits from run to run. Amounts are added as decimals instead: in micro-units, their
+    remainders in finer units, and amounts from 1e22 in whole units. From 1e38, and where
+    whole units overflow in sum, doubles are added, whose last digits may depend on order.
     """
     exact = c.try_cast(MONEY_TYPE)
-    beyond = F.sum(F.when(exact.isNull(), c))
-    return F.coalesce(F.sum(exact).cast("double") + F.coalesce(beyond, F.lit(0.0)), beyond)
+    rest = c - exact.cast("double")
+    fine = F.when(F.abs(rest) > F.abs(c) * NOISE, rest).try_cast(FINE_TYPE)
+    large = F.when(exact.isNull(), c).try_cast(LARGE_TYPE)
+    huge = F.sum(F.when(exact.isNull() & large.isNull(), c))
+    large_sum = F.coalesce(F.try_sum(large).cast("double"), F.sum(large.cast("double")))
+    parts = [F.sum(exact).cast("double"), F.sum(fine).cast("double"), large_sum, huge]
+    some = F.coalesce(*parts)
+    return F.when(some.isNotNull(), sum((F.coalesce(p, F.lit(0.0)) for p in parts), F.lit(0.0)))

@@ -7,16 +7,17 @@ from pyspark.sql import functions as F
 
 
 def visible_rows(
-    df: DataFrame, scope: DataFrame, analyst: str, is_admin: bool = False, column: str = "country"
+    df: DataFrame, scope: DataFrame, analyst: str | None = None, is_admin: bool = False, column: str = "country"
 ) -> DataFrame:
     """All rows for an admin, else those whose country is in the analyst's scope.
 
-    ``scope`` has columns ``analyst`` and ``country``. Spark broadcasts it only below its
+    Without ``analyst`` it is the user of the session. ``scope`` has columns ``analyst`` and ``country``. Spark broadcasts it only below its
     size threshold, and shuffles with skew handling above.
     """
     if is_admin:
         return df
-    allowed = scope.filter(F.col("analyst") == analyst).select(F.col("country").alias(column))
+    who = F.current_user() if analyst is None else F.lit(analyst)
+    allowed = scope.filter(F.col("analyst") == who).select(F.col("country").alias(column))
     return df.join(allowed, column, "left_semi").select(*df.columns)
 
 

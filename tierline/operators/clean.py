@@ -21,6 +21,11 @@ from tierline.schemas import RAW_COLUMNS, SILVER_COLUMNS
 KEY = "transaction_id"
 
 
+# What tells later deliveries from earlier ones, where a frame has it: a mark of the upsert and
+# the version of the Bronze batch.
+DELIVERY = ("_delivered", "ingest_version")
+
+
 def typed(raw: DataFrame, keep: tuple[str, ...] = (), keep_raw: bool = False) -> DataFrame:
     """The eight transaction columns with their types; unreadable values are NULL.
 
@@ -82,15 +87,23 @@ def rejected_rows(rows: DataFrame, finite_price: bool = True) -> DataFrame:
     )
 
 
+def _delivery(raw: DataFrame) -> tuple[str, ...]:
+    return tuple(c for c in DELIVERY if c in raw.columns)
+
+
 def deduplicated(rows: DataFrame) -> DataFrame:
-    """One row per transaction: the latest, ties settled by the remaining columns.
+    """One row per transaction: the latest, of the same time the last delivered.
+
+    Further ties are settled by the remaining columns.
 
     The order covers the whole payload, so any two runs keep the same row. Spark keeps
     the first row per key before the shuffle already, so a key with very many copies
     sends one row per task.
     """
+    deliveries = [F.col(c).desc_nulls_last() for c in DELIVERY if c in rows.columns]
     order = W.partitionBy(KEY).orderBy(
         F.col("event_ts").desc_nulls_last(),
+        *deliveries,
         *[
             F.col(c).asc_nulls_last()
             for c in ("product_id", "quantity", "unit_price", "customer_id", "country", "currency")
@@ -112,13 +125,13 @@ def derived(rows: DataFrame) -> DataFrame:
 
 def silver(raw: DataFrame, finite_price: bool = True) -> DataFrame:
     """Clean Silver rows: gates first, so a bad copy never displaces a good one."""
-    kept = deduplicated(clean_rows(typed(raw), finite_price))
+    kept = deduplicated(clean_rows(typed(raw, _delivery(raw)), finite_price))
     return derived(kept).select(*SILVER_COLUMNS)
 
 
 def silver_before_rules(raw: DataFrame) -> DataFrame:
     """Silver rows for declared rules: deduplicated first, not gated."""
-    return derived(deduplicated(typed(raw))).select(*SILVER_COLUMNS)
+    return derived(deduplicated(typed(raw, _delivery(raw)))).select(*SILVER_COLUMNS)
 
 
 def silver_rejects(raw: DataFrame, bronze: str, keep: tuple[str, ...] = ()) -> DataFrame:

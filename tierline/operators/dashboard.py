@@ -21,8 +21,13 @@ def revenue_by_country(daily: DataFrame, countries: list[str] | None = None) ->
     """Date by country matrix of revenue, 0 where there is none.
 
     Without ``countries`` their list is read from the mart first. Spark bounds it by
-    ``spark.sql.pivotMaxValues`` and raises beyond, it never drops columns.
+    ``spark.sql.pivotMaxValues`` and raises beyond, it never drops columns. With ``countries``,
+    the column ``other`` holds the revenue of all that are not in the list.
     """
+    if countries is not None:
+        listed = F.coalesce(F.col("country").isin(countries), F.lit(False))
+        daily = daily.withColumn("country", F.when(listed, F.col("country")).otherwise("other"))
+        countries = [*countries, *(["other"] if "other" not in countries else [])]
     grouped = daily.groupBy("event_date").pivot("country", countries)
     return grouped.agg(money_sum(F.col("gross_revenue"))).na.fill(0.0).orderBy("event_date")
 

@@ -30,6 +30,9 @@ ALIAS = "champion"
 
 # Spark's forest takes no unlimited depth; this is the deepest it grows.
 DEEPEST = 30
+# Tasks that training rows are placed in. Bagging goes by task, so the number is fixed: the model
+# does not depend on the cluster.
+TRAIN_TASKS = 32
 
 RUN_SCHEMA = (
     "run_id STRING, model_name STRING, params MAP<STRING, STRING>, metrics MAP<STRING, DOUBLE>, "
@@ -71,17 +74,21 @@ def split(rows: DataFrame, cut: str | None = None) -> tuple[DataFrame, DataFrame
 
 
 def fit(train: DataFrame, trees: int = TREES, max_depth: int | None = MAX_DEPTH) -> PipelineModel:
-    """Fit the forest; runs jobs. Rows are placed by key first, so bagging repeats."""
+    """Fit the forest; runs jobs. Rows are placed by key first, so bagging repeats.
+
+    Spark grows no tree deeper than 30, so an unlimited depth is refused.
+    """
+    if max_depth is None or max_depth > DEEPEST:
+        raise ValueError(f"max_depth {max_depth}: trees grow to {DEEPEST} at most")
     forest = RandomForestRegressor(
         featuresCol="features",
         labelCol=LABEL,
         predictionCol=PREDICTION,
         numTrees=trees,
-        maxDepth=DEEPEST if max_depth is None else max_depth,
+        maxDepth=max_depth,
         seed=SEED,
     )
-    tasks = train.sparkSession.sparkContext.defaultParallelism
-    placed = train.repartition(tasks, "country", "event_date").sortWithinPartitions(
+    placed = train.repartition(TRAIN_TASKS, "country", "event_date").sortWithinPartitions(
         "country", "event_date"
     )
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")

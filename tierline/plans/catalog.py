@@ -444,6 +444,23 @@ def jobs_rejects(spark, sf_dir):
     )
 
 
+@_query
+def upsert_blank_partitions(spark, sf_dir):
+    """Upsert into a table partitioned by a text that is empty or NULL in many rows: none is lost.
+
+    Spark reads the empty text back as NULL.
+    """
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_orderstatus")
+    first = orders.select("o_orderkey", "o_custkey", F.expr("if(o_orderstatus = 'F', 'F', NULL)").alias("part"))
+    blank = F.expr("if(o_orderstatus = 'F', 'F', '')").alias("part")
+    changed = orders.where("o_orderkey % 3 = 0").select("o_orderkey", (F.col("o_custkey") + 1).alias("o_custkey"), blank)
+    table = scratch_dir(spark, "blank-partitions")
+    snapshot_table.write_or_upsert(first.where("o_orderkey % 2 = 0"), table, ["o_orderkey"], ("part",))
+    snapshot_table.write_or_upsert(first.where("o_orderkey % 2 = 1"), table, ["o_orderkey"], ("part",))
+    snapshot_table.write_or_upsert(changed, table, ["o_orderkey"], ("part",))
+    return snapshot_table.read(spark, table)
+
+
 @_query
 def jobs_incremental_silver(spark, sf_dir):
     """Silver after two deliveries, each cleaned on arrival: as if cleaned at once."""

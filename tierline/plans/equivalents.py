@@ -60,6 +60,10 @@ def _ranked(source: str) -> str:
  FROM {source}"""
 
 
+def _ranked_by_delivery(source: str) -> str:
+    return _ranked(source).replace("NULLS LAST,\n", "NULLS LAST, first_delivery,\n", 1)
+
+
 def _derived(ranked: str) -> str:
     return f"""
  SELECT {_COLUMNS}, quantity * unit_price AS revenue, cast(event_ts AS date) AS event_date
@@ -132,6 +136,10 @@ _PIVOT = ", ".join(
     f"coalesce(sum(gross_revenue) FILTER (WHERE country = 'nation_{i}'), 0.0) AS nation_{i}"
     for i in range(25)
 )
+_LISTED = ", ".join(f"'nation_{i}'" for i in range(25))
+_PIVOT += (
+    f", coalesce(sum(gross_revenue) FILTER (WHERE country IS NULL OR country NOT IN ({_LISTED})), 0.0) AS other"
+)
 
 # ---- one statement per query --------------------------------------------------------
 
@@ -234,7 +242,10 @@ SQL: dict[str, str] = {
     "jobs_rejects": _with()
     + f""" SELECT transaction_id, {_REASONS} AS reasons, raw_event_ts
  FROM typed WHERE NOT ({_IS_CLEAN})""",
-    "jobs_incremental_silver": _with(_SILVER) + " SELECT * FROM silver",
+    "upsert_blank_partitions": """
+ SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN o_custkey + 1 ELSE o_custkey END AS o_custkey,
+   CASE WHEN o_orderstatus = 'F' THEN 'F' END AS part FROM orders""",
+    "jobs_incremental_silver": _with(_CLEAN) + _derived(_ranked_by_delivery("clean")),
     "jobs_declarative_daily": _with(_UNGATED)
     + f""" SELECT event_date, country, {_money('revenue')} AS gross_revenue
  FROM ungated WHERE {_CAUGHT} IS NULL GROUP BY event_date, country""",

@@ -42,7 +42,9 @@ def _appends(spark: SparkSession, table: str, pattern: str) -> list[Append]:
 
 
 def committed(spark: SparkSession, table: str) -> list[Append]:
-    return _appends(spark, table, "/_SUCCESS")
+    """The finished batches; of one that was replaced, the newest."""
+    newest = {a.key: a for a in _appends(spark, table, "/_SUCCESS")}
+    return sorted(newest.values(), key=lambda a: a.version)
 
 
 def latest_version(spark: SparkSession, table: str) -> int | None:
@@ -60,8 +62,10 @@ def append(
     """Add ``df`` as one batch and return its version.
 
     Without a ``batch_key`` every call is a new batch. With one, a batch that is there
-    already is replaced under its old version, or left as it is with ``keep``. Columns the
-    table does not have are refused unless ``evolve`` is set.
+    already is replaced, or left as it is with ``keep``. A replacement is written beside the
+    old batch under a new version and counts once it is finished, so a failed attempt loses
+    nothing and readers that follow versions see it. Columns the table does not have are
+    refused unless ``evolve`` is set.
     """
     spark = df.sparkSession
     key = batch_key or f"batch-{uuid.uuid4().hex}"
@@ -75,11 +79,8 @@ def append(
         return same[0].version
     started = _appends(spark, table, "")
     version = max((a.version for a in started), default=-1) + 1
-    if same:
-        version = same[0].version
     df.write.mode("overwrite").parquet(f"{table}/{VERSION}={version}/{KEY}={key}")
-    # What a failed attempt left goes. The batch came under a new version, since readers
-    # that follow versions may be past the old one.
+    # The batch replaced and what failed attempts left go.
     for a in started:
         if a.key == key and a.version != version:
             files.delete(spark, a.path)

@@ -8,7 +8,8 @@ from contextlib import contextmanager
 from pyspark.sql import SparkSession
 
 _LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
-_SMALLEST_TASK = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+# Enough to list thousands of folders side by side, whatever the cluster has at the moment.
+LISTING_TASKS = 64
 
 
 @contextmanager
@@ -22,11 +23,6 @@ def _held(spark: SparkSession, name: str, value: str) -> Iterator[None]:
 
 
 def few_listing_tasks(spark: SparkSession):
-    """List folders in at most four tasks per core; by default each folder is a task of its own."""
+    """List folders in at most LISTING_TASKS tasks; by default each folder is a task of its own."""
     limit = int(spark.conf.get(_LISTING_TASKS))
-    return _held(spark, _LISTING_TASKS, str(min(limit, 4 * spark.sparkContext.defaultParallelism)))
-
-
-def all_cores(spark: SparkSession):
-    """Let even a small write use every core: with many partitions, files cost more than bytes."""
-    return _held(spark, _SMALLEST_TASK, "64kb")
+    return _held(spark, _LISTING_TASKS, str(min(limit, LISTING_TASKS)))

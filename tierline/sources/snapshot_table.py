@@ -24,13 +24,15 @@ from pyspark.sql.types import StructType
 from tierline.schemas import enforce
 from tierline.sources import files
 from tierline.sources.scratch import staged
-from tierline.sources.settings import all_cores, few_listing_tasks
+from tierline.sources.settings import few_listing_tasks
 
 _SNAPSHOT_SCHEMA = (
     "folders MAP<STRING, BIGINT>, partition_by ARRAY<STRING>, table_schema STRING, "
     "operation STRING, source_version BIGINT, packed MAP<BIGINT, STRING>, committed_at TIMESTAMP"
 )
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+# 1 in rows that an upsert brings, 0 in those it finds, while both are resolved.
+DELIVERED = "_delivered"
 _IN = "_in_partition"
 
 
@@ -150,8 +152,7 @@ def _stage_version(
     writer = out.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    with all_cores(spark):
-        writer.parquet(root)
+    writer.parquet(root)
     return version, _written_folders(spark, root, len(partition_by))
 
 
@@ -207,8 +208,12 @@ def overwrite(
 
 
 def _partition_text(partition_by: tuple[str, ...]) -> Column:
-    """A row's partition as its folder name has it; for string, integer and date columns."""
-    values = [F.coalesce(F.col(c).cast("string"), F.lit(NULL_PARTITION)) for c in partition_by]
+    """A row's partition as its folder name has it; for string, integer and date columns.
+
+    Spark writes the empty string to the folder of NULL.
+    """
+    texts = [F.col(c).cast("string") for c in partition_by]
+    values = [F.coalesce(F.when(t != "", t), F.lit(NULL_PARTITION)) for t in texts]
     return F.concat_ws("/", *values).alias(_IN)
 
 
@@ -267,7 +272,8 @@ def upsert(
         rewritten, old = list(snap.folders), current
         if snap.partition_by:
             touched = _touched(current, changes, keys, snap.partition_by)
-            rewritten = [f for f in snap.folders if _folder_text(f) in set(touched)]
+            places = set(touched)
+            rewritten = [f for f in snap.folders if _folder_text(f) in places]
             # On partition columns only, so it selects folders and no row is tested.
             old = current.filter(_partition_text(snap.partition_by).isin(touched))
         update_keys = changes.select(*keys)
@@ -275,7 +281,10 @@ def upsert(
         incoming = changes
         if resolve is not None:
             rivals = old.join(update_keys, keys, "left_semi")
-            incoming = resolve(changes.unionByName(rivals, allowMissingColumns=True))
+            delivered = changes.withColumn(DELIVERED, F.lit(1))
+            there = rivals.withColumn(DELIVERED, F.lit(0))
+            both = delivered.unionByName(there, allowMissingColumns=True)
+            incoming = resolve(both).drop(DELIVERED)
         merged = kept.unionByName(incoming, allowMissingColumns=True).select(*changes.columns)
         return replace_folders(
             merged, table, snap, rewritten, operation, source_version, committed_at, spread=True
@@ -299,6 +308,9 @@ def replace_folders(
     """
     version, written = _stage_version(df, table, snap.partition_by, spread)
     gone = set(rewritten)
+    lost = [f for f in written if f in snap.folders and f not in gone]
+    if lost:
+        raise RuntimeError(f"folders would lose their rows, none is replaced: {lost[:3]}")
     folders = {f: v for f, v in snap.folders.items() if f not in gone}
     folders.update({f: version for f in written})
     packed = {v: c for v, c in snap.packed.items() if v in folders.values()}
