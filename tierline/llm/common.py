@@ -96,6 +96,8 @@ def by_ranges(df: DataFrame, key: str, parts: int) -> DataFrame:
     at = [i / parts for i in range(1, parts)]
     cuts = df.select(number.alias("_n")).approxQuantile("_n", at, 1 / (4 * parts)) if at else []
     inner = sorted({c for c in cuts if c != float("-inf")})
+    if not inner:
+        return df.withColumn("_range", F.lit(0))
     splits = [float("-inf"), *inner, float("inf")]
     cut = Bucketizer(splits=splits, inputCol="_n", outputCol="_cut").transform(df.withColumn("_n", number))
     return cut.withColumn("_range", F.col("_cut").cast("int")).drop("_n", "_cut")
