@@ -39,12 +39,14 @@ LEAST_BITS = 437
 #: Ranks at which cells of the plane begin: [0, 1/256), then four times as far up to 1, then units.
 _LOW = np.array([0, 2.0**-8, 2.0**-6, 2.0**-4, 2.0**-2])
 _HIGH = np.array([2.0**-8, 2.0**-6, 2.0**-4, 2.0**-2, 1])
+#: Cells that are in memory at once. Only speed and memory depend on it.
+CELLS = 1 << 16
 _BITS = [f"bits{i}" for i in range(WORDS)]
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def elements(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted elements of each text, and their number: a shingle's n-th occurrence is an element of its own.
+    """Elements of each text, and their number: a shingle's n-th occurrence is an element of its own.
 
     So the weighted Jaccard similarity of two texts is the plain one of their elements.
     """
@@ -56,9 +58,7 @@ def elements(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     new[1:] = (flat[1:] != flat[:-1]) | (owner[1:] != owner[:-1])
     place = np.arange(len(flat))
     nth = place - np.maximum.accumulate(np.where(new, place, 0))
-    out = mixed(flat + nth.astype(np.uint64) * _GOLD)
-    order = np.lexsort((out, owner))
-    return out[order], per_text
+    return mixed(flat + nth.astype(np.uint64) * _GOLD), per_text
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -76,28 +76,38 @@ def earliest_darts(flat: np.ndarray, per_text: np.ndarray, k: int = COORDINATES)
         cells = np.where(reach <= 1, np.searchsorted(_LOW, np.minimum(reach, 1), side="left"), 4 + np.ceil(reach)).astype(np.int64)
         take = np.isin(owner, open_) if len(open_) < len(per_text) else slice(None)
         e, own = flat[take], owner[take]
-        width = cells[own]
-        cell = np.arange(int(width.sum())) - np.repeat(np.concatenate(([0], np.cumsum(width)))[:-1], width)
-        e, own = np.repeat(e, width), np.repeat(own, width)
-        low = np.where(cell < 5, _LOW[np.minimum(cell, 4)], cell - 4.0)
-        size = np.where(cell < 5, _HIGH[np.minimum(cell, 4)], cell - 3.0) - low
-        seed = mixed(e + (cell.astype(np.uint64) + np.uint64(1)) * _GOLD)
-        u, chance = _unit(mixed(seed)), np.exp(-size)
-        below, nth = chance.copy(), 0
-        live = np.flatnonzero(u >= below)
-        while len(live):
-            nth += 1
-            x = mixed(seed[live] + np.uint64(nth * 0xD1B54A32D192ED03 % 2**64))
-            rank = low[live] + _unit(mixed(x)) * size[live]
-            np.minimum.at(out.reshape(-1), own[live] * k + (x % np.uint64(k)).astype(np.int64), rank)
-            chance[live] *= size[live] / nth
-            below[live] += chance[live]
-            live = live[(u[live] >= below[live]) & (chance[live] > 1e-18)]
+        ends = np.cumsum(cells[own])
+        cuts = np.unique(np.searchsorted(ends, np.arange(0, int(ends[-1]) + CELLS, CELLS), side="right"))
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            _throw(out, e[a:b], own[a:b], cells[own[a:b]])
         open_ = open_[np.isinf(out[open_]).any(axis=1)]
         reach[open_] *= 2
     return out
 
 
+def _throw(out: np.ndarray, e: np.ndarray, own: np.ndarray, width: np.ndarray) -> None:
+    """Lower ``out`` by the darts in the first ``width`` cells of each element."""
+    k = out.shape[1]
+    cell = np.arange(int(width.sum())) - np.repeat(np.cumsum(width) - width, width)
+    each = np.arange(int(width.max()))
+    low = np.where(each < 5, _LOW[np.minimum(each, 4)], each - 4.0)
+    size = np.where(each < 5, _HIGH[np.minimum(each, 4)], each - 3.0) - low
+    seed = mixed(np.repeat(e, width) + ((each.astype(np.uint64) + np.uint64(1)) * _GOLD)[cell])
+    none = np.exp(-size)[cell]
+    live = np.flatnonzero(_unit(mixed(seed)) >= none)
+    seed, cell, chance = seed[live], cell[live], none[live]
+    u, below, own, low, size = _unit(mixed(seed)), chance.copy(), np.repeat(own, width)[live] * k, low[cell], size[cell]
+    nth = 0
+    while len(seed):
+        nth += 1
+        x = mixed(seed + np.uint64(nth * 0xD1B54A32D192ED03 % 2**64))
+        np.minimum.at(out.reshape(-1), own + (x % np.uint64(k)).astype(np.int64), low + _unit(mixed(x)) * size)
+        chance *= size / nth
+        below += chance
+        more = (u >= below) & (chance > 1e-18)
+        seed, u, below, chance, own, low, size = (v[more] for v in (seed, u, below, chance, own, low, size))
+
+
 def signatures(ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Band keys, and one bit of each coordinate in numbers of 64."""
     bits = mixed(ranks.view(np.uint64).reshape(ranks.shape))
