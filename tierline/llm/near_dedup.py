@@ -32,16 +32,17 @@ SIMILARITY = 0.8
 #: Coordinates, and how many of them go into each band. At a similarity of 0.8 two texts share one of
 #: the 24 bands with a probability of 0.99993.
 COORDINATES, ROWS, BANDS = 512, 5, 24
-#: One bit of each coordinate is kept. Bits agree with (1 + similarity) / 2: candidates 3.5 deviations below
-#: what 0.8 gives (a chance of 2 in 10000 at 0.8, of none to speak of above) are not compared.
+#: Two bits of each coordinate are kept, in two planes. Both agree with similarity + (1 - similarity) / 4:
+#: candidates 3.5 deviations below what 0.8 gives (a chance of 2 in 10000 at 0.8, of none to speak of above) are
+#: not compared.
 WORDS = COORDINATES // 64
-LEAST_BITS = 437
+LEAST_AGREE = 407
 #: Ranks at which cells of the plane begin: [0, 1/256), then four times as far up to 1, then units.
 _LOW = np.array([0, 2.0**-8, 2.0**-6, 2.0**-4, 2.0**-2])
 _HIGH = np.array([2.0**-8, 2.0**-6, 2.0**-4, 2.0**-2, 1])
 #: Cells that are in memory at once. Only speed and memory depend on it.
 CELLS = 1 << 16
-_BITS = [f"bits{i}" for i in range(WORDS)]
+_BITS = [f"bits{i}" for i in range(2 * WORDS)]
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -109,13 +110,14 @@ def _throw(out: np.ndarray, e: np.ndarray, own: np.ndarray, width: np.ndarray) -
 
 
 def signatures(ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Band keys, and one bit of each coordinate in numbers of 64."""
+    """Band keys, and two planes of bits, one of each coordinate, in numbers of 64."""
     bits = mixed(ranks.view(np.uint64).reshape(ranks.shape))
     keys = np.zeros((len(ranks), BANDS), np.uint64)
     for j in range(ROWS):
         keys = mixed(keys * _GOLD + bits[:, j * BANDS : (j + 1) * BANDS])
-    low = np.packbits((bits & np.uint64(1)).astype(bool), axis=1).reshape(len(ranks), -1)
-    return keys.view(np.int64), np.ascontiguousarray(low).view(np.int64).reshape(len(ranks), WORDS)
+    planes = [np.packbits((bits >> np.uint64(j) & np.uint64(1)).astype(bool), axis=1) for j in range(2)]
+    low = np.ascontiguousarray(np.concatenate(planes, axis=1)).view(np.int64)
+    return keys.view(np.int64), low.reshape(len(ranks), 2 * WORDS)
 
 
 def _node(flat: np.ndarray, per_text: np.ndarray) -> np.ndarray:
@@ -196,38 +198,38 @@ def linked(rows: DataFrame, texts: DataFrame, at_least: float) -> DataFrame:
     members = stored(bands.join(shared, ["band", "key"]), "near-members")
     in_groups = members.select("node").distinct()
     sets = stored(whole_sets(rows, texts.join(in_groups, "node", "left_semi").select("mark")), "near-sets")
-    links = tested = None
-    roots = None
-    leaders = 1
+    tested = roots = None
+    leaders, before = 1, 0
     while True:
         now = members.withColumn("root", F.col("node"))
         if roots is not None:
             now = members.join(roots.toDF("node", "r"), "node", "left").withColumn("root", F.coalesce("r", "node")).drop("r")
         mixed_groups = now.groupBy("band", "key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
-        now = checkpointed(now.join(mixed_groups.select("band", "key"), ["band", "key"], "left_semi"))
+        now = stored(now.join(mixed_groups.select("band", "key"), ["band", "key"], "left_semi"), "near-open")
         largest = now.agg(F.max("size")).first()[0]
         if largest is None:
             break
         rank = F.row_number().over(W.partitionBy("band", "key").orderBy(F.xxhash64("node"), "node"))
-        first = now.withColumn("rank", rank).where(F.col("rank") <= leaders)
+        first = now.withColumn("rank", rank).where(F.col("rank") <= leaders).where(F.col("rank") > before)
         first = first.select("band", "key", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"), *[F.col(b).alias(f"a_{b}") for b in _BITS])
         # Sizes and bits are compared inside the join, so only likely pairs come out of it.
-        differ = sum((F.bit_count(F.col(b).bitwiseXOR(F.col(f"a_{b}"))) for b in _BITS), F.lit(0))
-        likely = (F.least("n", "na") >= at_least * F.greatest("n", "na")) & (differ <= COORDINATES - LEAST_BITS)
+        unlike = [F.col(b).bitwiseXOR(F.col(f"a_{b}")) for b in _BITS]
+        differ = sum((F.bit_count(x.bitwiseOR(y)) for x, y in zip(unlike[:WORDS], unlike[WORDS:], strict=True)), F.lit(0))
+        likely = (F.least("n", "na") >= at_least * F.greatest("n", "na")) & (differ <= COORDINATES - LEAST_AGREE)
         met = (F.col("l.band") == F.col("m.band")) & (F.col("l.key") == F.col("m.key")) & (F.col("l.ra") != F.col("m.root")) & likely
         found = first.alias("l").join(now.alias("m"), met).select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
         pairs = found.distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = checkpointed(pairs)
+        pairs = stored(pairs, "near-pairs")
+        tested = pairs if tested is None else tested.union(pairs)
+        # The classes so far stand for the links that made them.
         new = alike(pairs, sets, at_least)
-        links = checkpointed(new if links is None else links.union(new))
-        tested = checkpointed(pairs if tested is None else tested.union(pairs))
+        roots = components(new if roots is None else roots.toDF("a", "b").union(new))
         if leaders >= largest:
-            roots = components(links)
             break
-        roots = components(links)
-        leaders *= 8
+        # Leaders up to ``before`` have met every member of another class; their ranks stay the same.
+        before, leaders = leaders, leaders * 8
     return roots if roots is not None else texts.select(F.col("node").alias("id"), F.col("node").alias("root")).limit(0)
 
 
