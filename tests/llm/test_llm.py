@@ -144,6 +144,66 @@ def test_repeated_passages(docs):
     assert rows[6]["class_id"] == 5 and rows[3]["class_id"] == 0
 
 
+def similar_by_force(x: list[str], y: list[str], least: int = 47) -> bool:
+    """Whether any two stretches of over 50 words, begun at shared shingles, have a similarity of 0.8."""
+    x, y = ([tuple(t[i : i + 5]) for i in range(len(t) - 4)] for t in (x, y))
+    shared_x = [i for i, g in enumerate(x) if g in set(y)]
+    shared_y = [i for i, g in enumerate(y) if g in set(x)]
+    for i in shared_x:
+        for j in (j for j in shared_x if j >= i + least - 1):
+            p = set(x[i : j + 1])
+            for a in (a for a in shared_y if y[a] in p):
+                for b in (b for b in shared_y if b >= a + least - 1 and y[b] in p):
+                    q = set(y[a : b + 1])
+                    if len(p & q) >= 0.8 * len(p | q):
+                        return True
+    return False
+
+
+def test_passages_with_changed_words(spark):
+    """Equal runs are of 50 words at most; similarity is 0.8 or just above, or just below."""
+    rng = np.random.default_rng(11)
+    texts, expected, below = {}, {}, set()
+
+    def plant(passage: list[str], k: int) -> tuple[int, int]:
+        front = int(rng.integers(20, 60))
+        texts[k] = prose(front, 1000 + k).split() + passage + prose(50, 3000 + k).split()
+        return front, len(passage)
+
+    for pair in range(60):
+        changes = 1 + pair % 3
+        passage = prose((50, 95, 140)[changes - 1] + int(rng.integers(0, 3)), 500 + pair).split()
+        if pair % 5 == 4:  # too short, or with one change too many
+            passage, changes = passage[:49] if changes == 1 else passage, changes + (changes > 1)
+        other = passage.copy()
+        for c in range(changes):
+            at = (c + 1) * len(passage) // (changes + 1)
+            if pair % 2:
+                other[at] = f"new{pair}x{c}"
+            else:
+                other.insert(at, f"new{pair}x{c}")
+        for k, words in ((2 * pair, passage), (2 * pair + 1, other)):
+            expected[k] = plant(words, k)
+        if not similar_by_force(texts[2 * pair], texts[2 * pair + 1]):
+            below |= {2 * pair, 2 * pair + 1}
+    # A line of 30 words that all hold makes one group; only texts of one kind are similar.
+    line = prose(30, 77).split()
+    for kind in range(8):
+        passage = prose(20, 800 + kind).split() + line + prose(20, 900 + kind).split()
+        for k in range(200 + 2 * kind, 202 + 2 * kind):
+            own = passage.copy()
+            own[35] = f"word{k}"
+            expected[k] = plant(own, k)
+    frame = spark.createDataFrame([(k, " ".join(t)) for k, t in texts.items()], "doc_id LONG, text STRING")
+    rows = compact_windows.repeated_passages(frame).collect()
+    got = {r["doc_id"]: (r["first_word"], r["n_words"]) for r in rows}
+    assert len(below) >= 8 and not below & set(got)
+    want = {k: v for k, v in expected.items() if k not in below}
+    assert len(rows) == len(got) and got.items() <= want.items()
+    assert len(got) >= 0.97 * len(want)
+    assert all(r["class_id"] == r["doc_id"] // 2 * 2 for r in rows)
+
+
 def test_pieces_follow_the_library(docs):
     from sentencepiece import SentencePieceProcessor
 
