@@ -86,3 +86,32 @@ def test_words_found_in_every_document_weigh_nothing(spark):
 def test_empty_index(ltv, table):
     with pytest.raises(RuntimeError):
         retrieval.build_index(ltv.limit(0), table)
+
+
+def test_many_customers_are_told_apart_by_exact_words(spark, table):
+    """More customers than hash buckets: every one asked for comes first, at the distance of brute force."""
+    import re
+    from collections import Counter
+
+    rows = [(f"C-{i:07d}", i + 0.25, i % 50 + 1, datetime(2025, 1, 1, 10), datetime(2025, 1, i % 28 + 1, 11)) for i in range(3000)]
+    many = spark.createDataFrame(
+        rows, "customer_id STRING, lifetime_revenue DOUBLE, orders BIGINT, first_seen TIMESTAMP, last_seen TIMESTAMP"
+    )
+    retrieval.build_index(many, table)
+    texts = {r["id"]: r["text"] for r in retrieval.customer_documents(many).collect()}
+    tokens = {i: Counter(re.findall(r"\w+", t.lower())) for i, t in texts.items()}
+    df = Counter(w for c in tokens.values() for w in c)
+
+    def vector(c):
+        v = {w: n * math.log((len(texts) + 1) / (df[w] + 1)) for w, n in c.items()}
+        norm = math.sqrt(sum(x * x for x in v.values())) or 1.0
+        return {w: x / norm for w, x in v.items()}
+
+    for asked in (17, 1234):
+        question = f"What did customer C-{asked:07d} buy?"
+        q = vector(Counter(re.findall(r"\w+", question.lower())))
+        exact = sorted((2 - 2 * sum(x * q.get(w, 0.0) for w, x in vector(c).items()), i) for i, c in tokens.items())[:3]
+        hits = retrieval.retrieve(spark, table, question).collect()
+        assert hits[0]["id"] == f"C-{asked:07d}" == exact[0][1]
+        assert [h["id"] for h in hits] == [i for _, i in exact]
+        assert all(math.isclose(h["distance"], d, abs_tol=1e-9) for h, (d, _) in zip(hits, exact))

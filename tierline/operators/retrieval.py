@@ -17,8 +17,9 @@ TOP_K = 3
 DEFAULT_QUESTION = "Who is our most valuable customer?"
 
 DIMENSIONS = 512
-_MODEL = "model"
 _TABLE = "documents"
+_COUNTS = "counts"
+_WORDS = "words"
 
 
 class EmptyIndex(RuntimeError):
@@ -62,14 +63,40 @@ def embedded(texts: DataFrame, embedder: PipelineModel) -> DataFrame:
     return vectors.select(*texts.columns, "embedding")
 
 
-def build_index(ltv: DataFrame, path: str, dimensions: int = DIMENSIONS) -> int:
-    """Replace the index at ``path`` with the customers of ``ltv``; returns its version."""
+def words_of(texts: DataFrame, *columns: str) -> DataFrame:
+    """(columns, word, n): how often each word stands in each text; any letters and digits make words."""
+    parts = F.filter(F.split(F.lower("text"), r"(?U)\W+"), lambda w: w != "")
+    return texts.select(*columns, F.explode(parts).alias("word")).groupBy(*columns, "word").agg(F.count("*").alias("n"))
+
+
+def _rarity(total: Column, documents: Column) -> Column:
+    return F.log((total + 1) / (documents + 1))
+
+
+def _sum(values: Column) -> Column:
+    """Adds the smallest first, so that equal terms give equal sums in any order of rows."""
+    return F.aggregate(F.array_sort(values), F.lit(0.0), lambda total, v: total + v)
+
+
+def build_index(ltv: DataFrame, path: str) -> int:
+    """Replace the index at ``path`` with the customers of ``ltv``; returns its version.
+
+    Beside the documents it holds in how many of them each word occurs, and (word, id, weight) for each word
+    of a document that is not in all of them. The squares of a document's weights add up to 1.
+    """
     documents = customer_documents(ltv)
     if documents.isEmpty():
         raise EmptyIndex("customer_ltv has no rows, build the marts first")
-    embedder = fit_embedder(documents, dimensions)
-    embedder.write().overwrite().save(f"{path}/{_MODEL}")
-    return snapshot_table.overwrite(embedded(documents, embedder), f"{path}/{_TABLE}")
+    version = snapshot_table.overwrite(documents, f"{path}/{_TABLE}")
+    documents = snapshot_table.read(ltv.sparkSession, f"{path}/{_TABLE}")
+    found = words_of(documents, "id")
+    snapshot_table.overwrite(found.groupBy("word").agg(F.count("*").alias("documents")), f"{path}/{_COUNTS}")
+    counts = snapshot_table.read(ltv.sparkSession, f"{path}/{_COUNTS}")
+    total = documents.agg(F.count("*").alias("total")).scalar()
+    raw = found.join(counts, "word").select("id", "word", (F.col("n") * _rarity(total, F.col("documents"))).alias("raw")).where("raw > 0")
+    norms = raw.groupBy("id").agg(F.sqrt(_sum(F.collect_list(F.col("raw") * F.col("raw")))).alias("norm"))
+    snapshot_table.overwrite(raw.join(norms, "id").select("word", "id", (F.col("raw") / F.col("norm")).alias("weight")), f"{path}/{_WORDS}")
+    return version
 
 
 def nearest(documents: DataFrame, query: Column, k: int = TOP_K) -> DataFrame:
@@ -87,16 +114,27 @@ def nearest(documents: DataFrame, query: Column, k: int = TOP_K) -> DataFrame:
     )
 
 
-def question_vector(spark: SparkSession, embedder: PipelineModel, question: str) -> Column:
-    asked = spark.createDataFrame([(question,)], "text STRING")
-    return embedded(asked, embedder).select("embedding").scalar()
-
-
 def retrieve(spark: SparkSession, path: str, question: str, k: int = TOP_K) -> DataFrame:
-    """Hits for a question: id, text, metadata, distance, nearest first."""
-    embedder = PipelineModel.load(f"{path}/{_MODEL}")
+    """Hits for a question: id, text, metadata, distance, nearest first.
+
+    Distances are exact: 2 - 2 x cosine over all words, weighted by rarity. Only documents that share a word of some
+    weight with the question are scored; all others are at distance 2 and follow by id.
+    """
     documents = snapshot_table.read(spark, f"{path}/{_TABLE}")
-    return nearest(documents, question_vector(spark, embedder, question), k)
+    counts = snapshot_table.read(spark, f"{path}/{_COUNTS}")
+    weights = snapshot_table.read(spark, f"{path}/{_WORDS}")
+    total = documents.agg(F.count("*").alias("total")).scalar()
+    asked = words_of(spark.createDataFrame([(question,)], "text STRING")).join(counts, "word", "left")
+    # A word of no document counts in the length of the question.
+    asked = asked.select("word", (F.col("n") * _rarity(total, F.coalesce("documents", F.lit(0)))).alias("asked")).where("asked > 0")
+    length = asked.agg(F.sqrt(_sum(F.collect_list(F.col("asked") * F.col("asked")))).alias("length")).scalar()
+    scored = weights.join(asked, "word").groupBy("id").agg(_sum(F.collect_list(F.col("weight") * F.col("asked"))).alias("dot"))
+    scored = scored.select("id", (2.0 - 2.0 * F.col("dot") / length).alias("distance")).orderBy("distance", "id").limit(k)
+    columns = [*documents.columns, "distance"]
+    hits = documents.join(scored, "id").select(*columns)
+    # If more than k share a word, some of them are among these too, but behind the k.
+    others = documents.join(scored, "id", "left_anti").withColumn("distance", F.lit(2.0)).orderBy("distance", "id").limit(k)
+    return hits.union(others.select(*columns)).orderBy("distance", "id").limit(k)
 
 
 def compose_answer(question: str, hits: DataFrame) -> DataFrame:
