@@ -1,0 +1,167 @@
+"""Exact top-k and hard negatives against all pairs."""
+
+from pathlib import Path
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as spark_entry
+from tierline.llm import hard_negatives, topk, vector_blocks
+
+SCHEMA = "vec_id LONG, embedding ARRAY<FLOAT>, label INT, q LONG, score STRING, block LONG, `a.b` LONG"
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def table(spark, rows, parts=3):
+    return spark.createDataFrame([(i, e, n, 7, "s", 8, 9) for i, e, n in rows], SCHEMA).repartition(parts)
+
+
+def scaled(rows, scale):
+    ok = [(i, e, n) for i, e, n in rows if e is not None and all(x is not None and np.isfinite(x) for x in e)]
+    return [(i, [int(np.floor(float(np.float32(x)) * scale)) for x in e], n) for i, e, n in ok]
+
+
+def dot(a, b):
+    return sum(x * y for x, y in zip(a, b))
+
+
+def order(pair):
+    return -pair[0], pair[1] is None, pair[1] or 0
+
+
+def brute_topk(rows, k, every):
+    rows, out = scaled(rows, 64), []
+    for at, (i, e, _) in enumerate(rows):
+        if i is not None and i % every == 0:
+            best = sorted(((dot(e, f), j) for other, (j, f, _) in enumerate(rows) if other != at), key=order)[:k]
+            out += [(i, r + 1, j, s) for r, (s, j) in enumerate(best)]
+    return sorted(out, key=str)
+
+
+def brute_negatives(rows, every):
+    rows = [(i, e, n) for i, e, n in scaled(rows, 256) if n is not None]
+    rows = [(i, e, (n + 1) % 10 if i is not None and i % 7 == 0 else n) for i, e, n in rows]
+    out = []
+    for at, (i, e, n) in enumerate(rows):
+        if i is None or i % every:
+            continue
+        others = [(dot(e, f), j, m) for other, (j, f, m) in enumerate(rows) if other != at]
+        for p, j, _ in sorted((o for o in others if o[2] == n), key=order)[:5]:
+            fits = sorted((o for o in others if o[2] != n and 30 * p <= 100 * o[0] <= 90 * p), key=order)[:10]
+            out += [(i, j, r + 1, m, p, s) for r, (s, m, _) in enumerate(fits)]
+    return sorted(out, key=str)
+
+
+@pytest.fixture(scope="module")
+def rows():
+    rng = np.random.default_rng(11)
+    centres = rng.normal(size=(4, 24))
+    out = [(i, (0.2 * (centres[i % 4] + rng.normal(size=24))).astype(np.float32).tolist(), int(rng.integers(0, 10))) for i in range(400)]
+    same = out[100][1]
+    out += [(400 + i, same, i % 3) for i in range(60)]  # ties
+    out += [out[100]] * 4 + [out[21]] * 2  # repeated rows, a query among them
+    out += [(None, same, 1), (None, out[3][1], None), (600, None, 1), (700, [1.0, None] + same[2:], 1)]
+    out += [(800, [float("nan")] * 24, 2), (900, [float("inf")] + same[1:], 2), (1000, [], 3), (1100, same[:5], 4), (1200, same, None)]
+    return out
+
+
+def test_topk_is_that_of_all_pairs(spark, rows):
+    got = topk.nearest_rows(table(spark, rows), F.col("vec_id") % 20 == 0, k=20)
+    assert got.columns == ["query_id", "rank", "vec_id", "score"]
+    assert sorted(map(tuple, got.collect()), key=str) == brute_topk(rows, 20, 20)
+
+
+def test_topk_with_fewer_rows_than_k(spark, rows):
+    few = rows[:5] + [(20, [0.5] * 24, 1)]
+    got = topk.nearest_rows(table(spark, few), F.col("vec_id") % 20 == 0, k=20)
+    assert sorted(map(tuple, got.collect()), key=str) == brute_topk(few, 20, 20)
+
+
+def test_small_tiles_and_blocks_give_the_same(spark, rows, monkeypatch):
+    monkeypatch.setattr(topk, "LEAST_STEP", 2)
+    best = topk.Best(_block(rows[:64]), 7, False)
+    for a in range(0, 400, 90):
+        best.meet(_block(rows[a : min(a + 90, 400)]))
+    all_ = scaled(rows[:400], 64)
+    for slot, (_, e, _) in enumerate(all_[:64]):
+        want = sorted(((dot(e, f), j) for j, f, _ in all_), key=order)[:7]
+        assert list(zip(best.scores[slot].tolist(), best.ids[slot].tolist())) == want
+
+
+def _block(rows):
+    rows = scaled(rows, 64)
+    numbers = np.array([e for _, e, _ in rows]).T
+    return vector_blocks.Block(
+        np.array([i for i, _, _ in rows]), np.array([n for _, _, n in rows]), numbers, np.abs(numbers).max(axis=1)
+    )
+
+
+@pytest.mark.parametrize("size", [3e5, 1e15])
+def test_large_scores_stay_exact(spark, size):
+    """Sums beyond 24 and beyond 53 bits."""
+    rng = np.random.default_rng(2)
+    big = [(i, (rng.normal(size=3) * size / 64 / (1 if size < 1e6 else 1e6)).astype(np.float32).tolist(), 0) for i in range(30)]
+    got = topk.nearest_rows(table(spark, big), F.col("vec_id") % 20 == 0, k=20)
+    assert sorted(map(tuple, got.collect()), key=str) == brute_topk(big, 20, 20)
+
+
+def test_scores_that_fit_no_long_are_refused(spark):
+    far = [(0, [1e18] * 3, 0), (1, [1e18] * 3, 0)]
+    with pytest.raises(Exception, match="does not fit in a long"):
+        topk.nearest_rows(table(spark, far), F.col("vec_id") % 20 == 0, k=2).collect()
+
+
+def test_hard_negatives_are_those_of_all_pairs(spark, rows):
+    got = hard_negatives.hard_negatives(hard_negatives.relabelled(table(spark, rows)), F.col("vec_id") % 100 == 0)
+    want = brute_negatives(rows, 100)
+    assert ", ".join(got.columns) == ", ".join(c.split(" ")[0] for c in hard_negatives.MINED.split(", "))
+    assert sorted(map(tuple, got.collect()), key=str) == want and len(want) > 50
+
+
+def test_zero_and_negative_positives(spark):
+    rows = [(100, [1.0, 0.0], 1), (3, [0.0, 1.0], 1), (1, [0.0, 2.0], 2), (5, [0.0, 3.0], 2), (8, [-1.0, 0.0], 1), (9, [-0.5, 0.0], 2)]
+    got = hard_negatives.hard_negatives(table(spark, rows), F.col("vec_id") % 100 == 0)
+    assert sorted(map(tuple, got.collect())) == [(100, 3, 1, 1, 0, 0), (100, 3, 2, 5, 0, 0)]
+
+
+def test_keys_order_pairs():
+    anchor, score, ids = np.array([2, 1, 1, 1, 1]), np.array([5, -3, 9, 9, 0]), np.array([1, 4, -8, 3, 2])
+    keys = hard_negatives.pack_keys(anchor, score, True, ids) + hard_negatives.pack_keys(anchor[:3], score[:3], False, ids[:3])
+    got = [tuple(c[i].item() for c in hard_negatives.unpack_keys([k])) for k in sorted(keys) for i in (0,)]
+    pairs = list(zip(anchor.tolist(), score.tolist(), [True] * 5, ids.tolist())) + list(zip(anchor[:3].tolist(), score[:3].tolist(), [False] * 3, ids[:3].tolist()))
+    assert got == sorted(pairs, key=lambda p: (p[0], -p[1], p[2], p[3]))
+
+
+def test_empty_tables(spark):
+    none = spark.createDataFrame([], SCHEMA)
+    assert topk.nearest_rows(none, F.col("vec_id") % 20 == 0, k=20).count() == 0
+    assert hard_negatives.hard_negatives(none, F.col("vec_id") % 100 == 0).count() == 0
+    blind = table(spark, [(100, None, 1), (200, [float("nan")], 1), (None, [1.0], 1)])
+    assert topk.nearest_rows(blind, F.col("vec_id") % 20 == 0, k=20).count() == 0
+    assert hard_negatives.hard_negatives(blind, F.col("vec_id") % 100 == 0).count() == 0
+
+
+def test_blocks_are_cut_by_size(spark, rows):
+    blocks = vector_blocks.packed(table(spark, rows, 1), "vec_id", "embedding", 64, "label", rows=100).collect()
+    assert [b["rows"] for b in blocks][:-1] == [100] * (len(blocks) - 1) and sum(b["rows"] for b in blocks) == len(scaled(rows, 64))
+    got = sorted(
+        (i, n, tuple(numbers))
+        for b in map(vector_blocks.opened, blocks)
+        for i, n, numbers in zip(b.ids.tolist(), b.labels.tolist(), b.numbers.T.tolist())
+    )
+    dims = max(b["dims"] for b in blocks)
+    want = [(vector_blocks.NO_ID if i is None else i, n or 0, (*e, *[0] * (dims - len(e)))) for i, e, n in scaled(rows, 64)]
+    assert got == sorted(want)
+
+
+@pytest.mark.skipif(not Path(SF_DIR).exists(), reason="given tables are not here")
+@pytest.mark.parametrize("name", ["op12_exact_topk", "op13_hard_negatives"])
+def test_same_rows_as_sql(spark, name):
+    duckdb = pytest.importorskip("duckdb")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{SF_DIR}/embeddings.parquet'")
+    got = spark_entry.queries()[name](spark, SF_DIR)
+    answer = con.execute(spark_entry.oracle_sql()[name])
+    assert [d[0] for d in answer.description] == got.columns
+    assert sorted(map(tuple, got.collect())) == sorted(answer.fetchall())

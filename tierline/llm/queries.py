@@ -5,17 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tierline.llm import (
     compact_windows,
     exact_dedup,
+    hard_negatives,
     licenses,
     mixing,
     near_dedup,
     pieces,
     quality,
+    runs,
     spotsigs,
     token_files,
+    topk,
     url_rules,
 )
 
@@ -93,6 +97,25 @@ def op10_url_rules(spark, sf_dir):
     return url_rules.judged(pages).select("page_id", "host", "path", "rule", "verdict")
 
 
+@_query
+def op11_periodic_runs(spark, sf_dir):
+    """Runs of all texts, every tenth of which repeats a part of itself."""
+    return runs.run_digests(runs.find_runs(runs.looped(_table(spark, sf_dir, "documents"))))
+
+
+@_query
+def op12_exact_topk(spark, sf_dir):
+    """The 20 best rows of every twentieth vector."""
+    return topk.nearest_rows(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+@_query
+def op13_hard_negatives(spark, sf_dir):
+    """Hard negatives of every hundredth vector; every seventh has another label."""
+    vectors = hard_negatives.relabelled(_table(spark, sf_dir, "embeddings"))
+    return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
 SQL["op4_exact_dedup"] = r"""
 WITH d AS (
   SELECT doc_id, length(coalesce(text, '')) AS chars,
@@ -165,3 +188,34 @@ SELECT doc_id, size, total AS source_size, target,
        (size * (epochs + CASE WHEN middle <= rest AND target > epochs * total THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM x
 """
+
+#: Vectors that take part, as whole numbers; {scale} stands for the factor.
+_VECTORS = """v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x::DOUBLE))) = len(embedding))"""
+
+SQL["op12_exact_topk"] = f"""
+WITH {_VECTORS.format(scale=64)}, p AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id IS DISTINCT FROM q.vec_id)
+SELECT query_id, (row_number() OVER w)::INTEGER AS rank, vec_id, score
+FROM p
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id NULLS LAST)
+QUALIFY row_number() OVER w <= 20
+"""
+
+SQL["op13_hard_negatives"] = f"""
+WITH {_VECTORS.format(scale=256)}, l AS (
+  SELECT vec_id, e, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label
+  FROM v WHERE label IS NOT NULL), p AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS alike, list_inner_product(a.e, c.e)::BIGINT AS score
+  FROM l a JOIN l c ON a.vec_id % 100 = 0 AND c.vec_id IS DISTINCT FROM a.vec_id), t AS (
+  SELECT * FROM p WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id NULLS LAST) <= 5), n AS (
+  SELECT t.anchor_id, t.vec_id AS positive_id, p.vec_id AS negative_id, t.score AS positive_score, p.score AS negative_score,
+         row_number() OVER (PARTITION BY t.anchor_id, t.vec_id ORDER BY p.score DESC, p.vec_id NULLS LAST) AS rank
+  FROM t JOIN p ON t.anchor_id = p.anchor_id AND NOT p.alike
+       AND 30 * t.score <= 100 * p.score AND 100 * p.score <= 90 * t.score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
