@@ -7,12 +7,14 @@ breaks, which is the rule that would catch it if the rules ran one after the oth
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tierline.sources.counted import Counted
+
 _log = logging.getLogger(__name__)
 
 # What may be done about a broken rule.
@@ -100,6 +102,21 @@ def violation_counts(tagged: DataFrame, rules: Sequence[Expectation]) -> dict[st
     return tagged.agg(*_counters(rules)).first().asDict()
 
 
+def counting(tagged: DataFrame, rules: Sequence[Expectation]) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """``tagged``, to be written once, and a function that then gives the rows caught by each rule.
+
+    The job that writes the rows counts them, so there is no pass for the counts.
+    """
+    figures = {f"rule_{i}": F.count_if(F.col(CAUGHT_BY) == r.name) for i, r in enumerate(rules)}
+    count = Counted(**figures)
+
+    def caught() -> dict[str, int]:
+        found = count.figures()
+        return {r.name: found.get(f"rule_{i}", 0) for i, r in enumerate(rules)}
+
+    return count.on(tagged), caught
+
+
 def violations(tagged: DataFrame, rules: Sequence[Expectation]) -> DataFrame:
     """``violation_counts`` as rows ``(expectation, rows)``, zero included."""
     pairs = [c for r in rules for c in (F.lit(r.name), F.col(f"`{r.name}`"))]

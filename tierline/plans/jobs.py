@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tierline.operators import clean, dashboard, marts
-from tierline.operators.audit import row_counts
 from tierline.schemas import BRONZE_TRANSACTIONS, SILVER_PARTITION
 from tierline.sources import append_table, snapshot_table, upkeep
 from tierline.sources.csv_feed import read_raw_csv, with_lineage
@@ -15,14 +15,21 @@ _LINEAGE = ("_source_file", append_table.VERSION, append_table.KEY)
 
 
 def bronze_job(
-    spark: SparkSession, layout: Layout, source: str | None = None, check_header: bool = False
+    spark: SparkSession,
+    layout: Layout,
+    source: str | None = None,
+    check_header: bool = False,
+    batch_key: str | None = None,
 ) -> int:
-    """Append raw files to Bronze and return the rows it holds. Reruns append again."""
+    """Append raw files to Bronze and return the rows it holds, as counted by the jobs that wrote them.
+
+    Reruns append again, unless a ``batch_key`` names the delivery: the same key replaces it.
+    """
     source = source or f"{layout.raw}/transactions.csv"
     raw = read_raw_csv(spark, source, check_header)
     hint = source.rstrip("/").rsplit("/", 1)[-1]
-    append_table.append(with_lineage(raw, hint), layout.bronze)
-    return read_bronze(spark, layout).count()
+    append_table.append(with_lineage(raw, hint), layout.bronze, batch_key)
+    return append_table.rows(spark, layout.bronze)
 
 
 def read_bronze(
@@ -33,14 +40,15 @@ def read_bronze(
 
 
 def silver_job(spark: SparkSession, layout: Layout, full: bool = False) -> dict[str, int | None]:
-    """Clean Bronze into Silver by upsert, append new rejects, return row counts.
+    """Clean Bronze into Silver by merge, append new rejects, return row counts.
 
-    Only Bronze versions Silver has not seen are read, or all with ``full``. Copies of a
-    transaction that are in Silver already compete with the new ones in the same order,
-    so both ways give the same Silver table.
+    Only Bronze versions Silver has not seen are read; with ``full`` Silver is built anew from all
+    of Bronze. Copies of a transaction that are in Silver already compete with the new ones in the
+    same order, and a transaction that was in a batch replaced since is judged anew on what Bronze
+    holds of it now, so both ways give the same Silver table.
 
     Rejects of a Bronze version are written once: the batch key names the versions
-    covered, and versions covered before are left out.
+    covered, and versions covered before are left out. Those of a replaced batch stay, with its version.
     """
     upto = append_table.latest_version(spark, layout.bronze)
     if upto is None:
@@ -48,19 +56,49 @@ def silver_job(spark: SparkSession, layout: Layout, full: bool = False) -> dict[
     seen = None
     if not full and snapshot_table.latest_version(spark, layout.silver) is not None:
         seen = snapshot_table.snapshot(spark, layout.silver).source_version
-    if seen is None or upto > seen:
-        snapshot_table.write_or_upsert(
-            clean.silver(read_bronze(spark, layout, as_of=upto, after=seen)),
+    if seen is None:
+        silver = clean.silver(read_bronze(spark, layout, as_of=upto))
+        snapshot_table.overwrite(silver, layout.silver, (SILVER_PARTITION,), "rebuild", upto)
+    elif upto > seen:
+        snapshot_table.merge(
+            silver_changes(spark, layout, seen, upto),
             layout.silver,
             [clean.KEY],
-            (SILVER_PARTITION,),
+            update_if=f"s.{_CHANGE} = '{_JUDGED}' OR s.event_ts >= t.event_ts",
+            insert_if=f"s.{_CHANGE} <> '{_GONE}'",
+            delete_if=f"s.{_CHANGE} = '{_GONE}'",
             source_version=upto,
-            resolve=clean.deduplicated,
+            operation="upsert",
         )
     _write_rejects(spark, layout, upto)
+    # Silver has taken in what they held.
+    append_table.drop_replaced(spark, layout.bronze, upto)
     return layer_counts(spark, layout)
 
 
+# How a row of Silver changes: it competes with the copy that is there, it was judged anew, or no copy is left.
+_CHANGE = "_merge_change"
+_COMPETES, _JUDGED, _GONE = "competes", "judged", "gone"
+
+
+def silver_changes(spark: SparkSession, layout: Layout, seen: int, upto: int) -> DataFrame:
+    """What Bronze versions after ``seen`` change in Silver: one row per transaction, with the kind of change.
+
+    The keys of batches that were replaced are looked up in all of Bronze; only their copies are cleaned again.
+    """
+    new = clean.silver(read_bronze(spark, layout, as_of=upto, after=seen))
+    gone = append_table.replaced(spark, layout.bronze, upto=seen)
+    if not gone:
+        return new.withColumn(_CHANGE, F.lit(_COMPETES))
+    old = append_table.read_batches(spark, layout.bronze, gone, BRONZE_TRANSACTIONS)
+    keys = old.where(F.col(clean.KEY).isNotNull()).select(clean.KEY).distinct()
+    left = clean.silver(read_bronze(spark, layout, as_of=upto).join(keys, clean.KEY, "left_semi"))
+    judged = left.withColumn(_CHANGE, F.lit(_JUDGED))
+    none = keys.join(left, clean.KEY, "left_anti").withColumn(_CHANGE, F.lit(_GONE))
+    others = new.join(keys, clean.KEY, "left_anti").withColumn(_CHANGE, F.lit(_COMPETES))
+    return others.unionByName(judged).unionByName(none, allowMissingColumns=True)
+
+
 def _write_rejects(spark: SparkSession, layout: Layout, upto: int) -> None:
     covered = [
         int(a.key.rsplit("-", 1)[-1])
@@ -109,23 +147,12 @@ def dashboard_frames(spark: SparkSession, layout: Layout, top: int = 20) -> dict
     }
 
 
-def _appended(spark: SparkSession, table: str) -> DataFrame | None:
-    found = append_table.latest_version(spark, table) is not None
-    return append_table.read(spark, table) if found else None
-
-
-def _current(spark: SparkSession, table: str) -> DataFrame | None:
-    found = snapshot_table.latest_version(spark, table) is not None
-    return snapshot_table.read(spark, table) if found else None
-
-
 def layer_counts(spark: SparkSession, layout: Layout) -> dict[str, int | None]:
-    """Rows per table, None for one that does not exist; one job over file footers."""
-    layers = {
-        "bronze": _appended(spark, layout.bronze),
-        "silver": _current(spark, layout.silver),
-        "rejects": _appended(spark, layout.rejects),
-        "daily_revenue": _current(spark, layout.daily_revenue),
-        "customer_ltv": _current(spark, layout.customer_ltv),
+    """Rows per table, None for one that does not exist, as counted by the jobs that wrote them."""
+    return {
+        "bronze": append_table.rows(spark, layout.bronze),
+        "silver": snapshot_table.rows(spark, layout.silver),
+        "rejects": append_table.rows(spark, layout.rejects),
+        "daily_revenue": snapshot_table.rows(spark, layout.daily_revenue),
+        "customer_ltv": snapshot_table.rows(spark, layout.customer_ltv),
     }
-    return {r["layer"]: r["rows"] for r in row_counts(layers).collect()}

@@ -30,6 +30,12 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(str(s.getPath().toString()) for s in found) if found else []
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file, in a folder that exists."""
+    fs, p = _fs(spark, path)
+    fs.create(p, True).close()
+
+
 def delete(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return fs.delete(p, True)

@@ -15,6 +15,7 @@ import json
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from typing import NamedTuple
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tierline.schemas import enforce
-from tierline.sources import files
+from tierline.sources import counted, files
 from tierline.sources.scratch import staged
 from tierline.sources.settings import few_listing_tasks
 
@@ -33,7 +34,9 @@ _SNAPSHOT_SCHEMA = (
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 # 1 in rows that an upsert brings, 0 in those it finds, while both are resolved.
 DELIVERED = "_delivered"
-_IN = "_in_partition"
+_IN, _TO = "_in_partition", "_to_partition"
+_ACTION = "_action"
+_INSERT, _UPDATE, _DELETE, _KEEP = "insert", "update", "delete", "keep"
 
 
 @dataclass(frozen=True)
@@ -56,6 +59,15 @@ class DuplicateSourceKeys(ValueError):
     """Several update rows match one table row, so the result would be arbitrary."""
 
 
+class Merged(NamedTuple):
+    """What a merge did; without a change no version is written and the last one is given."""
+
+    version: int
+    inserted: int
+    updated: int
+    deleted: int
+
+
 def versions(spark: SparkSession, table: str) -> list[int]:
     done = files.matching(spark, f"{table}/snapshots/version=*/_SUCCESS")
     return sorted(int(p.split("version=")[-1].split("/")[0]) for p in done)
@@ -138,8 +150,8 @@ def _written_folders(spark: SparkSession, root: str, depth: int) -> list[str]:
 
 def _stage_version(
     df: DataFrame, table: str, partition_by: tuple[str, ...], spread: bool = True
-) -> tuple[int, list[str]]:
-    """Write ``df`` as the next data version without making it visible."""
+) -> tuple[int, list[str], int | None]:
+    """Write ``df`` as the next data version without making it visible; also its folders and rows."""
     spark = df.sparkSession
     last = latest_version(spark, table)
     version = 0 if last is None else last + 1
@@ -149,11 +161,12 @@ def _stage_version(
         # Rows of one partition meet in few tasks, so few files are written; adaptive
         # execution cuts a partition that is too big for one task into several.
         out = out.hint("rebalance", *partition_by)
-    writer = out.write.mode("overwrite")
+    count = counted.row_counter()
+    writer = count.on(out).write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(root)
-    return version, _written_folders(spark, root, len(partition_by))
+    return version, _written_folders(spark, root, len(partition_by)), count.figures().get("rows")
 
 
 def _commit(
@@ -167,6 +180,7 @@ def _commit(
     source_version: int | None,
     committed_at: datetime | None,
     packed: dict[int, str],
+    rows: int | None,
 ) -> int:
     row = (
         folders,
@@ -179,9 +193,23 @@ def _commit(
     )
     target = f"{table}/snapshots/version={version}"
     spark.createDataFrame([row], _SNAPSHOT_SCHEMA).coalesce(1).write.mode("overwrite").parquet(target)
+    counted.mark(spark, target, rows)
     return version
 
 
+def _kept_count(spark: SparkSession, table: str, version: int) -> int | None:
+    return next(iter(counted.marked(spark, f"{table}/snapshots/version={version}").values()), None)
+
+
+def rows(spark: SparkSession, table: str, version: int | None = None) -> int | None:
+    """Rows of a version as counted when it was written; None if the table is not there."""
+    at = latest_version(spark, table) if version is None else version
+    if at is None:
+        return None
+    known = _kept_count(spark, table, at)
+    return read(spark, table, at).count() if known is None else known
+
+
 def overwrite(
     df: DataFrame,
     table: str,
@@ -192,7 +220,7 @@ def overwrite(
     committed_at: datetime | None = None,
 ) -> int:
     """Make ``df`` the whole content of the table, schema included, as a new version."""
-    version, folders = _stage_version(df, table, tuple(partition_by), spread)
+    version, folders, rows = _stage_version(df, table, tuple(partition_by), spread)
     return _commit(
         df.sparkSession,
         table,
@@ -204,15 +232,20 @@ def overwrite(
         source_version,
         committed_at,
         {},
+        rows,
     )
 
 
-def _partition_text(partition_by: tuple[str, ...]) -> Column:
+def _quoted(column: str) -> str:
+    return f"`{column}`"
+
+
+def _partition_text(partition_by: tuple[str, ...], of: str = "") -> Column:
     """A row's partition as its folder name has it; for string, integer and date columns.
 
     Spark writes the empty string to the folder of NULL.
     """
-    texts = [F.col(c).cast("string") for c in partition_by]
+    texts = [F.col(f"{of}{_quoted(c)}").cast("string") for c in partition_by]
     values = [F.coalesce(F.when(t != "", t), F.lit(NULL_PARTITION)) for t in texts]
     return F.concat_ws("/", *values).alias(_IN)
 
@@ -221,25 +254,100 @@ def _folder_text(folder: str) -> str:
     return "/".join(unquote(part.split("=", 1)[1]) for part in folder.split("/"))
 
 
-def _refuse_ambiguous(current: DataFrame, updates: DataFrame, keys: list[str]) -> None:
-    repeated = updates.groupBy(*keys).count().filter("count > 1").select(*keys)
-    if repeated.isEmpty():
-        return
-    if not current.select(*keys).join(repeated, keys, "left_semi").isEmpty():
-        raise DuplicateSourceKeys(f"update rows repeat a key of the table: {', '.join(keys)}")
+def merge(
+    source: DataFrame,
+    table: str,
+    keys: list[str],
+    update_if: str = "true",
+    insert_if: str = "true",
+    delete_if: str = "false",
+    delete_unmatched_if: str = "false",
+    source_version: int | None = None,
+    operation: str = "merge",
+    committed_at: datetime | None = None,
+    evolve: bool = True,
+) -> Merged:
+    """Bring ``source`` into the table by key, as a new version; tells what it did.
+
+    A source row that matches a row of the table deletes it if ``delete_if``, else replaces it if
+    ``update_if``, else leaves it; one that matches nothing is added if ``insert_if``. Rows of the table that
+    no source row matches go if ``delete_unmatched_if``. The conditions are SQL over ``s`` and ``t``, the rows of
+    source and table; one that gives NULL does not hold. NULL keys match nothing. Columns of the source whose name
+    starts with ``_merge`` serve the conditions and are not stored.
+
+    A first join, of the keys and of what the conditions read, decides on every source row; if a key matches
+    more than once, the merge is refused. Only partitions with a change are then read, once, for one full outer
+    join with the rows that change something, and only they are written. Counts come with the decisions.
+    """
+    spark = source.sparkSession
+    snap = snapshot(spark, table)
+    helpers = [c for c in source.columns if c.startswith("_merge")]
+    stored = enforce(source.drop(*helpers), snap.schema, evolve)
+    columns = stored.columns
+    # Rows of the source and of the table side by side; a missing side is NULL.
+    ours = source.select(*keys, F.struct(*columns, *helpers).alias("s"))
+    by = snap.partition_by
+    current = read_folders(spark, table, snap)
+    wide = current.select(*[F.col(c) if c in current.columns else F.lit(None).cast(stored.schema[c].dataType).alias(c) for c in columns])
+
+    def theirs(rows: DataFrame) -> DataFrame:
+        return rows.select(*keys, F.struct(*columns).alias("t"), _partition_text(by).alias(_IN) if by else F.lit("").alias(_IN))
 
+    def holds(condition: str) -> Column:
+        return F.coalesce(F.expr(condition), F.lit(False))
 
-def _touched(
-    current: DataFrame, updates: DataFrame, keys: list[str], by: tuple[str, ...]
-) -> list[str]:
-    """Partitions an upsert has to rewrite: where matches lie now, and where updates go."""
-    places = updates.select(_partition_text(by))
-    if not set(by) <= set(keys):
-        matches = current.select(*keys, _partition_text(by)).join(
-            updates.select(*keys), keys, "left_semi"
+    met = F.col("t").isNotNull()
+    action = (
+        F.when(met & holds(delete_if), _DELETE)
+        .when(met & holds(update_if), _UPDATE)
+        .when(~met & holds(insert_if), _INSERT)
+        .otherwise(_KEEP)
+    )
+    joined = ours.join(theirs(wide), keys, "left").withColumn(_ACTION, action)
+    place = _partition_text(by, "s.") if by else F.lit("")
+    decided = joined.select(*keys, "s", _ACTION, F.when(met, F.col(_IN)).alias(_IN), place.alias(_TO))
+    with staged(decided, "decided") as decisions:
+        _refuse_ambiguous(decisions, keys)
+        # One row per pair of partitions and action.
+        done = decisions.where(F.col(_ACTION) != _KEEP).groupBy(_ACTION, _IN, _TO).agg(F.count(F.lit(1)).alias("n")).collect()
+        counts = {a: sum(r["n"] for r in done if r[_ACTION] == a) for a in (_INSERT, _UPDATE, _DELETE)}
+        places = {r[_IN] for r in done} | {r[_TO] for r in done if r[_ACTION] != _DELETE}
+        purged = 0
+        if delete_unmatched_if != "false":
+            loose = theirs(wide).where(holds(delete_unmatched_if)).join(decisions.select(*keys), keys, "left_anti")
+            found = {r[_IN]: r["n"] for r in loose.groupBy(_IN).agg(F.count(F.lit(1)).alias("n")).collect()}
+            purged, places = sum(found.values()), places | set(found)
+        if not places:
+            version = snap.version
+            if source_version not in (None, snap.source_version):
+                version = _commit(
+                    spark, table, version + 1, snap.folders, by, snap.schema, operation, source_version,
+                    committed_at, snap.packed, _kept_count(spark, table, version),
+                )
+            return Merged(version, 0, 0, 0)
+        rewritten = [f for f in snap.folders if not by or _folder_text(f) in places]
+        old = wide
+        if by:
+            # On partition columns only, so it selects folders and no row is tested.
+            old = wide.where(_partition_text(by).isin(sorted(p for p in places if p is not None)))
+        acting = decisions.where(F.col(_ACTION) != _KEEP).select(*keys, "s", _ACTION)
+        both = theirs(old).join(acting, keys, "full_outer")
+        acts = F.col(_ACTION).isNotNull()
+        stays = ~acts & ~holds(delete_unmatched_if)
+        merged = both.where(stays | (acts & (F.col(_ACTION) != _DELETE))).select(
+            F.when(acts, F.struct(*[F.col(f"s.{_quoted(c)}").alias(c) for c in columns])).otherwise(F.col("t")).alias("_row")
+        ).select("_row.*")
+        gained = counts[_INSERT] - counts[_DELETE] - purged
+        version = replace_folders(
+            merged, table, snap, rewritten, operation, source_version, committed_at, spread=True, gained=gained
         )
-        places = places.union(matches.select(_IN))
-    return [r[0] for r in places.distinct().collect()]  # one row per partition
+    return Merged(version, counts[_INSERT], counts[_UPDATE], counts[_DELETE] + purged)
+
+
+def _refuse_ambiguous(decided: DataFrame, keys: list[str]) -> None:
+    repeated = decided.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.max(F.col(_IN).isNotNull()).alias("met"))
+    if not repeated.where("n > 1 AND met").isEmpty():
+        raise DuplicateSourceKeys(f"rows repeat a key of the table: {', '.join(keys)}")
 
 
 def upsert(
@@ -255,40 +363,22 @@ def upsert(
     """Replace rows whose key is in ``updates``, add the others, as a new version.
 
     With ``resolve`` an update does not always win: it is given the updates together with
-    the rows they match and returns the rows to keep.
+    the rows they match and returns the rows to keep, one for each key.
 
     NULL keys match nothing, so such rows are added. ``updates`` must have all columns of
-    the table; new ones become part of it unless ``evolve`` is off. Finding the matches
-    reads the key and partition columns only. The partitions then rewritten are those
-    holding a matched row and those an update row goes to, since an update may move a row
-    from one partition to another.
+    the table; new ones become part of it unless ``evolve`` is off. See ``merge``.
     """
     spark = updates.sparkSession
+    if resolve is None:
+        return merge(updates, table, keys, source_version=source_version, operation=operation, committed_at=committed_at, evolve=evolve).version
     snap = snapshot(spark, table)
     updates = enforce(updates, snap.schema, evolve)
-    current = read_folders(spark, table, snap)
     with staged(updates, "updates") as changes:
-        _refuse_ambiguous(current, changes, keys)
-        rewritten, old = list(snap.folders), current
-        if snap.partition_by:
-            touched = _touched(current, changes, keys, snap.partition_by)
-            places = set(touched)
-            rewritten = [f for f in snap.folders if _folder_text(f) in places]
-            # On partition columns only, so it selects folders and no row is tested.
-            old = current.filter(_partition_text(snap.partition_by).isin(touched))
-        update_keys = changes.select(*keys)
-        kept = old.join(update_keys, keys, "left_anti")
-        incoming = changes
-        if resolve is not None:
-            rivals = old.join(update_keys, keys, "left_semi")
-            delivered = changes.withColumn(DELIVERED, F.lit(1))
-            there = rivals.withColumn(DELIVERED, F.lit(0))
-            both = delivered.unionByName(there, allowMissingColumns=True)
-            incoming = resolve(both).drop(DELIVERED)
-        merged = kept.unionByName(incoming, allowMissingColumns=True).select(*changes.columns)
-        return replace_folders(
-            merged, table, snap, rewritten, operation, source_version, committed_at, spread=True
-        )
+        rivals = read_folders(spark, table, snap).join(changes.select(*keys), keys, "left_semi")
+        delivered = changes.withColumn(DELIVERED, F.lit(1))
+        both = delivered.unionByName(rivals.withColumn(DELIVERED, F.lit(0)), allowMissingColumns=True)
+        winners = resolve(both).drop(DELIVERED).select(*changes.columns)
+        return merge(winners, table, keys, source_version=source_version, operation=operation, committed_at=committed_at, evolve=evolve).version
 
 
 def replace_folders(
@@ -301,12 +391,15 @@ def replace_folders(
     committed_at: datetime | None = None,
     spread: bool = False,
     packed_by: str | None = None,
+    gained: int | None = None,
 ) -> int:
     """New version with the rows of ``df`` in place of some folders of ``snap``.
 
-    Upkeep passes ``packed_by`` to mark what it wrote, so that it does not write it again.
+    Upkeep passes ``packed_by`` to mark what it wrote, so that it does not write it again. ``gained`` is by how
+    many rows the table grows, if the caller knows.
     """
-    version, written = _stage_version(df, table, snap.partition_by, spread)
+    before = _kept_count(df.sparkSession, table, snap.version)
+    version, written, _ = _stage_version(df, table, snap.partition_by, spread)
     gone = set(rewritten)
     lost = [f for f in written if f in snap.folders and f not in gone]
     if lost:
@@ -327,6 +420,7 @@ def replace_folders(
         snap.source_version if source_version is None else source_version,
         committed_at,
         packed,
+        counted.total([before, gained]),
     )
 
 

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tierline.schemas import RAW_TRANSACTIONS
@@ -64,7 +64,31 @@ def ingest_available(
     max_files_per_trigger: int | None = None,
 ) -> int:
     """Drain the folder into Bronze; returns the rows Bronze holds afterwards."""
+    return drain(spark, folder, bronze, checkpoint, max_files_per_trigger).held
+
+
+class Drained(NamedTuple):
+    """What a run of the stream did, as counted by its own writes."""
+
+    batches: int
+    taken: int
+    held: int
+
+
+def drain(
+    spark: SparkSession,
+    folder: str,
+    bronze: str,
+    checkpoint: str,
+    max_files_per_trigger: int | None = None,
+) -> Drained:
+    """Drain the folder into Bronze; tells batches and rows this run added, and the rows Bronze holds.
+
+    A micro-batch that was written by an earlier run, and is only delivered again, adds nothing and is not
+    told. No row of Bronze is read for the counts.
+    """
+    before = append_table.counts(spark, bronze)
     start(raw_stream(spark, folder, max_files_per_trigger), bronze, checkpoint).awaitTermination()
-    if append_table.latest_version(spark, bronze) is None:
-        return 0
-    return append_table.read(spark, bronze).agg(F.count(F.lit(1))).first()[0]
+    after = append_table.counts(spark, bronze)
+    added = {batch: n for batch, n in after.items() if batch not in before}
+    return Drained(len(added), sum(added.values()), sum(after.values()))
