@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.operators import clean, dashboard, marts
+from tierline.operators import clean, dashboard
+from tierline.plans import increments
 from tierline.schemas import BRONZE_TRANSACTIONS, SILVER_PARTITION
 from tierline.sources import append_table, snapshot_table, upkeep
 from tierline.sources.csv_feed import read_raw_csv, with_lineage
@@ -120,12 +121,14 @@ def maintenance_job(spark: SparkSession, layout: Layout, retain_hours: float = 1
     return upkeep.vacuum(spark, layout.silver, retain_hours)
 
 
-def gold_job(spark: SparkSession, layout: Layout) -> None:
-    """Replace both marts and register them as temporary views."""
-    silver = snapshot_table.read(spark, layout.silver)
-    snapshot_table.overwrite(marts.by_day(marts.daily_revenue(silver)), layout.daily_revenue)
-    snapshot_table.overwrite(marts.by_value(marts.customer_ltv(silver)), layout.customer_ltv)
+def gold_job(spark: SparkSession, layout: Layout, full: bool = False) -> increments.Refreshed:
+    """Bring both marts up to Silver and register them as temporary views.
+
+    Only days that changed since the marts were made are read from Silver; see ``increments``.
+    """
+    done = increments.refresh(spark, layout, full)
     register_views(spark, layout)
+    return done
 
 
 def register_views(spark: SparkSession, layout: Layout) -> None:

@@ -49,6 +49,14 @@ class Layout:
     def customer_ltv(self) -> str:
         return self._at("gold", "customer_ltv")
 
+    @property
+    def customer_days(self) -> str:
+        return self._at("gold", "state", "customer_days")
+
+    @property
+    def customer_totals(self) -> str:
+        return self._at("gold", "state", "customer_totals")
+
     @property
     def customer_index(self) -> str:
         return self._at("gold", "customer_index")

@@ -11,6 +11,7 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 
 from tierline.sources import files
+from tierline.sources.counted import Counted
 
 
 @cache
@@ -34,16 +35,18 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
 
 
 @contextmanager
-def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
+def staged(df: DataFrame, label: str, counted: Counted | None = None) -> Iterator:
     """``df`` written once to the shared folder and read back, for several jobs.
 
     Later readers take only the columns they select, and a lost executor costs a
-    file read, not a recomputation. The copy is deleted at the end of the block.
+    file read, not a recomputation. The copy is deleted at the end of the block. With
+    ``counted`` the block gets the frame and the figures the write counted.
     """
     spark = df.sparkSession
     path = scratch_dir(spark, label)
-    df.write.parquet(path)
+    (df if counted is None else counted.on(df)).write.parquet(path)
     try:
-        yield spark.read.schema(df.schema).parquet(path)
+        back = spark.read.schema(df.schema).parquet(path)
+        yield back if counted is None else (back, counted.figures())
     finally:
         files.delete(spark, path)

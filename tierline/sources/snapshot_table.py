@@ -31,6 +31,7 @@ _SNAPSHOT_SCHEMA = (
     "folders MAP<STRING, BIGINT>, partition_by ARRAY<STRING>, table_schema STRING, "
     "operation STRING, source_version BIGINT, packed MAP<BIGINT, STRING>, committed_at TIMESTAMP"
 )
+UPKEEP = "optimize"
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 # 1 in rows that an upsert brings, 0 in those it finds, while both are resolved.
 DELIVERED = "_delivered"
@@ -112,6 +113,24 @@ def snapshot(spark: SparkSession, table: str, version: int | None = None) -> Sna
     return snapshots(spark, table, [at])[0]
 
 
+def changed_folders(spark: SparkSession, table: str, since: int) -> list[str] | None:
+    """Partition folders whose rows may differ between version ``since`` and now; None if that is not known.
+
+    Upkeep moves rows and changes none, so what it wrote is left out. Versions that are gone leave a gap.
+    """
+    wanted = [v for v in versions(spark, table) if v >= since]
+    if not wanted or wanted != list(range(since, wanted[-1] + 1)):
+        return None
+    history, changed = snapshots(spark, table, wanted), set()
+    for old, new in zip(history, history[1:]):
+        if new.partition_by != history[0].partition_by:
+            return None
+        if new.operation != UPKEEP:
+            changed |= {f for f, v in new.folders.items() if old.folders.get(f) != v}
+            changed |= set(old.folders) - set(new.folders)
+    return sorted(changed)
+
+
 def read_folders(
     spark: SparkSession, table: str, snap: Snapshot, folders: list[str] | None = None
 ) -> DataFrame:

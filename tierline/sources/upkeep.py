@@ -90,7 +90,7 @@ def optimize(
     if order:
         packed = packed.sortWithinPartitions(*order)
     return snapshot_table.replace_folders(
-        packed, table, snap, rewritten, "optimize", packed_by=cluster_by or "", gained=0
+        packed, table, snap, rewritten, snapshot_table.UPKEEP, packed_by=cluster_by or "", gained=0
     )
 
 
