@@ -35,20 +35,23 @@ def check(spark, layout):
     assert snapshot_table.rows(spark, layout.customer_ltv) == ltv.count()
 
 
-def test_marts_follow_random_changes(spark, layout):
+@pytest.mark.parametrize("divided", [SILVER_PARTITION, "month(event_date)"])
+def test_marts_follow_random_changes(spark, layout, divided):
     rng = random.Random(4)
     state = {}
-    for step in range(5):
+    for step in range(3):
         for _ in range(15 if step else 40):
             i = rng.randint(0, 60)
             customer = rng.choice(["K-1", "K-2", "K-3", "K-4", "K-5", None])
             amount = rng.choice([0.1, 0.2, 19.99, 1e-9, None, 1234567.891])
-            state[i] = sale(i, customer, rng.choice(["ch", "li"]), amount, rng.randint(1, 9), rng.randint(0, 23))
+            day = rng.randint(1, 9)
+            at = datetime(2031, rng.choice([5, 5, 6]), day, rng.randint(0, 23))
+            state[i] = (f"N-{i}", customer, rng.choice(["ch", "li"]), amount, at, at.date())
         for i in rng.sample(sorted(state), 6 if step else 0):
             del state[i]
         rows = sales(spark, list(state.values()))
         if step == 0:
-            snapshot_table.overwrite(rows, layout.silver, (SILVER_PARTITION,))
+            snapshot_table.overwrite(rows, layout.silver, (divided,))
         else:
             snapshot_table.merge(rows, layout.silver, ["transaction_id"], update_if="s.event_ts <> t.event_ts OR NOT s.revenue <=> t.revenue", delete_unmatched_if="true")
         done = jobs.gold_job(spark, layout)

@@ -12,7 +12,7 @@ from tierline.sources import append_table, counted, files, snapshot_table
 from tierline.sources.layout import Layout
 
 SCHEMA = "k STRING, v INT, day DATE"
-DAYS = [date(2031, 5, d) for d in range(1, 9)]
+DAYS = [date(2031, 5, d) for d in range(1, 6)] + [date(2031, 6, d) for d in range(1, 4)]
 
 
 def frame(spark, rows, extra=""):
@@ -43,11 +43,12 @@ def expected(table, source, unmatched):
     return state, counts
 
 
-def test_merge_against_a_dictionary(spark, table):
+@pytest.mark.parametrize("divided", [("day",), ("month(day)",), ()])
+def test_merge_against_a_dictionary(spark, table, divided):
     rng = random.Random(21)
     state = {f"k{i}": (f"k{i}", rng.randint(0, 50), rng.choice(DAYS)) for i in range(30)}
-    snapshot_table.overwrite(frame(spark, list(state.values())), table, ("day",))
-    for unmatched in (0, 0, 9, 0):
+    snapshot_table.overwrite(frame(spark, list(state.values())), table, divided)
+    for unmatched in (0, 9):
         source = [
             (k, rng.randint(0, 50), rng.choice(DAYS + [None]), rng.choice(["drop", "put", "put", None]))
             for k in rng.sample([f"k{i}" for i in range(45)], 12)

@@ -56,9 +56,12 @@ def ltv_of(totals: DataFrame) -> DataFrame:
     return totals.select("customer_id", amounts.alias("lifetime_revenue"), "orders", "first_seen", "last_seen")
 
 
-def on_days(rows: DataFrame, days: DataFrame, how: str) -> DataFrame:
-    """Rows of ``rows`` on one of ``days`` (left_semi) or on none of them (left_anti); a NULL day is a day."""
-    return rows.join(days, rows["event_date"].eqNullSafe(days["day"]), how)
+def on_days(rows: DataFrame, days: DataFrame, how: str, pattern: str = "yyyy-MM-dd") -> DataFrame:
+    """Rows of ``rows`` on one of ``days`` (left_semi) or on none of them (left_anti); a NULL day is a day.
+
+    ``days`` holds texts; with the pattern of a month, months.
+    """
+    return rows.join(days, F.date_format(rows["event_date"], pattern).eqNullSafe(days["day"]), how)
 
 
 def moved_totals(totals: DataFrame, removed: DataFrame, added: DataFrame) -> DataFrame:

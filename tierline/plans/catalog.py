@@ -36,6 +36,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
+# The given tables spread few rows over 2,500 days, so Silver is divided by month.
+MONTHLY = f"month({SILVER_PARTITION})"
+
+
 def _query(fn: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         # Event times carry no zone; one zone on both sides keeps them as written.
@@ -279,12 +283,12 @@ def column_mask(spark, sf_dir):
 # ---- table operations ---------------------------------------------------------------
 
 
-def _two_deliveries(spark, sf_dir, table):
+def _two_deliveries(spark, sf_dir, table, divided=MONTHLY):
     """Silver written from the first delivery, then upserted with the second."""
     first = clean.silver(raw_feed(spark, sf_dir, first_delivery()))
     second = clean.silver(raw_feed(spark, sf_dir, ~first_delivery()))
     for rows in (first, second):
-        snapshot_table.write_or_upsert(rows, table, [clean.KEY], (SILVER_PARTITION,))
+        snapshot_table.write_or_upsert(rows, table, [clean.KEY], (divided,))
     return second
 
 
@@ -355,7 +359,7 @@ def compact_files(spark, sf_dir):
 def cluster_by_customer(spark, sf_dir):
     """Rows after clustering by customer within days equal the rows before."""
     table = scratch_dir(spark, "cluster")
-    snapshot_table.overwrite(_silver(spark, sf_dir), table, (SILVER_PARTITION,))
+    snapshot_table.overwrite(_silver(spark, sf_dir), table, (MONTHLY,))
     upkeep.optimize(spark, table, cluster_by="customer_id")
     return _plain(snapshot_table.read(spark, table))
 
@@ -364,7 +368,7 @@ def cluster_by_customer(spark, sf_dir):
 def vacuum_candidates(spark, sf_dir):
     """Folders only the replaced version needs, once its retention is over."""
     table = scratch_dir(spark, "vacuum")
-    _two_deliveries(spark, sf_dir, table)
+    _two_deliveries(spark, sf_dir, table, SILVER_PARTITION)
     dead = upkeep.vacuum_candidates(spark, table, retain_hours=0, force=True)
     return dead.select(
         F.regexp_extract("folder", r"data_version=(\d+)", 1).cast("bigint").alias("data_version"),
@@ -376,7 +380,7 @@ def vacuum_candidates(spark, sf_dir):
 
 
 def _csv_layout(spark, sf_dir) -> Layout:
-    layout = Layout(scratch_dir(spark, "lakehouse"))
+    layout = Layout(scratch_dir(spark, "lakehouse"), MONTHLY)
     write_csv(raw_feed(spark, sf_dir), layout.raw)
     return layout
 
@@ -464,13 +468,53 @@ def upsert_blank_partitions(spark, sf_dir):
 @_query
 def jobs_incremental_silver(spark, sf_dir):
     """Silver after two deliveries, each cleaned on arrival: as if cleaned at once."""
-    layout = Layout(scratch_dir(spark, "lakehouse"))
+    layout = Layout(scratch_dir(spark, "lakehouse"), MONTHLY)
     for delivery in (first_delivery(), ~first_delivery()):
         append_table.append(raw_feed(spark, sf_dir, delivery), layout.bronze)
         jobs.silver_job(spark, layout)
     return _plain(snapshot_table.read(spark, layout.silver))
 
 
+@_query
+def ingest_counts(spark, sf_dir):
+    """Rows of every layer as the writing jobs counted them, and what a stream took from the same folder."""
+    layout = _jobs_run(spark, sf_dir)
+    jobs.gold_job(spark, layout)
+    counts = jobs.layer_counts(spark, layout)
+    other = Layout(scratch_dir(spark, "streamed"))
+    drained = ingest.drain(spark, layout.raw, other.bronze, other.checkpoint("bronze"))
+    counts["stream"] = drained.taken
+    return spark.createDataFrame(list(counts.items()), "layer STRING, rows BIGINT")
+
+
+@_query
+def replaced_batch_silver(spark, sf_dir):
+    """Silver after the second delivery came again with a third of its orders: the others go or give way to earlier copies."""
+    layout = Layout(scratch_dir(spark, "lakehouse"), MONTHLY)
+    second = ~first_delivery()
+    append_table.append(raw_feed(spark, sf_dir, first_delivery()), layout.bronze, "first")
+    append_table.append(raw_feed(spark, sf_dir, second), layout.bronze, "second")
+    jobs.silver_job(spark, layout)
+    append_table.append(raw_feed(spark, sf_dir, second & (F.col("l_orderkey") % 3 == 0)), layout.bronze, "second")
+    jobs.silver_job(spark, layout)
+    return _plain(snapshot_table.read(spark, layout.silver))
+
+
+@_query
+def gold_after_deliveries(spark, sf_dir):
+    """Both marts after three deliveries, each brought in by increments: as if built at once."""
+    layout = Layout(scratch_dir(spark, "lakehouse"), MONTHLY)
+    days = [F.lit(d).cast("timestamp_ntz") for d in ("1997-12-01", "1998-06-01")]
+    shipped = F.col("l_shipdate")
+    for part in (shipped < days[0], (shipped >= days[0]) & (shipped < days[1]), shipped >= days[1]):
+        append_table.append(raw_feed(spark, sf_dir, part), layout.bronze)
+        jobs.silver_job(spark, layout)
+        jobs.gold_job(spark, layout)
+    daily = snapshot_table.read(spark, layout.daily_revenue).withColumnRenamed("gross_revenue", "revenue")
+    ltv = snapshot_table.read(spark, layout.customer_ltv).withColumnRenamed("lifetime_revenue", "revenue")
+    return _plain(daily.withColumnRenamed("order_count", "orders").unionByName(ltv, allowMissingColumns=True))
+
+
 @_query
 def jobs_declarative_daily(spark, sf_dir):
     """CSV to Bronze, then the declared steps; the narrow daily mart."""

@@ -245,6 +245,23 @@ SQL: dict[str, str] = {
     "upsert_blank_partitions": """
  SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN o_custkey + 1 ELSE o_custkey END AS o_custkey,
    CASE WHEN o_orderstatus = 'F' THEN 'F' END AS part FROM orders""",
+    "ingest_counts": _with(_SILVER, _DAILY, _LTV)
+    + f""" SELECT 'bronze' AS layer, count(*) AS rows FROM feed
+ UNION ALL SELECT 'stream', count(*) FROM feed
+ UNION ALL SELECT 'silver', count(*) FROM silver
+ UNION ALL SELECT 'rejects', count(*) FROM typed WHERE NOT coalesce({_IS_CLEAN}, false)
+ UNION ALL SELECT 'daily_revenue', count(*) FROM daily
+ UNION ALL SELECT 'customer_ltv', count(*) FROM ltv""",
+    "replaced_batch_silver": _with(
+        _CLEAN,
+        ", present AS (SELECT * FROM clean WHERE first_delivery OR cast(substr(transaction_id, 3, 9) AS int) % 3 = 0)",
+        f", silver AS ({_derived(_ranked_by_delivery('present'))})",
+    )
+    + f" SELECT {_SILVER_COLUMNS} FROM silver",
+    "gold_after_deliveries": _with(_SILVER, _DAILY, _LTV)
+    + """ SELECT event_date, country, gross_revenue AS revenue, order_count AS orders, unique_customers,
+   NULL AS customer_id, NULL::TIMESTAMP AS first_seen, NULL::TIMESTAMP AS last_seen FROM daily
+ UNION ALL SELECT NULL, NULL, lifetime_revenue, orders, NULL, customer_id, first_seen, last_seen FROM ltv""",
     "jobs_incremental_silver": _with(_CLEAN) + _derived(_ranked_by_delivery("clean")),
     "jobs_declarative_daily": _with(_UNGATED)
     + f""" SELECT event_date, country, {_money('revenue')} AS gross_revenue

@@ -18,10 +18,14 @@ REBUILD, INCREMENT, CURRENT, DIRECT = "rebuild", "increment", "current", "direct
 
 
 class Refreshed(NamedTuple):
-    """How the marts came up to date, and how many days of Silver were read for it (None: all)."""
+    """How the marts came up to date, and how many folders (days) of Silver were read for it (None: all)."""
 
     how: str
-    days: int | None
+    folders: int | None
+
+
+# How Silver may be divided, and what its folder names look like.
+_PATTERNS = {(SILVER_PARTITION,): "yyyy-MM-dd", (f"month({SILVER_PARTITION})",): "yyyy-MM"}
 
 
 def refresh(spark: SparkSession, layout: Layout, full: bool = False) -> Refreshed:
@@ -41,7 +45,7 @@ def refresh(spark: SparkSession, layout: Layout, full: bool = False) -> Refreshe
     if since == silver.version:
         return Refreshed(CURRENT, 0)
     changed = None
-    if since is not None and silver.partition_by == (SILVER_PARTITION,):
+    if since is not None and silver.partition_by in _PATTERNS:
         changed = snapshot_table.changed_folders(spark, layout.silver, since)
     if changed is None:
         return _rebuild(spark, layout, silver)
@@ -82,9 +86,9 @@ def _day(folder: str) -> str | None:
 
 
 def _increment(spark: SparkSession, layout: Layout, snap: snapshot_table.Snapshot, changed: list[str]) -> Refreshed:
-    at = snap.version
+    at, pattern = snap.version, _PATTERNS[snap.partition_by]
     dates = [_day(f) for f in changed]
-    days = spark.createDataFrame([(d,) for d in dates], "day STRING").select(F.col("day").cast("date").alias("day"))
+    days = spark.createDataFrame([(d,) for d in dates], "day STRING")
     sales = snapshot_table.read_folders(spark, layout.silver, snap, [f for f in changed if f in snap.folders])
     with staged(mart_state.customer_days(sales), "customer-days", _beyond()) as (new, found):
         if found.get("beyond"):
@@ -93,8 +97,8 @@ def _increment(spark: SparkSession, layout: Layout, snap: snapshot_table.Snapsho
         months = {f"{mart_state.MONTH}={d[:7] if d else snapshot_table.NULL_PARTITION}" for d in dates}
         touched = [f for f in state.folders if f in months]
         before = snapshot_table.read_folders(spark, layout.customer_days, state, touched)
-        kept = mart_state.on_days(before, days, "left_anti")
-        went = mart_state.on_days(before, days, "left_semi")
+        kept = mart_state.on_days(before, days, "left_anti", pattern)
+        went = mart_state.on_days(before, days, "left_semi", pattern)
         snapshot_table.replace_folders(
             kept.unionByName(new), layout.customer_days, state, touched, INCREMENT, at, spread=True
         )
@@ -112,7 +116,7 @@ def _increment(spark: SparkSession, layout: Layout, snap: snapshot_table.Snapsho
                 settled = settled.unionByName(mart_state.customer_totals(theirs))
             snapshot_table.overwrite(settled, layout.customer_totals, (), INCREMENT, at)
         _write_ltv(spark, layout, INCREMENT, at)
-        daily = mart_state.on_days(snapshot_table.read(spark, layout.daily_revenue), days, "left_anti")
+        daily = mart_state.on_days(snapshot_table.read(spark, layout.daily_revenue), days, "left_anti", pattern)
         daily = daily.unionByName(mart_state.daily_of(new))
         snapshot_table.overwrite(marts.by_day(daily), layout.daily_revenue, (), INCREMENT, at)
     return Refreshed(INCREMENT, len(changed))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tierline.operators import clean, dashboard
 from tierline.plans import increments
-from tierline.schemas import BRONZE_TRANSACTIONS, SILVER_PARTITION
+from tierline.schemas import BRONZE_TRANSACTIONS
 from tierline.sources import append_table, snapshot_table, upkeep
 from tierline.sources.csv_feed import read_raw_csv, with_lineage
 from tierline.sources.layout import Layout
@@ -59,7 +59,7 @@ def silver_job(spark: SparkSession, layout: Layout, full: bool = False) -> dict[
         seen = snapshot_table.snapshot(spark, layout.silver).source_version
     if seen is None:
         silver = clean.silver(read_bronze(spark, layout, as_of=upto))
-        snapshot_table.overwrite(silver, layout.silver, (SILVER_PARTITION,), "rebuild", upto)
+        snapshot_table.overwrite(silver, layout.silver, (layout.silver_by,), "rebuild", upto)
     elif upto > seen:
         snapshot_table.merge(
             silver_changes(spark, layout, seen, upto),

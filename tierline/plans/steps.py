@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from tierline.operators import clean, expectations, marts
 from tierline.operators.expectations import Expectation
 from tierline.plans.jobs import read_bronze
-from tierline.schemas import SILVER_PARTITION
 from tierline.sources import append_table, snapshot_table
 from tierline.sources.layout import Layout
 from tierline.sources.scratch import staged
@@ -69,7 +68,7 @@ def retail_steps(layout: Layout, as_of: int | None = None) -> dict[str, Step]:
             layout.silver,
             lambda spark: clean.silver_before_rules(read_bronze(spark, layout, as_of=as_of)),
             Checks(expectations.SILVER_RULES, layout.rejects),
-            (SILVER_PARTITION,),
+            (layout.silver_by,),
         ),
         "gold_daily_revenue": Step(
             layout.daily_narrow,

@@ -5,14 +5,20 @@ from __future__ import annotations
 import os
 from dataclasses import dataclass
 
+from tierline.schemas import SILVER_PARTITION
+
 ROOT_VARIABLE = "LAKEHOUSE_ROOT"
 
 
 @dataclass(frozen=True)
 class Layout:
-    """Paths below ``root``; any URI that Spark can read works."""
+    """Paths below ``root``; any URI that Spark can read works.
+
+    ``silver_by`` divides Silver: by day, or by ``month(event_date)`` where days are small.
+    """
 
     root: str
+    silver_by: str = SILVER_PARTITION
 
     @classmethod
     def from_environment(cls, default: str = "data") -> Layout:

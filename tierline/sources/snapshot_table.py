@@ -3,6 +3,9 @@
     <table>/data/data_version=<n>/[<column>=<value>/]part-*.parquet
     <table>/snapshots/version=<n>/      one row: which data folders make up version n
 
+A table is divided by columns, or, with ``month(<column>)``, by the month of a date: then the days of a
+month share files, which is cheaper as long as a day has few rows. The column itself stays in the files.
+
 A version is visible once its snapshot row is written, which happens last. Old
 versions stay readable, and partitions an upsert did not touch are shared between
 versions. The snapshot row lists partition folders, not rows, so what the driver
@@ -12,6 +15,7 @@ handles grows with the number of partitions only. One writer per table at a time
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -36,6 +40,7 @@ NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 # 1 in rows that an upsert brings, 0 in those it finds, while both are resolved.
 DELIVERED = "_delivered"
 _IN, _TO = "_in_partition", "_to_partition"
+_MONTH = re.compile(r"month\((.+)\)$")
 _ACTION = "_action"
 _INSERT, _UPDATE, _DELETE, _KEEP = "insert", "update", "delete", "keep"
 
@@ -56,6 +61,10 @@ class Snapshot:
         return [f"{table}/data/data_version={self.folders[f]}/{f}".rstrip("/") for f in chosen]
 
 
+def _quoted(column: str) -> str:
+    return f"`{column}`"
+
+
 class DuplicateSourceKeys(ValueError):
     """Several update rows match one table row, so the result would be arbitrary."""
 
@@ -69,6 +78,18 @@ class Merged(NamedTuple):
     deleted: int
 
 
+def folder_columns(partition_by: tuple[str, ...]) -> dict[str, Column]:
+    """The folder name of each entry of ``partition_by`` and what a row has there."""
+    out = {}
+    for entry in partition_by:
+        hit = _MONTH.match(entry)
+        if hit:
+            out[f"{hit[1]}_month"] = F.date_format(F.col(_quoted(hit[1])), "yyyy-MM")
+        else:
+            out[entry] = F.col(_quoted(entry))
+    return out
+
+
 def versions(spark: SparkSession, table: str) -> list[int]:
     done = files.matching(spark, f"{table}/snapshots/version=*/_SUCCESS")
     return sorted(int(p.split("version=")[-1].split("/")[0]) for p in done)
@@ -175,15 +196,17 @@ def _stage_version(
     last = latest_version(spark, table)
     version = 0 if last is None else last + 1
     root = f"{table}/data/data_version={version}"
-    out = df
+    folders = folder_columns(partition_by)
+    # Where a month divides the table, its column is made for the write and is no part of the table.
+    out = df.withColumns({n: c for n, c in folders.items() if n not in partition_by})
     if partition_by and spread:
         # Rows of one partition meet in few tasks, so few files are written; adaptive
         # execution cuts a partition that is too big for one task into several.
-        out = out.hint("rebalance", *partition_by)
+        out = out.hint("rebalance", *folders)
     count = counted.row_counter()
     writer = count.on(out).write.mode("overwrite")
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
+        writer = writer.partitionBy(*folders)
     writer.parquet(root)
     return version, _written_folders(spark, root, len(partition_by)), count.figures().get("rows")
 
@@ -255,16 +278,12 @@ def overwrite(
     )
 
 
-def _quoted(column: str) -> str:
-    return f"`{column}`"
-
-
-def _partition_text(partition_by: tuple[str, ...], of: str = "") -> Column:
+def _partition_text(partition_by: tuple[str, ...]) -> Column:
     """A row's partition as its folder name has it; for string, integer and date columns.
 
     Spark writes the empty string to the folder of NULL.
     """
-    texts = [F.col(f"{of}{_quoted(c)}").cast("string") for c in partition_by]
+    texts = [c.cast("string") for c in folder_columns(partition_by).values()]
     values = [F.coalesce(F.when(t != "", t), F.lit(NULL_PARTITION)) for t in texts]
     return F.concat_ws("/", *values).alias(_IN)
 
@@ -304,13 +323,18 @@ def merge(
     stored = enforce(source.drop(*helpers), snap.schema, evolve)
     columns = stored.columns
     # Rows of the source and of the table side by side; a missing side is NULL.
-    ours = source.select(*keys, F.struct(*columns, *helpers).alias("s"))
     by = snap.partition_by
-    current = read_folders(spark, table, snap)
-    wide = current.select(*[F.col(c) if c in current.columns else F.lit(None).cast(stored.schema[c].dataType).alias(c) for c in columns])
+    place = _partition_text(by) if by else F.lit("")
+    ours = source.select(*keys, F.struct(*columns, *helpers).alias("s"), place.alias(_TO))
+
+    def held(folders: list[str] | None = None) -> DataFrame:
+        """The table, or some folders of it, with the columns the source adds."""
+        there = read_folders(spark, table, snap, folders)
+        new = [F.lit(None).cast(stored.schema[c].dataType).alias(c) for c in columns if c not in there.columns]
+        return there.select("*", *new)
 
     def theirs(rows: DataFrame) -> DataFrame:
-        return rows.select(*keys, F.struct(*columns).alias("t"), _partition_text(by).alias(_IN) if by else F.lit("").alias(_IN))
+        return rows.select(*keys, F.struct(*columns).alias("t"), place.alias(_IN))
 
     def holds(condition: str) -> Column:
         return F.coalesce(F.expr(condition), F.lit(False))
@@ -322,9 +346,8 @@ def merge(
         .when(~met & holds(insert_if), _INSERT)
         .otherwise(_KEEP)
     )
-    joined = ours.join(theirs(wide), keys, "left").withColumn(_ACTION, action)
-    place = _partition_text(by, "s.") if by else F.lit("")
-    decided = joined.select(*keys, "s", _ACTION, F.when(met, F.col(_IN)).alias(_IN), place.alias(_TO))
+    joined = ours.join(theirs(held()), keys, "left").withColumn(_ACTION, action)
+    decided = joined.select(*keys, "s", _ACTION, F.when(met, F.col(_IN)).alias(_IN), _TO)
     with staged(decided, "decided") as decisions:
         _refuse_ambiguous(decisions, keys)
         # One row per pair of partitions and action.
@@ -333,7 +356,7 @@ def merge(
         places = {r[_IN] for r in done} | {r[_TO] for r in done if r[_ACTION] != _DELETE}
         purged = 0
         if delete_unmatched_if != "false":
-            loose = theirs(wide).where(holds(delete_unmatched_if)).join(decisions.select(*keys), keys, "left_anti")
+            loose = theirs(held()).where(holds(delete_unmatched_if)).join(decisions.select(*keys), keys, "left_anti")
             found = {r[_IN]: r["n"] for r in loose.groupBy(_IN).agg(F.count(F.lit(1)).alias("n")).collect()}
             purged, places = sum(found.values()), places | set(found)
         if not places:
@@ -345,16 +368,16 @@ def merge(
                 )
             return Merged(version, 0, 0, 0)
         rewritten = [f for f in snap.folders if not by or _folder_text(f) in places]
-        old = wide
-        if by:
-            # On partition columns only, so it selects folders and no row is tested.
-            old = wide.where(_partition_text(by).isin(sorted(p for p in places if p is not None)))
-        acting = decisions.where(F.col(_ACTION) != _KEEP).select(*keys, "s", _ACTION)
-        both = theirs(old).join(acting, keys, "full_outer")
-        acts = F.col(_ACTION).isNotNull()
-        stays = ~acts & ~holds(delete_unmatched_if)
-        merged = both.where(stays | (acts & (F.col(_ACTION) != _DELETE))).select(
-            F.when(acts, F.struct(*[F.col(f"s.{_quoted(c)}").alias(c) for c in columns])).otherwise(F.col("t")).alias("_row")
+        # A row that is matched and stays must not pass for an unmatched one.
+        tells = F.col(_ACTION) != _KEEP
+        if delete_unmatched_if != "false":
+            tells = tells | F.col(_IN).isNotNull()
+        both = theirs(held(rewritten)).join(decisions.where(tells).select(*keys, "s", _ACTION), keys, "full_outer")
+        from_source = F.coalesce(F.col(_ACTION).isin(_INSERT, _UPDATE), F.lit(False))
+        unmatched = F.col(_ACTION).isNull() & ~holds(delete_unmatched_if)
+        stays = F.col("t").isNotNull() & (unmatched | F.coalesce(F.col(_ACTION) == _KEEP, F.lit(False)))
+        merged = both.where(from_source | stays).select(
+            F.when(from_source, F.struct(*[F.col(f"s.{_quoted(c)}").alias(c) for c in columns])).otherwise(F.col("t")).alias("_row")
         ).select("_row.*")
         gained = counts[_INSERT] - counts[_DELETE] - purged
         version = replace_folders(

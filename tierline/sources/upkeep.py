@@ -85,7 +85,7 @@ def optimize(
         min(len(rewritten), spark.sparkContext.defaultParallelism),
     )
     rows = snapshot_table.read_folders(spark, table, snap, rewritten)
-    order = [*snap.partition_by, *([cluster_by] if cluster_by else [])]
+    order = [*snapshot_table.folder_columns(snap.partition_by).values(), *([cluster_by] if cluster_by else [])]
     packed = rows.repartitionByRange(pieces, *order, F.xxhash64(*rows.columns))
     if order:
         packed = packed.sortWithinPartitions(*order)
