@@ -1,0 +1,111 @@
+"""Batch search against brute force, and the recall of the index."""
+
+from pathlib import Path
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tierline.operators import neighbours, retrieval
+from tierline.sources import snapshot_table
+
+DOCUMENTS = "id STRING, embedding ARRAY<FLOAT>, label INT"
+
+
+def brute(vectors, questions, k):
+    out = []
+    for q, asked in questions:
+        ranked = []
+        for i, v in vectors:
+            if v is None or asked is None or len(v) != len(asked) or not np.isfinite([x if x is not None else np.nan for x in v]).all():
+                continue
+            total = 0.0
+            for a, b in zip(v, asked):
+                total += (float(np.float32(a)) - float(np.float32(b))) ** 2
+            ranked.append((total, i))
+        out += [(q, r + 1, i, d) for r, (d, i) in enumerate(sorted(ranked, key=lambda p: (p[0], p[1] is None, p[1]))[:k])]
+    return sorted(out, key=str)
+
+
+@pytest.fixture(scope="module")
+def vectors():
+    rng = np.random.default_rng(17)
+    out = [(f"d{i:03d}", rng.choice([0.0, 0.25, 0.1, 1.0], 6).tolist()) for i in range(250)]
+    return out + [("null", None), ("hole", [0.1, None, 0.1, 0.1, 0.1, 0.1]), ("nan", [float("nan")] * 6), ("short", [0.1] * 3), ("empty", []), (None, out[7][1])]
+
+
+@pytest.fixture(scope="module")
+def documents(spark, vectors):
+    return spark.createDataFrame([(i, v, 1) for i, v in vectors], DOCUMENTS).repartition(4)
+
+
+def test_batch_equals_brute_force(spark, documents, vectors):
+    questions = [(n, v) for n, (_, v) in enumerate(vectors[:20])] + [(20, None), (21, [0.1] * 3), (22, []), (3, vectors[3][1])]
+    asked = spark.createDataFrame(questions, "question_id LONG, embedding ARRAY<FLOAT>")
+    got = sorted(map(tuple, neighbours.nearest_batch(documents, asked, 5).collect()), key=str)
+    assert got == brute(vectors, questions, 5)
+
+
+def test_blocks_of_questions_and_one_question_alone(spark, documents, vectors, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK", 3)
+    asked = spark.createDataFrame([(n, v) for n, (_, v) in enumerate(vectors[:8])], "question_id LONG, embedding ARRAY<FLOAT>")
+    got = sorted(map(tuple, neighbours.nearest_batch(documents, asked, 4).collect()), key=str)
+    assert got == brute(vectors, [(n, v) for n, (_, v) in enumerate(vectors[:8])], 4)
+    alone = retrieval.nearest(documents.where("label = 1 AND id LIKE 'd%'"), F.array(*[F.lit(float(np.float32(x))) for x in vectors[2][1]]), 4)
+    mine = [(i, d) for q, _, i, d in got if q == 2]
+    assert [(r["id"], r["distance"]) for r in alone.collect()] == mine
+
+
+def test_nothing_to_find_and_nothing_asked(spark, documents):
+    none = spark.createDataFrame([], "question_id LONG, embedding ARRAY<FLOAT>")
+    assert neighbours.nearest_batch(documents, none, 3).count() == 0
+    asked = spark.createDataFrame([(1, [0.0] * 6)], "question_id LONG, embedding ARRAY<FLOAT>")
+    found = neighbours.nearest_batch(documents.limit(0), asked, 3)
+    assert found.columns == ["question_id", "rank", "id", "distance"] and found.count() == 0
+
+
+def test_no_pairs_leave_a_task(spark, documents):
+    """Of every task at most k documents of a question come out, before anything is joined."""
+    block = [(n, [0.1 * n] * 6) for n in range(10)]
+    found = neighbours._nearest(documents, block, 3)
+    per_task = found.groupBy(F.spark_partition_id(), "_question").count().agg(F.max("count")).first()[0]
+    assert per_task <= 3
+
+
+def test_index_recall_and_pruning(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(30, 24))
+    rows = [(f"d{i:04d}", (centres[i % 30] + 0.6 * rng.normal(size=24)).tolist(), i % 3) for i in range(3000)] + [("null", None, 1)]
+    documents = spark.createDataFrame(rows, DOCUMENTS).repartition(4)
+    path = str(tmp_path / "index")
+    assert neighbours.build_index(documents, path, centres=24) == 0
+    assert snapshot_table.rows(spark, neighbours.index_at(path).documents) == 3000
+    asked = documents.where("id LIKE '%7'").selectExpr("id AS question_id", "embedding")
+    exact = neighbours.nearest_batch(documents, asked, 10)
+    found = neighbours.search(spark, path, asked, 10, probes=4)
+    figures = neighbours.recall(found, exact).first()
+    assert figures["neighbours"] == 3000 and figures["recall"] >= 0.9
+    # Every distance is the exact one.
+    both = found.join(exact, ["question_id", "id"], "inner")
+    assert both.where(found["distance"] != exact["distance"]).count() == 0
+    all_lists = neighbours.search(spark, path, asked, 10, probes=24)
+    assert sorted(map(tuple, all_lists.collect())) == sorted(map(tuple, exact.collect()))
+    one = spark.createDataFrame([("q", rows[0][1])], "question_id STRING, embedding ARRAY<FLOAT>")
+    files = neighbours.search(spark, path, one, 3, probes=2).inputFiles()
+    assert len({f.split(f"{neighbours.LIST}=")[1].split("/")[0] for f in files}) == 2
+
+
+def test_index_of_nothing_is_refused(spark, tmp_path):
+    with pytest.raises(ValueError, match="no vector"):
+        neighbours.build_index(spark.createDataFrame([("a", None, 1)], DOCUMENTS), str(tmp_path / "i"))
+
+
+@pytest.mark.skipif(not Path("/root/testdata/sf0.1").exists(), reason="given tables are not here")
+def test_recall_on_the_given_vectors(spark, tmp_path):
+    documents = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").withColumnRenamed("vec_id", "id")
+    path = str(tmp_path / "index")
+    neighbours.build_index(documents, path, centres=16)
+    asked = documents.where("id % 20 = 0").select(F.col("id").alias("question_id"), "embedding")
+    exact = neighbours.nearest_batch(documents, asked, 10)
+    figures = neighbours.recall(neighbours.search(spark, path, asked, 10, probes=11), exact).first()
+    assert figures["recall"] >= 0.9, figures

@@ -22,8 +22,11 @@ WRITES_DAYS = {
     "jobs_rejects",
     "jobs_incremental_silver",
     "jobs_declarative_daily",
+    "ingest_counts",
+    "replaced_batch_silver",
+    "gold_after_deliveries",
 }
-ROWS_ONLY = {"train_forecaster_metrics", "text_embed_search", "text_ask"}
+ROWS_ONLY = {"train_forecaster_metrics", "knn_index"}
 
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="given tables are not here")
 

@@ -6,6 +6,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tierline.functions.text import customer_sentence, grounded_answer
@@ -114,27 +115,37 @@ def nearest(documents: DataFrame, query: Column, k: int = TOP_K) -> DataFrame:
     )
 
 
-def retrieve(spark: SparkSession, path: str, question: str, k: int = TOP_K) -> DataFrame:
-    """Hits for a question: id, text, metadata, distance, nearest first.
+def retrieve_all(spark: SparkSession, path: str, questions: DataFrame, k: int = TOP_K) -> DataFrame:
+    """Hits for a table of questions (question_id, question): question_id, rank, id, text, metadata, distance.
 
     Distances are exact: 2 - 2 x cosine over all words, weighted by rarity. Only documents that share a word of some
-    weight with the question are scored; all others are at distance 2 and follow by id.
+    weight with the question are hits, so a question about nothing in the index has none. Equal distances go by id. The
+    words of the questions are looked up in the index; a task keeps ``k`` documents of a question before the shuffle.
     """
     documents = snapshot_table.read(spark, f"{path}/{_TABLE}")
     counts = snapshot_table.read(spark, f"{path}/{_COUNTS}")
     weights = snapshot_table.read(spark, f"{path}/{_WORDS}")
     total = documents.agg(F.count("*").alias("total")).scalar()
-    asked = words_of(spark.createDataFrame([(question,)], "text STRING")).join(counts, "word", "left")
+    said = words_of(questions.select("question_id", F.col("question").alias("text")), "question_id")
+    asked = said.join(counts, "word", "left")
     # A word of no document counts in the length of the question.
-    asked = asked.select("word", (F.col("n") * _rarity(total, F.coalesce("documents", F.lit(0)))).alias("asked")).where("asked > 0")
-    length = asked.agg(F.sqrt(_sum(F.collect_list(F.col("asked") * F.col("asked")))).alias("length")).scalar()
-    scored = weights.join(asked, "word").groupBy("id").agg(_sum(F.collect_list(F.col("weight") * F.col("asked"))).alias("dot"))
-    scored = scored.select("id", (2.0 - 2.0 * F.col("dot") / length).alias("distance")).orderBy("distance", "id").limit(k)
-    columns = [*documents.columns, "distance"]
-    hits = documents.join(scored, "id").select(*columns)
-    # If more than k share a word, some of them are among these too, but behind the k.
-    others = documents.join(scored, "id", "left_anti").withColumn("distance", F.lit(2.0)).orderBy("distance", "id").limit(k)
-    return hits.union(others.select(*columns)).orderBy("distance", "id").limit(k)
+    asked = asked.select("question_id", "word", (F.col("n") * _rarity(total, F.coalesce("documents", F.lit(0)))).alias("asked")).where("asked > 0")
+    lengths = asked.groupBy("question_id").agg(F.sqrt(_sum(F.collect_list(F.col("asked") * F.col("asked")))).alias("length"))
+    dots = weights.join(asked, "word").groupBy("question_id", "id").agg(_sum(F.collect_list(F.col("weight") * F.col("asked"))).alias("dot"))
+    scored = dots.join(lengths, "question_id").select("question_id", "id", (2.0 - 2.0 * F.col("dot") / F.col("length")).alias("distance"))
+    best = W.partitionBy("question_id").orderBy("distance", "id")
+    ranked = scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    return documents.join(ranked, "id").select("question_id", "rank", *documents.columns, "distance")
+
+
+def _one(spark: SparkSession, question: str) -> DataFrame:
+    return spark.createDataFrame([(0, question)], "question_id INT, question STRING")
+
+
+def retrieve(spark: SparkSession, path: str, question: str, k: int = TOP_K) -> DataFrame:
+    """Hits for one question: id, text, metadata, distance, nearest first; see ``retrieve_all``."""
+    hits = retrieve_all(spark, path, _one(spark, question), k)
+    return hits.drop("question_id", "rank").orderBy("distance", "id").limit(k)
 
 
 def compose_answer(question: str, hits: DataFrame) -> DataFrame:
@@ -146,5 +157,16 @@ def compose_answer(question: str, hits: DataFrame) -> DataFrame:
     )
 
 
+def ask_all(spark: SparkSession, path: str, questions: DataFrame, k: int = TOP_K) -> DataFrame:
+    """(question_id, question, answer) for every question; one that nothing matches is told so."""
+    hits = retrieve_all(spark, path, questions, k)
+    ranked = F.array_sort(F.collect_list(F.struct("distance", "id", "text", "metadata")))
+    per_question = hits.groupBy("question_id").agg(ranked.alias("hits"))
+    found = F.coalesce("hits", F.array().cast(per_question.schema["hits"].dataType))
+    return questions.join(per_question, "question_id", "left").select(
+        "question_id", "question", grounded_answer(F.col("question"), found).alias("answer")
+    )
+
+
 def ask(spark: SparkSession, path: str, question: str = DEFAULT_QUESTION, k: int = TOP_K) -> DataFrame:
-    return compose_answer(question, retrieve(spark, path, question, k))
+    return ask_all(spark, path, _one(spark, question), k).drop("question_id")

@@ -21,6 +21,7 @@ from tierline.operators import (
     features,
     forecast,
     marts,
+    neighbours,
     retrieval,
 )
 from tierline.operators.expectations import SILVER_RULES, Expectation
@@ -36,6 +37,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
+# What the customer index is asked.
+QUESTIONS = (
+    "Which customer was first seen in 1995 and last seen in 2001?",
+    "Did customer C-0000007 order in August, on the 17?",
+)
+
 # The given tables spread few rows over 2,500 days, so Silver is divided by month.
 MONTHLY = f"month({SILVER_PARTITION})"
 
@@ -624,13 +631,32 @@ def _customer_index(spark, sf_dir) -> str:
 
 @_query
 def text_embed_search(spark, sf_dir):
-    """Index of all customers, asked a question; hits in order."""
+    """Index of all customers, asked a question; its hits."""
     path = _customer_index(spark, sf_dir)
-    question = "Which customer was first seen in 1995 and last seen in 2001?"
-    return retrieval.retrieve(spark, path, question).select("id", "text", "distance")
+    hits = retrieval.retrieve(spark, path, QUESTIONS[0])
+    return hits.select("id", "text", F.round("distance", 9).alias("distance"))
 
 
 @_query
 def text_ask(spark, sf_dir):
-    """Index of all customers and the answer to the default question."""
-    return retrieval.ask(spark, _customer_index(spark, sf_dir))
+    """Index of all customers and the answers to three questions, of which the default one matches nobody."""
+    questions = spark.createDataFrame(list(enumerate([*QUESTIONS, retrieval.DEFAULT_QUESTION])), "question_id INT, question STRING")
+    return retrieval.ask_all(spark, _customer_index(spark, sf_dir), questions)
+
+
+@_query
+def knn_batch(spark, sf_dir):
+    """The three vectors nearest to each of the first fifty, exactly, all questions at once."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").withColumnRenamed("vec_id", "id")
+    questions = vectors.where("id < 50").select(F.col("id").alias("question_id"), "embedding")
+    return neighbours.nearest_batch(vectors, questions, 3)
+
+
+@_query
+def knn_index(spark, sf_dir):
+    """What an index of sixteen lists finds of the ten nearest of every twentieth vector, probing eleven."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").withColumnRenamed("vec_id", "id")
+    path = scratch_dir(spark, "vector-index")
+    neighbours.build_index(vectors, path, centres=16)
+    questions = vectors.where("id % 20 = 0").select(F.col("id").alias("question_id"), "embedding")
+    return neighbours.search(spark, path, questions, 10, probes=11)

@@ -113,6 +113,30 @@ _SENTENCE = """printf('Customer %s has placed %d orders totaling %.2f in revenue
    customer_id, orders, lifetime_revenue,
    strftime(first_seen, '%Y-%m-%d %H:%M:%S'), strftime(last_seen, '%Y-%m-%d %H:%M:%S'))"""
 
+_TOTAL = "list_reduce(list_sort(list({})), lambda a, b: a + b)"
+_HITS = f""", documents AS (SELECT customer_id AS id, {_SENTENCE} AS text, orders, lifetime_revenue FROM ltv),
+questions(question_id, question) AS (VALUES
+  (0, 'Which customer was first seen in 1995 and last seen in 2001?'),
+  (1, 'Did customer C-0000007 order in August, on the 17?'), (2, 'Who is our most valuable customer?')),
+found AS (SELECT id, word, count(*) AS n FROM (
+  SELECT id, unnest(regexp_extract_all(lower(text), '[a-z0-9_]+')) AS word FROM documents) w GROUP BY id, word),
+said AS (SELECT question_id, word, count(*) AS n FROM (
+  SELECT question_id, unnest(regexp_extract_all(lower(question), '[a-z0-9_]+')) AS word FROM questions) w GROUP BY question_id, word),
+counts AS (SELECT word, count(*) AS documents FROM found GROUP BY word),
+n AS (SELECT count(*) AS total FROM documents),
+raw AS (SELECT * FROM (
+  SELECT id, word, n * ln((total + 1)::DOUBLE / (documents + 1)) AS raw FROM found JOIN counts USING (word), n) r WHERE raw > 0),
+asked AS (SELECT * FROM (
+  SELECT question_id, word, said.n * ln((total + 1)::DOUBLE / (coalesce(documents, 0) + 1)) AS asked
+  FROM said LEFT JOIN counts USING (word), n) a WHERE asked > 0),
+norms AS (SELECT id, sqrt({_TOTAL.format("raw * raw")}) AS norm FROM raw GROUP BY id),
+lengths AS (SELECT question_id, sqrt({_TOTAL.format("asked * asked")}) AS length FROM asked GROUP BY question_id),
+dots AS (SELECT question_id, id, {_TOTAL.format("(raw / norm) * asked")} AS dot
+  FROM asked JOIN raw USING (word) JOIN norms USING (id) GROUP BY question_id, id),
+hits AS (SELECT question_id, id, text, orders, lifetime_revenue, 2.0::DOUBLE - 2.0::DOUBLE * dot / length AS distance,
+   row_number() OVER (PARTITION BY question_id ORDER BY 2.0::DOUBLE - 2.0::DOUBLE * dot / length, id) AS rank
+  FROM dots JOIN lengths USING (question_id) JOIN documents USING (id) QUALIFY rank <= 3)"""
+
 
 def _with(*parts: str) -> str:
     return "WITH " + _FEED + "".join(parts)
@@ -277,6 +301,23 @@ SQL: dict[str, str] = {
  SELECT 'daily_revenue_forecaster' AS name, cast(v AS bigint) AS model_version,
    CASE WHEN v = 2 THEN 'champion' END AS alias, forecast AS run_id
  FROM best, (VALUES (1), (2)) t(v)""",
+    "text_embed_search": _with(_SILVER, _LTV, _HITS) + " SELECT id, text, round(distance, 9) AS distance FROM hits WHERE question_id = 0",
+    "text_ask": _with(_SILVER, _LTV, _HITS)
+    + """, lines AS (
+  SELECT question_id, string_agg(printf('  - %s  (distance=%.3f)', text, distance), chr(10) ORDER BY rank) AS context
+  FROM hits GROUP BY question_id)
+ SELECT q.question_id, q.question, coalesce('Question: ' || q.question || chr(10) || chr(10) || 'Grounding context:'
+   || chr(10) || context || chr(10) || chr(10)
+   || printf('Answer (grounded): customer %s is the closest match with %d orders and %.2f lifetime revenue.',
+     h.id, h.orders, h.lifetime_revenue), 'I couldn''t find any matching customers in Gold.') AS answer
+ FROM questions q LEFT JOIN lines USING (question_id) LEFT JOIN hits h ON h.question_id = q.question_id AND h.rank = 1""",
+    "knn_batch": """WITH p AS (
+  SELECT q.vec_id AS question_id, d.vec_id AS id, list_reduce(list_transform(list_zip(d.embedding, q.embedding),
+     lambda p: (cast(p[1] AS double) - cast(p[2] AS double))
+       * (cast(p[1] AS double) - cast(p[2] AS double))), lambda a, b: a + b) AS distance
+  FROM embeddings d JOIN embeddings q ON q.vec_id < 50)
+ SELECT question_id, cast(row_number() OVER w AS int) AS rank, id, distance FROM p
+ WINDOW w AS (PARTITION BY question_id ORDER BY distance, id) QUALIFY row_number() OVER w <= 3""",
     "knn_exact": """WITH q AS (SELECT embedding AS qv FROM embeddings WHERE vec_id = 0)
  SELECT vec_id AS id, label,
    list_reduce(list_transform(list_zip(embedding, qv),
