@@ -2,9 +2,11 @@
 
 import hashlib
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tierline.llm import (
     common,
@@ -262,3 +264,60 @@ def test_url_rules(spark):
     got = {r["url"]: (r["rule"], r["verdict"]) for r in url_rules.judged(frame).collect()}
     assert got == urls
     assert url_rules.judged(frame.limit(0)).count() == 0
+
+
+def test_quality_of_one_text_in_all_rows(spark):
+    same = spark.range(20000).select(F.col("id").alias("doc_id"), F.lit(A).alias("text"))
+    rows = quality.judged(same).groupBy("kept", "score").count().collect()
+    assert len(rows) == 1 and rows[0]["count"] == 20000
+    assert quality.keep_good(same).count() in (0, 20000)
+
+
+@pytest.mark.skipif(not Path("/root/testdata/sf0.1").exists(), reason="given tables are not here")
+def test_quality_with_one_text_in_a_third_of_the_rows(spark):
+    """The text that comes first by its hash, so that it is in every sample: verdicts stay as good as without it."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    first = spark.range(4000).select(F.concat(F.lit("plain words number "), "id", F.lit(" of a text that many rows hold")).alias("text"))
+    text = first.orderBy(F.xxhash64("text")).first()["text"]
+    crowd = spark.range(5000).select((F.lit(-1) - F.col("id")).alias("doc_id"), F.lit(text).alias("text"))
+    judged = quality.judged(docs.unionByName(crowd)).join(labels, "doc_id")
+    got = {(r["quality"], r["kept"]): r["count"] for r in judged.groupBy("quality", "kept").count().collect()}
+    assert got.get((1, True), 0) >= 0.98 * (got.get((1, True), 0) + got.get((1, False), 0))
+    assert got.get((0, False), 0) >= 0.95 * (got.get((0, True), 0) + got.get((0, False), 0))
+
+
+@pytest.mark.parametrize("operator", [quality.keep_good, mixing.mix, exact_dedup.drop_copies, near_dedup.drop_near])
+def test_columns_with_a_dot(spark, operator):
+    frame = spark.createDataFrame([(1, A, "s", 5), (2, B, "s", 6), (3, C, "t", 7)], "doc_id LONG, text STRING, source STRING, `a.b` INT")
+    kept = operator(frame)
+    assert kept.columns == frame.columns and kept.count() >= 1
+    assert {(r["doc_id"], r["a.b"]) for r in kept.collect()} <= {(1, 5), (2, 6), (3, 7)}
+
+
+def test_masks_are_views_of_bytes(docs):
+    one = token_files.write_tokens(docs, P.path("byte_bpe_50k.json"), length=16, rows=4).first()
+    sequences = token_files.Sequences(one["folder"], one["file"])
+    ids, mask = sequences[0]
+    assert mask.dtype == np.uint8 and not mask.flags.owndata and not ids.flags.owndata
+    assert sorted({int(m) for i in range(len(sequences)) for m in sequences[i][1]}) in ([1], [0, 1])
+
+
+def test_white_space_around_cuts_changes_no_id():
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    encoder = token_files.PieceEncoder(P.path("byte_bpe_50k.json"))
+    texts = [" ", "  ", " a", "a ", "a  b", "\n b", "a \n  b \t c\u00a0 d", "x\x1c y \x1c z", "it's  we'll \u3000 \u4f60\u597d  1 2", "", "a\r\n \r\n b"]
+    flat, counts = encoder.ids(texts + texts)
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts + texts]
+    assert counts.tolist() == [len(w) for w in want] and flat.tolist() == [i for w in want for i in w]
+
+
+def test_workers_let_go_of_what_another_operator_kept():
+    common._hashes["word"]
+    quality._slots["word"]
+    common.begin(quality.__name__)
+    assert not common._hashes and "word" in quality._slots
+    common.begin(near_dedup.__name__)
+    assert not quality._slots

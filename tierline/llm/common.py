@@ -169,9 +169,34 @@ def shingles(flat: np.ndarray, counts: np.ndarray, size: int = SHINGLE) -> tuple
     return h, per_text
 
 
+#: How to let go of what a worker keeps between the tasks of an operator, by the module that keeps it.
+_KEPT: dict[str, Callable[[], None]] = {__name__: _hashes.clear}
+_at_work = ""
+
+
+def kept_by(module: str, let_go: Callable[[], None]) -> None:
+    _KEPT[module] = let_go
+
+
+def begin(module: str) -> None:
+    """A worker serves one operator after another; what it kept for the one before goes."""
+    global _at_work
+    if module != _at_work:
+        for other, let_go in _KEPT.items():
+            if other != module:
+                let_go()
+        _at_work = module
+
+
 def arrow_map(df: DataFrame, fn: Callable, schema: str | T.StructType) -> DataFrame:
     ship(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+    module = fn.__module__
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin(module)
+        return fn(batches)
+
+    return df.mapInArrow(run, schema)
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierline.llm.common import arrow_map, slices, texts_of
+from tierline.llm.common import arrow_map, kept_by, slices, texts_of
 from tierline.llm.pool import PiecePool, starts_of
 
 MARK = "▁"
@@ -246,6 +246,9 @@ def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
+kept_by(__name__, pieces.cache_clear)
+
+
 def encoded(df: DataFrame, model: str, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each row of ``df``: id, ids (the pieces of the whole text), n_ids, ids_crc32, decoded_ok.
 

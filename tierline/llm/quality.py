@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
@@ -21,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierline.llm.common import arrow_map, slices, texts_of
+from tierline.llm.common import arrow_map, kept_by, slices, texts_of
 
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 #: Hashed features, and the most documents the scorer is trained on (chosen by a hash of their text).
@@ -66,6 +65,7 @@ class _Slots(dict):
 
 
 _slots = _Slots()
+kept_by(__name__, _slots.clear)
 
 
 def features(batch: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
@@ -138,7 +138,7 @@ def fit_scorer(rows: list[tuple[np.ndarray, np.ndarray]], good: np.ndarray, ridg
     for i, (slots, values) in enumerate(rows):
         x[i, slots] = values
     w = ahead = np.zeros(FEATURES, np.float64)
-    rate = 4.0 / (float((x**2).sum(axis=1).max()) + ridge)
+    rate = 4.0 / (float((x**2).sum(axis=1).max(initial=0)) + ridge)
     for k in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ ahead, -30, 30)))
         new = ahead - rate * (x.T @ (p - good) / max(len(rows), 1) + ridge * ahead)
@@ -147,26 +147,35 @@ def fit_scorer(rows: list[tuple[np.ndarray, np.ndarray]], good: np.ndarray, ridg
     return w
 
 
+def _hashed(df: DataFrame, text: str) -> DataFrame:
+    whole = F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")
+    return df.select(whole).withColumn("h", F.xxhash64("text"))
+
+
 def voted(df: DataFrame, text: str) -> DataFrame:
-    """(pattern, n): how many documents have each pattern of votes. Two texts of a kind count twice."""
+    """(pattern, n): how many different texts have each pattern of votes.
+
+    Copies count once, or a text with a third of all rows would tell the labellers' worth. Each task sends a text's
+    hash and pattern once.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: Counter = Counter()
         for batch in batches:
             texts = texts_of(batch, "text")
+            names = []
             for s in slices(texts):
-                found.update(votes(t, TOKEN.findall(t)) for t in texts[s])
-        names = ["".join("-0+"[v + 1] for v in p) for p in found]
-        yield pa.record_batch([pa.array(names, pa.string()), pa.array(list(found.values()), pa.int64())], names=["pattern", "n"])
+                names += ["".join("-0+"[v + 1] for v in votes(t, TOKEN.findall(t))) for t in texts[s]]
+            yield pa.record_batch([batch.column("h"), pa.array(names, pa.string())], names=["h", "pattern"])
 
-    counted = arrow_map(df.select(F.col(text).alias("text")), run, "pattern string, n long")
-    return counted.groupBy("pattern").agg(F.sum("n").alias("n"))
+    different = arrow_map(_hashed(df, text), run, "h long, pattern string").distinct()
+    return different.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
 
 
 def train(df: DataFrame, text: str = "text", sample: int = SAMPLE) -> np.ndarray | None:
     """The scorer's weights; None for an empty table.
 
-    To the driver come the counts of at most 3 ** 7 patterns, and the features of ``sample`` documents.
+    To the driver come the counts of at most 3 ** 7 patterns, and the features of ``sample`` different texts, those
+    with the smallest hashes. With fewer texts than that, all are taken.
     """
     known = sorted((r["pattern"], r["n"]) for r in voted(df, text).collect())
     if not known:
@@ -175,10 +184,11 @@ def train(df: DataFrame, text: str = "text", sample: int = SAMPLE) -> np.ndarray
     patterns = np.array([[signs[c] for c in p] for p, _ in known])
     counts = np.array([n for _, n in known], float)
     model = fit_votes(patterns, counts)
-    chosen = df.select(F.col(text).alias("text")).withColumn("h", F.xxhash64("text"))
-    # Of hashes of all rows, the smallest: about twice as many as wanted pass, then the first are kept.
-    share = min(1.0, 2.0 * sample / counts.sum())
-    few = chosen.where(F.col("h") <= F.lit(min(int(share * 2**64) - 2**63, 2**63 - 1))).orderBy("h").limit(sample)
+    # Hashes are even, so about twice as many texts as wanted pass, and never fewer but by a chance of 1e-20; then
+    # the first are kept. Of copies one is drawn; each task sends one.
+    share = min(1.0, (2.0 * sample + 200) / counts.sum())
+    passing = _hashed(df, text).where(F.col("h") <= F.lit(min(int(share * 2**64) - 2**63, 2**63 - 1)))
+    few = passing.groupBy("h").agg(F.min("text").alias("text")).orderBy("h").limit(sample)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -220,9 +230,10 @@ def judged(df: DataFrame, id_column: str = "doc_id", text: str = "text") -> Data
     """One row for each row of ``df``: id, score (chance to be good) and kept (score of at least 0.5).
 
     A null text is empty, and an empty text is bad by all votes. Equal texts have equal scores. Ids may be
-    null or repeat. An empty table gives no rows.
+    null or repeat. Copies of a text do not sway the scorer: it learns from different texts. A very long text takes
+    part whole, alone in its step. An empty table gives no rows.
     """
-    rows = df.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
+    rows = df.select(df[f"`{id_column}`"].alias("id"), df[f"`{text}`"].alias("text"))
     weights = train(rows)
     if weights is None:
         weights = np.zeros(FEATURES)
@@ -232,8 +243,8 @@ def judged(df: DataFrame, id_column: str = "doc_id", text: str = "text") -> Data
 
 def keep_good(df: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``df`` that the scorer keeps, with all their columns."""
-    weights = train(df.select(text), text)
+    weights = train(df.select(df[f"`{text}`"]), text)
     if weights is None:
         return df
-    held = df.select(F.struct("*").alias("_doc"), F.col(text).alias("text"))
-    return scored(held, weights, "text").where(F.col("_good") >= CUT).select("_doc.*").select(*df.columns)
+    held = df.select(F.struct("*").alias("_doc"), df[f"`{text}`"].alias("text"))
+    return scored(held, weights, "text").where(F.col("_good") >= CUT).select("_doc.*")
