@@ -8,11 +8,12 @@ Arrow stream (doc_id, start, n_tokens) that says where in the file's ids each do
 
 from __future__ import annotations
 
+import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
 from functools import cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,23 +22,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tierline.llm.common import arrow_map, by_ranges, shuffle_width, slices, stored, texts_of
+from tierline.llm.common import arrow_map, by_ranges, kept_by, shuffle_width, slices, stored, texts_of
 from tierline.llm.pool import PiecePool, starts_of
 from tierline.sources.scratch import scratch_dir
 
 LENGTH = 2048
 ROWS = 64
 END_ID = 0
+#: A space that no text follows at once.
+_LOOSE = re.compile(r" (?:\s|\Z)")
+#: Pieces the library is given at once.
+CALL = 8192
 
 
 class PieceEncoder(PiecePool):
     """Encodes texts with a byte-level BPE of the tokenizers library.
 
     A space that a non-space follows always begins a pre-token, so a text may be cut there and
-    its pieces encoded apart. Texts where white space follows a space go to the library whole.
+    its pieces encoded apart. The library takes new pieces in one call, as words that are cut already, and
+    in this thread: Spark runs as many tasks as there are cores.
     """
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -45,14 +52,24 @@ class PieceEncoder(PiecePool):
 
     def split(self, text: str) -> list[str]:
         first, *rest = text.split(" ")
-        if any(not r or r[0].isspace() for r in rest):
-            return [text]
-        return ([first] if first else []) + [" " + r for r in rest]
+        pieces = [first] if first else []
+        if not _LOOSE.search(text):
+            return pieces + [" " + r for r in rest]
+        for r in rest:
+            if pieces and (not r or r[0].isspace()):
+                pieces[-1] += " " + r
+            else:
+                pieces.append(" " + r)
+        return pieces
 
     def ids_of_new(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        got = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, got), np.int64, len(got))
-        return np.fromiter(chain.from_iterable(got), self.dtype, int(lengths.sum())), lengths
+        ids, lengths = [np.zeros(0, self.dtype)], [np.zeros(0, np.int64)]
+        for i in range(0, len(pieces), CALL):
+            some = pieces[i : i + CALL]
+            got = self.tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
+            ids.append(np.array(got.ids, self.dtype))
+            lengths.append(np.bincount(np.array(got.word_ids, np.int64), minlength=len(some)))
+        return np.concatenate(ids), np.concatenate(lengths)
 
 
 @cache
@@ -60,6 +77,9 @@ def encoder(path: str) -> PieceEncoder:
     return PieceEncoder(path)
 
 
+kept_by(__name__, encoder.cache_clear)
+
+
 class Shard:
     """Writes one file and its list of documents."""
 
@@ -68,7 +88,7 @@ class Shard:
         self.fs.create_dir(path, recursive=True)
         self.path, self.name, self.length, self.rows, self.dtype = f"{path}/{name}", name, length, rows, dtype
         self.schema = pa.schema(
-            {"ids": pa.list_(pa.from_numpy_dtype(dtype), length), "mask": pa.list_(pa.bool_(), length)}
+            {"ids": pa.list_(pa.from_numpy_dtype(dtype), length), "mask": pa.list_(pa.uint8(), length)}
         )
         self.sink = self.fs.open_output_stream(self.path)
         self.out = pa.ipc.new_stream(self.sink, self.schema)
@@ -79,7 +99,7 @@ class Shard:
         self.tokens = self.n_docs = 0
 
     def _batch(self, ids: np.ndarray, real: int) -> None:
-        mask = np.arange(len(ids)) < real
+        mask = (np.arange(len(ids)) < real).astype(np.uint8)
         self.out.write_batch(
             pa.record_batch(
                 [pa.FixedSizeListArray.from_arrays(pa.array(x), self.length) for x in (ids, mask)], schema=self.schema
@@ -120,7 +140,10 @@ def open_stream(folder: str, name: str) -> tuple[pa.ipc.RecordBatchStreamReader,
 
 
 class Sequences:
-    """Random access to the sequences of a file: ``s[i]`` is (ids, mask) of sequence i, ids without a copy."""
+    """Random access to the sequences of a file: ``s[i]`` is (ids, mask) of sequence i, without a copy.
+
+    A mask has a byte for each id: 1 for an id of a document, 0 for filling.
+    """
 
     def __init__(self, folder: str, name: str):
         reader, self._source = open_stream(folder, name)
@@ -137,7 +160,7 @@ class Sequences:
         batch, at = self.batches[i // self.rows], i % self.rows
         return (
             batch.column("ids")[at].values.to_numpy(zero_copy_only=True),
-            batch.column("mask")[at].values.to_numpy(zero_copy_only=False),
+            batch.column("mask")[at].values.to_numpy(zero_copy_only=True),
         )
 
 
@@ -206,7 +229,7 @@ def read_documents(files: DataFrame) -> DataFrame:
                 nonlocal pending, have
                 while have < n:
                     b = ids.read_next_batch()
-                    real = b.column("mask").values.true_count
+                    real = int(np.count_nonzero(b.column("mask").values.to_numpy()))
                     pending.append(b.column("ids").values.to_numpy(zero_copy_only=True)[:real])
                     have += real
                 crc = 0
