@@ -8,8 +8,6 @@ only costs a needless hash: the full hash decides.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -97,7 +95,6 @@ def drop_copies(df: DataFrame, id_column: str = "doc_id", text: str = "text") ->
     their full hash with another row lose their text to a comparison of ranks.
     """
     bits = checkpointed(survivors(df.select(text), text))
-    columns: Sequence[str] = df.columns
     held = df.select(F.struct("*").alias("_doc"), F.col(id_column).alias("_id"), F.col(text).alias("_text"))
     marked = _marked(held, bits, "_text")
     free = marked.where(~F.col("_alive")).select("_doc.*")
@@ -110,4 +107,4 @@ def drop_copies(df: DataFrame, id_column: str = "doc_id", text: str = "text") ->
     first = bound.join(best, "_sha").where("_order = _best")
     # Rows alike in every column are left; any one of them is the same row.
     once = first.groupBy("_sha").agg(F.any_value("_doc").alias("_doc"))
-    return free.union(once.select("_doc.*")).select(*columns)
+    return free.union(once.select("_doc.*"))

@@ -152,4 +152,4 @@ def mix(df: DataFrame, id_column: str = "doc_id", text: str = "text", source: st
     keyed = _keyed(held, "doc", "text", "source")
     small = checkpointed(keyed.select("_source", "_id", "_size", "_key", "_bucket"))
     taken = _times(keyed.select("_doc", "_source", "_id", "_size", "_key", "_bucket"), plan(small)).where("_times > 0")
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select("_doc.*").select(*df.columns)
+    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select("_doc.*")

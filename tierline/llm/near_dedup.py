@@ -283,4 +283,4 @@ def drop_near(df: DataFrame, id_column: str = "doc_id", text: str = "text", at_l
     bound = told.where("hit").join(stay, "mark", "left_semi")
     # Rows of one mark are copies of one another; one of them stays.
     once = bound.dropDuplicates(["mark"])
-    return told.where("not hit").select("_doc.*").union(once.select("_doc.*")).select(*df.columns)
+    return told.where("not hit").select("_doc.*").union(once.select("_doc.*"))
