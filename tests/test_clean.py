@@ -3,7 +3,7 @@ import math
 from contextlib import redirect_stdout
 from datetime import date, datetime
 
-from conftest import ids
+from conftest import CLEAN, REFUSED, ids
 from pyspark.sql import functions as F
 
 from tierline.operators import clean
@@ -11,60 +11,59 @@ from tierline.schemas import RAW_TRANSACTIONS, SILVER_COLUMNS
 
 
 def test_country_is_normalised(raw):
-    assert ids(clean.typed(raw), "country") == {"us"}
+    assert ids(clean.typed(raw), "country") == {"ch", "at"}
 
 
 def test_split_is_exact(raw):
     rows = clean.typed(raw)
     good, bad = clean.clean_rows(rows), clean.rejected_rows(rows)
-    assert ids(good) == {"T-1", "T-2"}
-    assert ids(bad) == {"T-3", "T-4", "T-5"}
+    assert ids(good) == CLEAN and ids(bad) == REFUSED
     assert good.count() + bad.count() == raw.count()
 
 
 def test_reject_reasons_and_raw_strings(spark):
     rows = [
-        ("T-1", None, "P", "x", "-1", "USD", "not-a-date", "us"),
-        (None, "C", "P", "1", "1", "USD", "2025-01-01", "us"),
+        ("Q-1", None, "JAR-8", "x", "-1", "CHF", "yesterday", "ch"),
+        (None, "CU-5", "JAR-8", "4", "2", "CHF", "2031-07-09", "ch"),
     ]
     # The reader drops the NOT NULL of the contract, so NULL keys do arrive.
     df = spark.createDataFrame(rows, ", ".join(f"{c} STRING" for c in RAW_TRANSACTIONS.fieldNames()))
     got = {r["transaction_id"]: r for r in clean.silver_rejects(df, "bronze/t").collect()}
-    assert got["T-1"]["_reason"] == [
+    assert got["Q-1"]["_reason"] == [
         "event_ts unreadable",
         "quantity not positive",
         "unit_price not valid",
         "customer_id missing",
     ]
-    assert got["T-1"]["_raw"]["event_ts"] == "not-a-date"
-    assert got["T-1"]["_raw"]["quantity"] == "x"
-    assert got["T-1"]["_bronze_source"] == "bronze/t"
+    assert got["Q-1"]["_raw"]["event_ts"] == "yesterday"
+    assert got["Q-1"]["_raw"]["quantity"] == "x"
+    assert got["Q-1"]["_bronze_source"] == "bronze/t"
     assert got[None]["_reason"] == ["transaction_id missing"]
     assert got[None]["_rejected_at"] is not None
 
 
 def test_nan_and_infinite_prices(spark):
-    rows = [(f"T-{p}", "C", "P", "1", p, "USD", "2025-01-01", "us") for p in ("NaN", "1e400", "-0.01", "0", "1.5")]
+    rows = [(f"Q-{p}", "CU-5", "JAR-8", "4", p, "CHF", "2031-07-09", "ch") for p in ("NaN", "1e400", "-0.01", "0", "1.5")]
     df = clean.typed(spark.createDataFrame(rows, RAW_TRANSACTIONS))
-    assert ids(clean.clean_rows(df)) == {"T-0", "T-1.5"}
+    assert ids(clean.clean_rows(df)) == {"Q-0", "Q-1.5"}
     lenient = clean.clean_rows(df, finite_price=False)
-    assert ids(lenient) == {"T-0", "T-1.5", "T-NaN", "T-1e400"}
+    assert ids(lenient) == {"Q-0", "Q-1.5", "Q-NaN", "Q-1e400"}
     assert clean.rejected_rows(df, finite_price=False).count() == 1
     assert any(math.isnan(r["unit_price"]) for r in lenient.collect())
 
 
 def test_silver_row(raw):
     got = {r["transaction_id"]: r for r in clean.silver(raw).collect()}
-    assert set(got) == {"T-1", "T-2"}
-    assert got["T-1"]["revenue"] == 20.0 and got["T-2"]["revenue"] == 5.0
-    assert got["T-1"]["event_date"] == date(2025, 1, 1)
-    assert got["T-1"]["event_ts"] == datetime(2025, 1, 1, 10)
+    assert set(got) == CLEAN
+    assert {k: round(r["revenue"], 9) for k, r in got.items()} == {"ORD-901": 25.2, "ORD-902": 34.5, "ORD-903": 16.0}
+    assert got["ORD-902"]["event_date"] == date(2031, 3, 15) and got["ORD-902"]["currency"] == "EUR"
+    assert got["ORD-902"]["event_ts"] == datetime(2031, 3, 15, 18, 20)
     assert clean.silver(raw).columns == SILVER_COLUMNS
 
 
 def test_latest_copy_wins_whatever_the_partitioning(spark):
     rows = [
-        ("T-1", f"C-{i % 5}", f"P-{i % 7}", str(1 + i % 3), "1.00", "USD", f"2025-01-0{1 + i % 4} 00:00:00", "us")
+        ("Q-1", f"CU-{i % 5}", f"JAR-{i % 7}", str(1 + i % 3), "2.40", "CHF", f"2031-07-0{1 + i % 4} 06:00:00", "ch")
         for i in range(60)
     ]
     best = max(r[6] for r in rows)
@@ -78,8 +77,8 @@ def test_latest_copy_wins_whatever_the_partitioning(spark):
 
 def test_gate_order_differs_between_the_two_silver_paths(spark):
     rows = [
-        ("T-1", "C-1", "P", "2", "1.00", "USD", "2025-01-01 00:00:00", "us"),
-        ("T-1", "C-1", "P", "-1", "1.00", "USD", "2025-01-02 00:00:00", "us"),
+        ("Q-1", "CU-5", "JAR-8", "2", "2.40", "CHF", "2031-07-01 06:00:00", "ch"),
+        ("Q-1", "CU-5", "JAR-8", "-1", "2.40", "CHF", "2031-07-02 06:00:00", "ch"),
     ]
     df = spark.createDataFrame(rows, RAW_TRANSACTIONS)
     assert [r["quantity"] for r in clean.silver(df).collect()] == [2]

@@ -10,17 +10,18 @@ def test_jobs_in_order(spark, layout, raw_rows, write_raw, monkeypatch):
     def run(*args):
         return command.main(["--root", layout.root, *args])
 
-    assert run("bronze", "--source", path) == 6
-    assert run("silver")["silver"] == 2
+    assert run("bronze", "--source", path) == 9
+    assert run("silver")["silver"] == 3
     run("gold")
     assert spark.table("gold_customer_ltv").count() == 2
     assert run("maintain") == []
     run("stream")
     assert run("silver", "--full") == {
-        "bronze": 12, "silver": 2, "rejects": 6, "daily_revenue": 1, "customer_ltv": 2,
+        "bronze": 18, "silver": 3, "rejects": 10, "daily_revenue": 3, "customer_ltv": 2,
     }
     assert run("index") == 0
-    assert "Answer (grounded): customer C-" in run("ask", "-k", "1")
+    assert "Answer (grounded): customer CU-58 is" in run("ask", "-k", "1", "--question", "What about customer 58?")
+    assert run("ask") == "I couldn't find any matching customers in Gold."
     monkeypatch.setenv("LAKEHOUSE_ROOT", layout.root)
     assert command.main(["declared"])["silver_transactions"] > 0
     with pytest.raises(RuntimeError):

@@ -12,12 +12,12 @@ from tierline.operators.expectations import Expectation
 
 @pytest.fixture
 def frame(spark):
-    return spark.createDataFrame([(1, 5), (2, -1), (3, 10), (4, None)], "id BIGINT, val BIGINT")
+    return spark.createDataFrame([(1, 70), (2, -8), (3, 31), (4, None)], "id BIGINT, val BIGINT")
 
 
 def test_unknown_action_is_refused():
     with pytest.raises(ValueError, match="unknown action"):
-        Expectation("typo", "val > 0", "quarentine")
+        Expectation("typo", "val > 0", "ignore")
 
 
 @pytest.mark.parametrize("action", ["drop", "fail", "quarantine"])

@@ -9,9 +9,10 @@ from tierline.operators import access, audit, dashboard, features, marts
 def silver(spark):
     return spark.createDataFrame(
         [
-            ("T-1", "C-1", datetime(2025, 1, 1, 10), "us", 20.0, 2, date(2025, 1, 1)),
-            ("T-2", "C-2", datetime(2025, 1, 1, 11), "us", 5.0, 1, date(2025, 1, 1)),
-            ("T-3", "C-1", datetime(2025, 1, 2, 12), "gb", 8.0, 1, date(2025, 1, 2)),
+            ("ORD-1", "CU-9", datetime(2031, 6, 3, 6, 30), "ch", 12.5, 5, date(2031, 6, 3)),
+            ("ORD-2", "CU-4", datetime(2031, 6, 3, 21), "ch", 7.25, 1, date(2031, 6, 3)),
+            ("ORD-3", "CU-9", datetime(2031, 6, 3, 22), "ch", 0.5, 1, date(2031, 6, 3)),
+            ("ORD-4", "CU-9", datetime(2031, 6, 8, 14), "li", 90.0, 3, date(2031, 6, 8)),
         ],
         "transaction_id STRING, customer_id STRING, event_ts TIMESTAMP, country STRING, "
         "revenue DOUBLE, quantity INT, event_date DATE",
@@ -21,27 +22,27 @@ def silver(spark):
 def test_daily_revenue(silver):
     got = [tuple(r) for r in marts.by_day(marts.daily_revenue(silver)).collect()]
     assert got == [
-        (date(2025, 1, 1), "us", 25.0, 2, 2),
-        (date(2025, 1, 2), "gb", 8.0, 1, 1),
+        (date(2031, 6, 3), "ch", 20.25, 3, 2),
+        (date(2031, 6, 8), "li", 90.0, 1, 1),
     ]
 
 
 def test_customer_ltv(silver):
     got = [tuple(r) for r in marts.by_value(marts.customer_ltv(silver)).collect()]
     assert got == [
-        ("C-1", 28.0, 2, datetime(2025, 1, 1, 10), datetime(2025, 1, 2, 12)),
-        ("C-2", 5.0, 1, datetime(2025, 1, 1, 11), datetime(2025, 1, 1, 11)),
+        ("CU-9", 103.0, 3, datetime(2031, 6, 3, 6, 30), datetime(2031, 6, 8, 14)),
+        ("CU-4", 7.25, 1, datetime(2031, 6, 3, 21), datetime(2031, 6, 3, 21)),
     ]
 
 
 def test_narrow_mart_sums_by_stored_date(silver):
     got = {tuple(r) for r in marts.daily_narrow(silver).collect()}
-    assert got == {(date(2025, 1, 1), "us", 25.0), (date(2025, 1, 2), "gb", 8.0)}
+    assert got == {(date(2031, 6, 3), "ch", 20.25), (date(2031, 6, 8), "li", 90.0)}
 
 
 def test_audit_and_reconciliation(spark, silver):
     assert audit.audit_silver(silver).first().asDict() == {
-        "rows": 3, "null_keys": 0, "non_positive_quantity": 0, "duplicate_keys": 0,
+        "rows": 4, "null_keys": 0, "non_positive_quantity": 0, "duplicate_keys": 0,
     }
     bad = spark.createDataFrame(
         [("T", 1), ("T", -1), ("T", None), (None, 1)], "transaction_id STRING, quantity INT"
@@ -52,9 +53,9 @@ def test_audit_and_reconciliation(spark, silver):
     assert audit.audit_silver(bad.limit(0)).first()["rows"] == 0
     daily = marts.daily_revenue(silver)
     assert audit.reconcile(daily, silver).first().asDict() == {
-        "gold_revenue": 33.0, "silver_revenue": 33.0, "matches": True,
+        "gold_revenue": 110.25, "silver_revenue": 110.25, "matches": True,
     }
-    assert not audit.reconcile(daily.filter("country = 'us'"), silver).first()["matches"]
+    assert not audit.reconcile(daily.filter("country = 'ch'"), silver).first()["matches"]
 
 
 @pytest.fixture
@@ -82,9 +83,10 @@ def test_pivot(daily):
     for countries in (None, ["gb", "us"]):
         got = dashboard.revenue_by_country(daily, countries)
         assert got.columns == ["event_date", "gb", "us", *(["other"] if countries else [])]
-        assert [tuple(r)[:3] for r in got.collect()] == [
-            (date(2025, 1, 1), 50.0, 100.0),
-            (date(2025, 1, 2), 0.0, 25.0),
+        none = (0.0,) if countries else ()
+        assert [tuple(r) for r in got.collect()] == [
+            (date(2025, 1, 1), 50.0, 100.0, *none),
+            (date(2025, 1, 2), 0.0, 25.0, *none),
         ]
 
 
@@ -100,18 +102,18 @@ def test_top_customers(ltv):
 
 def test_lag_features(spark):
     rows = [
-        (date(2025, 1, 1 + i), c, float((i + 1) * 10 * s), i + 1, i + 1)
-        for c, s in (("us", 1), ("aa", 100))
-        for i in range(10)
+        (date(2031, 9, 4 + 2 * i), c, s * (i * i + 0.5), 2 * i, i)
+        for c, s in (("ch", 1.0), ("at", 1000.0))
+        for i in range(9)
     ]
     df = spark.createDataFrame(
         rows, "event_date DATE, country STRING, gross_revenue DOUBLE, order_count BIGINT, unique_customers BIGINT"
     )
-    got = {r["gross_revenue"]: r for r in features.lag_features(df.repartition(3)).filter("country = 'us'").collect()}
-    assert set(got) == {80.0, 90.0, 100.0}
-    row = got[80.0]
-    assert (row["lag_1"], row["lag_7"], row["rolling_3"]) == (70.0, 10.0, 60.0)
-    assert row["day_of_week"] == 2  # a Wednesday, Monday being 0
+    got = {r["gross_revenue"]: r for r in features.lag_features(df.repartition(3)).filter("country = 'ch'").collect()}
+    assert set(got) == {49.5, 64.5}
+    row = got[64.5]
+    assert (row["lag_1"], row["lag_7"]) == (49.5, 1.5) and row["rolling_3"] == pytest.approx((49.5 + 36.5 + 25.5) / 3)
+    assert row["day_of_week"] == 5  # a Saturday, Monday being 0
 
 
 def test_incomplete_rows_are_dropped(spark):

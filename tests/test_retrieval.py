@@ -30,14 +30,14 @@ def test_sentence(ltv):
 
 def test_answer_names_the_closest_hit(spark):
     hits = spark.createDataFrame(
-        [("C-2", "Customer C-2 ...", ("C-2", 3, 200.0), 0.34), ("C-1", "Customer C-1 ...", ("C-1", 9, 1234.5), 0.12)], HIT
+        [("K-8", "K-8 buys jars", ("K-8", 2, 61.25), 0.7), ("K-3", "K-3 buys tea", ("K-3", 14, 908.75), 0.0625)], HIT
     )
-    answer = retrieval.compose_answer("Who is most valuable?", hits).first()["answer"]
+    answer = retrieval.compose_answer("Who buys tea?", hits).first()["answer"]
     assert answer == (
-        "Question: Who is most valuable?\n\nGrounding context:\n"
-        "  - Customer C-1 ...  (distance=0.120)\n"
-        "  - Customer C-2 ...  (distance=0.340)\n\n"
-        "Answer (grounded): customer C-1 is the closest match with 9 orders and 1234.50 lifetime revenue."
+        "Question: Who buys tea?\n\nGrounding context:\n"
+        "  - K-3 buys tea  (distance=0.063)\n"
+        "  - K-8 buys jars  (distance=0.700)\n\n"
+        "Answer (grounded): customer K-3 is the closest match with 14 orders and 908.75 lifetime revenue."
     )
 
 

@@ -1,6 +1,7 @@
 import time
 from pathlib import Path
 
+import pytest
 from conftest import ids
 
 from tierline.plans import jobs
@@ -8,7 +9,7 @@ from tierline.sources import append_table
 from tierline.streaming import ingest
 
 ROWS = [
-    (f"T-{i}", f"C-{i}", "SKU-1", "1", "5.00", "USD", "2025-01-01 10:00:00", "us") for i in range(1, 7)
+    (f"ORD-{i}", f"CU-{i % 4}", "PAN-2", str(2 * i), "3.30", "CHF", f"2031-04-0{i} 13:00:00", "ch") for i in range(1, 7)
 ]
 
 
@@ -18,9 +19,9 @@ def drain(spark, layout, **kwargs):
 
 def test_drain_rerun_and_new_file(spark, layout, write_raw):
     write_raw(ROWS[:3])
-    (Path(layout.raw) / "README.md").write_text("not data\n")
+    (Path(layout.raw) / "notes.txt").write_text("no rows here\n")
     assert drain(spark, layout) == 3
-    assert ids(append_table.read(spark, layout.bronze)) == {"T-1", "T-2", "T-3"}
+    assert ids(append_table.read(spark, layout.bronze)) == {"ORD-1", "ORD-2", "ORD-3"}
     assert Path(layout.checkpoint("bronze")).exists()
     assert drain(spark, layout) == 3
     write_raw(ROWS[3:4], "more.csv")
@@ -62,6 +63,17 @@ def test_batch_and_stream_share_bronze(spark, layout, write_raw):
     assert jobs.silver_job(spark, layout)["silver"] == 2
 
 
+def test_a_drain_tells_what_it_took(spark, layout, write_raw, monkeypatch):
+    for i, row in enumerate(ROWS):
+        write_raw([row], f"f{i}.csv")
+    run = lambda: ingest.drain(spark, layout.raw, layout.bronze, layout.checkpoint("bronze"), 4)
+    monkeypatch.setattr(append_table, "read_batches", lambda *a: pytest.fail("Bronze was read"))
+    assert run() == ingest.Drained(2, 6, 6)
+    assert run() == ingest.Drained(0, 0, 6)
+    write_raw(ROWS[:3], "late.csv")
+    assert run() == ingest.Drained(1, 3, 9)
+
+
 def test_empty_folder(spark, layout):
     assert drain(spark, layout) == 0
 

@@ -55,11 +55,11 @@ def test_kept_batch(spark, table):
 
 
 def test_evolution_can_be_refused(spark, table):
-    append_table.append(spark.createDataFrame([(1, "x")], "a INT, b STRING"), table)
-    wider = spark.createDataFrame([(1, "y", "extra")], "a INT, b STRING, c STRING")
-    with pytest.raises(schemas.SchemaMismatch, match="unknown column c"):
+    append_table.append(spark.createDataFrame([(8.5, "jar")], "weight DOUBLE, kind STRING"), table)
+    wider = spark.createDataFrame([(0.3, "tea", True)], "weight DOUBLE, kind STRING, loose BOOLEAN")
+    with pytest.raises(schemas.SchemaMismatch, match="unknown column loose"):
         append_table.append(wider, table, evolve=False)
-    assert append_table.append(wider.drop("c"), table, evolve=False) == 1
+    assert append_table.append(wider.drop("loose"), table, evolve=False) == 1
     assert append_table.append(wider, table) == 2
 
 
