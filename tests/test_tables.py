@@ -273,6 +273,38 @@ def test_a_day_too_big_for_one_task_is_cut(spark, table):
     assert snapshot_table.read(spark, table).count() == 120000
 
 
+def admitted(table_rows, **wanted):
+    """Files whose least and greatest values admit all wanted ones."""
+    bounds = [f(c).alias(f"{n}_{c}") for c in wanted for n, f in (("lo", F.min), ("hi", F.max))]
+    files_ = table_rows.groupBy(F.input_file_name().alias("f")).agg(*bounds).collect()
+    return sum(all(r[f"lo_{c}"] <= v <= r[f"hi_{c}"] for c, v in wanted.items()) for r in files_), len(files_)
+
+
+def test_clustering_by_several_columns_skips_files_for_each(spark, table):
+    df = spark.range(40000).select(
+        F.concat(F.lit("K-"), F.lpad(F.pmod(F.xxhash64("id"), F.lit(500)).cast("string"), 4, "0")).alias("customer"),
+        F.when(F.col("id") % 97 > 0, F.pmod(F.xxhash64("id", F.lit(1)), F.lit(300)).cast("int")).alias("article"),
+        F.col("id").alias("n"),
+    )
+    wanted = {"customer": "K-0123", "article": 150}
+    found = {}
+    for name, columns in (("one", "customer"), ("both", ["customer", "article"])):
+        path = f"{table}-{name}"
+        snapshot_table.overwrite(df, path)
+        size = upkeep.file_inventory(spark, path).agg(F.sum("bytes")).first()[0]
+        assert upkeep.optimize(spark, path, cluster_by=columns, target_bytes=size // 32) == 1
+        now = snapshot_table.read(spark, path)
+        found[name] = {k: admitted(now, **w) for k, w in {"both": wanted, "article": {"article": 150}, "customer": {"customer": "K-0123"}}.items()}
+        assert now.agg(F.count("*"), F.sum("n"), F.sum("article"), F.sum(F.xxhash64("customer", "n") % 1000)).first() == df.agg(
+            F.count("*"), F.sum("n"), F.sum("article"), F.sum(F.xxhash64("customer", "n") % 1000)).first()
+    assert found["one"]["article"][0] == found["one"]["article"][1]  # every file may hold the article
+    assert found["both"]["article"][0] <= found["both"]["article"][1] / 2
+    assert found["both"]["customer"][0] <= found["both"]["customer"][1] / 2
+    assert found["both"]["both"][0] <= found["both"]["both"][1] / 8
+    assert upkeep.optimize(spark, f"{table}-both", cluster_by=["customer", "article"]) is None
+    assert upkeep.optimize(spark, f"{table}-both", cluster_by=["article", "customer"]) == 2
+
+
 def test_vacuum_counts_age_from_replacement(spark, table):
     t0 = datetime(2025, 1, 1, tzinfo=timezone.utc)
     d = [date(2025, 1, 1), date(2025, 1, 2)]

@@ -22,6 +22,7 @@ from tierline.operators import (
     forecast,
     marts,
     neighbours,
+    policies,
     retrieval,
 )
 from tierline.operators.expectations import SILVER_RULES, Expectation
@@ -287,6 +288,20 @@ def column_mask(spark, sf_dir):
     return _plain(access.with_masked_customer(_silver(spark, sf_dir), may_see=False))
 
 
+@_query
+def secured_view(spark, sf_dir):
+    """Silver by SQL against a view under the policies, as the analyst of region 2 sees it: own countries, hashed customers."""
+    nations = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    scope = nations.select(
+        F.concat(F.lit("analyst-"), F.col("n_regionkey").cast("string")).alias("analyst"),
+        clean.normalized(F.col("n_name")).alias("country"),
+    )
+    groups = scope.select(F.col("analyst").alias("member"), F.lit("analysts").alias("group_name")).distinct()
+    policies.install(spark, scope, groups, "analyst-2")
+    policies.secured_view(spark, "secured_silver", _plain(_silver(spark, sf_dir)), mask="customer_id")
+    return spark.sql("SELECT transaction_id, customer_id, country, revenue, event_date FROM secured_silver")
+
+
 # ---- table operations ---------------------------------------------------------------
 
 
@@ -371,6 +386,15 @@ def cluster_by_customer(spark, sf_dir):
     return _plain(snapshot_table.read(spark, table))
 
 
+@_query
+def cluster_by_customer_and_product(spark, sf_dir):
+    """Rows after weaving customers and products into one order equal the rows before."""
+    table = scratch_dir(spark, "cluster")
+    snapshot_table.overwrite(_silver(spark, sf_dir), table)
+    upkeep.optimize(spark, table, cluster_by=["customer_id", "product_id"])
+    return _plain(snapshot_table.read(spark, table))
+
+
 @_query
 def vacuum_candidates(spark, sf_dir):
     """Folders only the replaced version needs, once its retention is over."""

@@ -269,6 +269,10 @@ SQL: dict[str, str] = {
     "upsert_blank_partitions": """
  SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN o_custkey + 1 ELSE o_custkey END AS o_custkey,
    CASE WHEN o_orderstatus = 'F' THEN 'F' END AS part FROM orders""",
+    "secured_view": _with(_SILVER)
+    + """ SELECT transaction_id, sha256(customer_id) AS customer_id, country, revenue, event_date FROM silver
+ WHERE country IN (SELECT trim(lower(n_name)) FROM nation WHERE n_regionkey = 2)""",
+    "cluster_by_customer_and_product": _with(_SILVER) + f" SELECT {_SILVER_COLUMNS} FROM silver",
     "ingest_counts": _with(_SILVER, _DAILY, _LTV)
     + f""" SELECT 'bronze' AS layer, count(*) AS rows FROM feed
  UNION ALL SELECT 'stream', count(*) FROM feed

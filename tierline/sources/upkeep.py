@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from tierline.sources import files, snapshot_table
 from tierline.sources.settings import few_listing_tasks
@@ -16,6 +18,10 @@ from tierline.sources.snapshot_table import Snapshot
 TARGET_FILE_BYTES = 1 << 30
 MIN_RETAIN_HOURS = 168
 
+# Parts of a column are numbered with so many bits, from so many rows.
+CURVE_BITS = 6
+CURVE_SAMPLE = 10_000
+
 _FOLDER = r"/data/(data_version=\d+(?:/[^/]+=[^/]+)*)/[^/]+$"
 
 
@@ -45,14 +51,15 @@ def file_inventory(spark: SparkSession, table: str, snap: Snapshot | None = None
 def optimize(
     spark: SparkSession,
     table: str,
-    cluster_by: str | None = None,
+    cluster_by: str | Sequence[str] | None = None,
     target_bytes: int = TARGET_FILE_BYTES,
 ) -> int | None:
     """Rewrite small files into files near ``target_bytes``; rows stay the same.
 
     With ``cluster_by`` partitions not yet clustered by that column are rewritten, sorted on
-    it, so that a filter on it skips files. Without it those with more files than they need
-    are. What an earlier call wrote and nothing touched since is left alone; None is
+    it, so that a filter on it skips files. With several columns rows are ordered along a curve through
+    all of them (``interleaved``), so that a filter on any of them, or on all, skips files. Without it
+    partitions with more files than they need are rewritten. What an earlier call wrote and nothing touched since is left alone; None is
     returned if nothing is left to do.
 
     Rows are range-partitioned on partition, cluster column and a row hash: a partition
@@ -60,10 +67,12 @@ def optimize(
     the same size.
     """
     snap = snapshot_table.snapshot(spark, table)
+    columns = [cluster_by] if isinstance(cluster_by, str) else list(cluster_by or ())
+    mark = ",".join(columns)
     todo = [
         f
         for f, v in snap.folders.items()
-        if v not in snap.packed or (cluster_by is not None and snap.packed[v] != cluster_by)
+        if v not in snap.packed or (columns and snap.packed[v] != mark)
     ]
     if not todo:
         return None
@@ -72,7 +81,7 @@ def optimize(
         .groupBy("folder")
         .agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"))
     )
-    if cluster_by is None:
+    if not columns:
         sizes = sizes.filter(F.col("files") > F.ceil(F.col("bytes") / F.lit(target_bytes)))
     chosen = {r["folder"]: r["bytes"] for r in sizes.collect()}  # one row per partition folder
     rewritten = [f for f in todo if f"data_version={snap.folders[f]}/{f}".rstrip("/") in chosen]
@@ -85,15 +94,52 @@ def optimize(
         min(len(rewritten), spark.sparkContext.defaultParallelism),
     )
     rows = snapshot_table.read_folders(spark, table, snap, rewritten)
-    order = [*snapshot_table.folder_columns(snap.partition_by).values(), *([cluster_by] if cluster_by else [])]
+    along = [interleaved(rows, columns)] if len(columns) > 1 else columns
+    order = [*snapshot_table.folder_columns(snap.partition_by).values(), *along]
     packed = rows.repartitionByRange(pieces, *order, F.xxhash64(*rows.columns))
     if order:
         packed = packed.sortWithinPartitions(*order)
     return snapshot_table.replace_folders(
-        packed, table, snap, rewritten, snapshot_table.UPKEEP, packed_by=cluster_by or "", gained=0
+        packed, table, snap, rewritten, snapshot_table.UPKEEP, packed_by=mark, gained=0
     )
 
 
+def _cuts(rows: DataFrame, column: str) -> list:
+    """Up to 2 ** CURVE_BITS - 1 values that cut a bounded sample of a column into equal parts."""
+    whole = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns])
+    values = rows.select(F.col(f"`{column}`").alias("v"), whole.alias("h")).where("v IS NOT NULL")
+    # The rows with the smallest hashes: the same ones in every run, each task sends its first.
+    drawn = sorted(r["v"] for r in values.orderBy("h").limit(CURVE_SAMPLE).collect())
+    parts = 1 << CURVE_BITS
+    return sorted({drawn[len(drawn) * i // parts] for i in range(1, parts)}) if drawn else []
+
+
+def interleaved(rows: DataFrame, columns: Sequence[str]) -> Column:
+    """A key that keeps rows near each other which are near in all ``columns``.
+
+    Each value becomes the number of the part of the column it falls in, NULL the first; the bits of
+    these numbers are woven together, the highest first. The parts come from a sample of CURVE_SAMPLE
+    rows of each column: they say how well files can be skipped, never where a row belongs.
+    """
+    if len(columns) * CURVE_BITS > 62:
+        raise ValueError(f"at most {62 // CURVE_BITS} columns can be woven together")
+    key = F.lit(0).cast("bigint")
+    for i, column in enumerate(columns):
+        part = _part(F.col(f"`{column}`"), _cuts(rows, column), rows.schema[column].dataType)
+        for bit in range(CURVE_BITS):
+            one = F.shiftright(part, bit).bitwiseAND(F.lit(1).cast("bigint"))
+            key = key.bitwiseOR(F.shiftleft(one, bit * len(columns) + len(columns) - 1 - i))
+    return key
+
+
+def _part(value: Column, cuts: list, kind: DataType) -> Column:
+    """How many of the cuts are not above the value; 0 for NULL."""
+    if not cuts:
+        return F.lit(0).cast("bigint")
+    below = F.size(F.filter(F.array(*[F.lit(c).cast(kind) for c in cuts]), lambda cut: cut <= value))
+    return F.when(value.isNull(), 0).otherwise(below).cast("bigint")
+
+
 def _live(history: list[Snapshot], cutoff: datetime) -> list[Snapshot]:
     """The newest version, and those replaced after the cutoff."""
     kept = [old for old, new in zip(history, history[1:]) if new.committed_at > cutoff]
