@@ -2,7 +2,8 @@
 
 A file is an Arrow IPC stream. Its batches have two fixed-size-list columns, ``ids`` and
 ``mask``, of ``length`` values a row, and all batches but the last have ``rows`` rows, so any
-sequence of a mapped file is an array view without a copy. Beside it, ``<name>.docs`` is an
+sequence of a mapped file is an array view without a copy. Masks are coded by a dictionary, since only
+the last sequence of a file has filling: a whole mask is stored once and each row has an index of one byte. Beside it, ``<name>.docs`` is an
 Arrow stream (doc_id, start, n_tokens) that says where in the file's ids each document lies.
 """
 
@@ -88,8 +89,9 @@ class Shard:
         self.fs.create_dir(path, recursive=True)
         self.path, self.name, self.length, self.rows, self.dtype = f"{path}/{name}", name, length, rows, dtype
         self.schema = pa.schema(
-            {"ids": pa.list_(pa.from_numpy_dtype(dtype), length), "mask": pa.list_(pa.uint8(), length)}
+            {"ids": pa.list_(pa.from_numpy_dtype(dtype), length), "mask": pa.dictionary(pa.int8(), pa.list_(pa.uint8(), length))}
         )
+        self.whole = np.ones((1, length), np.uint8)
         self.sink = self.fs.open_output_stream(self.path)
         self.out = pa.ipc.new_stream(self.sink, self.schema)
         self.docs_schema = pa.schema({"doc_id": pa.int64(), "start": pa.int64(), "n_tokens": pa.int64()})
@@ -99,12 +101,13 @@ class Shard:
         self.tokens = self.n_docs = 0
 
     def _batch(self, ids: np.ndarray, real: int) -> None:
-        mask = (np.arange(len(ids)) < real).astype(np.uint8)
-        self.out.write_batch(
-            pa.record_batch(
-                [pa.FixedSizeListArray.from_arrays(pa.array(x), self.length) for x in (ids, mask)], schema=self.schema
-            )
-        )
+        masks, kind = self.whole, np.zeros(len(ids) // self.length, np.int8)
+        if real < len(ids):  # only the last sequence of a file has filling
+            masks = np.vstack((masks, np.arange(self.length) < real - len(ids) + self.length)).astype(np.uint8)
+            kind[-1] = 1
+        columns = [pa.FixedSizeListArray.from_arrays(pa.array(x), self.length) for x in (ids, masks.ravel())]
+        columns[1] = pa.DictionaryArray.from_arrays(pa.array(kind), columns[1])
+        self.out.write_batch(pa.record_batch(columns, schema=self.schema))
 
     def add(self, doc_ids: list, ids: np.ndarray, counts: np.ndarray) -> None:
         starts = self.tokens + starts_of(counts)
@@ -158,12 +161,21 @@ class Sequences:
         if not 0 <= i < len(self):
             raise IndexError(i)
         batch, at = self.batches[i // self.rows], i % self.rows
+        masks = batch.column("mask")
         return (
             batch.column("ids")[at].values.to_numpy(zero_copy_only=True),
-            batch.column("mask")[at].values.to_numpy(zero_copy_only=True),
+            masks.dictionary[masks.indices[at].as_py()].values.to_numpy(zero_copy_only=True),
         )
 
 
+def real_ids(batch: pa.RecordBatch) -> np.ndarray:
+    """The ids of a batch without its filling, which can only be at the end of a file."""
+    masks = batch.column("mask")
+    per_mask = masks.dictionary.flatten().to_numpy().reshape(len(masks.dictionary), -1).sum(axis=1, dtype=np.int64)
+    real = int(per_mask[masks.indices.to_numpy()].sum())
+    return batch.column("ids").values.to_numpy(zero_copy_only=True)[:real]
+
+
 MANIFEST = "shard int, folder string, file string, n_docs long, n_tokens long"
 
 
@@ -228,10 +240,8 @@ def read_documents(files: DataFrame) -> DataFrame:
             def take(n: int, ids=ids) -> int:
                 nonlocal pending, have
                 while have < n:
-                    b = ids.read_next_batch()
-                    real = int(np.count_nonzero(b.column("mask").values.to_numpy()))
-                    pending.append(b.column("ids").values.to_numpy(zero_copy_only=True)[:real])
-                    have += real
+                    pending.append(real_ids(ids.read_next_batch()))
+                    have += len(pending[-1])
                 crc = 0
                 while n:
                     head = pending[0]
