@@ -321,3 +321,89 @@ def test_workers_let_go_of_what_another_operator_kept():
     assert not common._hashes and "word" in quality._slots
     common.begin(near_dedup.__name__)
     assert not quality._slots
+
+
+def by_force_mix(rows: list[tuple]) -> list[tuple]:
+    """(id, size, taken) by sorting each source's rows and adding them up one by one."""
+    import math
+    from collections import Counter, defaultdict
+
+    sources, seen = defaultdict(list), Counter()
+    for i, text, source in rows:
+        text = text or ""
+        number = seen[i, text, source]
+        seen[i, text, source] += 1
+        digest = hashlib.md5(text.encode()).hexdigest()
+        u = (int(hashlib.md5(f"{'null' if i is None else i} {digest} {number}".encode()).hexdigest()[:12], 16) + 0.5) / 2**48
+        weight = (sum(c not in mixing.SYMBOLS for c in text) + 1) / (len(text) + 1)
+        sources[source].append((-math.log(u) / weight, i, len(text.split()), digest))
+    names = sorted(sources, key=lambda s: (s is None, s))
+    sizes = {s: sum(r[2] for r in sources[s]) for s in names}
+    weights = {s: mixing.WEIGHTS[k % 3] for k, s in enumerate(names)}
+    left, free, target = 1.5 * sum(sizes.values()), set(names), {}
+    while free:
+        full = {s for s in free if left * weights[s] / sum(weights[t] for t in free) >= 2 * sizes[s]}
+        for s in full or free:
+            target[s] = 2 * sizes[s] if full else left * weights[s] / sum(weights[t] for t in free)
+        left -= sum(target[s] for s in full)
+        free = free - full if full else set()
+    out = []
+    for s in names:
+        epochs = int(target[s] // sizes[s]) if sizes[s] else 0
+        rest, done = target[s] - epochs * sizes[s], 0
+        for _, i, size, _ in sorted(sources[s], key=lambda r: r[0]):
+            done += size
+            out.append((str(i), size, size * (epochs + (done - size / 2 <= rest and rest > 0))))
+    return sorted(out)
+
+
+def test_mix_of_repeated_and_null_ids(spark):
+    """Equal rows, equal ids with other texts, and null ids are taken one by one: targets are met."""
+    rows = [(None, prose(5 + k % 7, 20) if k % 2 else prose(6, k), "abc"[k % 3]) for k in range(1500)]
+    rows += [(7, A, "a")] * 300 + [(7, prose(9, k), "b") for k in range(200)] + [(k, "# $ " * (k % 4), None) for k in range(50)]
+    frame = spark.createDataFrame(rows, "doc_id LONG, text STRING, source STRING")
+    got = mixing.mixed_words(frame.repartition(7)).collect()
+    assert sorted((str(r["doc_id"]), r["size"], r["taken"]) for r in got) == by_force_mix(rows)
+    taken = {}
+    for r in got:
+        taken[r["source_size"], r["target"]] = taken.get((r["source_size"], r["target"]), 0) + r["taken"]
+    assert all(abs(words - target) <= len(A.split()) for (_, target), words in taken.items())
+    again = mixing.mixed_words(frame.repartition(3)).collect()
+    assert sorted(map(str, again)) == sorted(map(str, got))
+    mixed = mixing.mix(frame)
+    assert sum(len(r["text"].split()) for r in mixed.collect()) == sum(r["taken"] for r in got)
+
+
+def test_a_filter_grows_with_its_entries(spark):
+    entries = spark.range(20_000_000).select(F.xxhash64("id"))
+    held = common.bitmap(entries)
+    probe = spark.range(-200_000, 0).select(F.xxhash64("id").alias("n"))
+    assert common.in_bitmap(probe, held, "n", "hit").where("hit").count() < 0.05 * 200_000
+    inside = spark.range(0, 20_000_000, 997).select(F.xxhash64("id").alias("n"))
+    assert common.in_bitmap(inside, held, "n", "hit").where("not hit").count() == 0
+
+
+def test_a_set_too_large_for_a_filter_is_joined(spark):
+    held = common.bitmap(spark.range(1000).select("id"), most=1 << 10)
+    got = common.in_bitmap(spark.range(990, 1010).selectExpr("id n", "id other"), held, "n", "hit")
+    assert held.bits == 0 and got.columns == ["n", "other", "hit"]
+    assert {(r["n"], r["hit"]) for r in got.collect()} == {(k, k < 1000) for k in range(990, 1010)}
+
+
+def test_exact_groups_against_brute_force(spark):
+    """Unique lengths, lengths alike with other beginnings, beginnings alike with other ends, copies, ties."""
+    head = prose(60, 40)
+    texts = [head + " x", head + " y", head + "\tx", head + "x ", "ab", "ba", "abc", " ab", "", None, " \n"] + [head] * 3
+    rows = [(k // 2 if k < 6 else k, t, f"e{k % 2}") for k, t in enumerate(texts)] + [(None, head, "e0"), (99, "ab", "e0"), (99, "ab", "e0")]
+    frame = spark.createDataFrame(rows, "doc_id LONG, text STRING, extra STRING").repartition(4)
+    plain = [("".join((t or "").split()), -len(t or ""), i is None, i or 0) for i, t, _ in rows]
+    best = {p: min(x[1:] for x in plain if x[0] == p) for p, *_ in plain}
+    want = sorted(
+        (str(i), str(None if best[p][1] else best[p][2]), sum(x[0] == p for x in plain), hashlib.sha256(p.encode()).hexdigest())
+        for (i, _, _), (p, *_) in zip(rows, plain, strict=True)
+    )
+    got = exact_dedup.exact_groups(frame, digest_all=True).collect()
+    assert sorted((str(r["doc_id"]), str(r["keep_id"]), r["group_size"], r["text_sha256"]) for r in got) == want
+    assert sum(r["kept"] for r in got) == len(best)
+    kept = exact_dedup.drop_copies(frame).collect()
+    assert sorted(str(r["doc_id"]) for r in kept) == sorted(str(r["doc_id"]) for r in got if r["kept"])

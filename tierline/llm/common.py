@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from itertools import chain
 from pathlib import Path
 
@@ -55,30 +56,44 @@ def broadcast_if_small(df: DataFrame, rows: int = 50_000) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
-#: Bits of a bitmap filter. Its broadcast is at most 2**22 / 32768 = 128 rows of 4 kB.
-FILTER_BITS = 22
+#: Bits of a filter for each of its entries, so that at most one number in twenty passes by chance.
+FILTER_SHARE = 20
+#: A filter is broadcast up to this many bits, 128 MB for 53 million entries; beyond, numbers are joined.
+FILTER_MOST = 1 << 30
 _ROW_BITS = 32768
 
 
-def bitmap(hashes: DataFrame) -> DataFrame:
-    """(_row, _bits) of a fixed-size filter that holds all numbers of the only column of ``hashes``."""
-    return (
-        hashes.toDF("_h")
-        .select(F.pmod("_h", F.lit(1 << FILTER_BITS)).alias("_bit"))
-        .groupBy(F.expr(f"_bit div {_ROW_BITS}").alias("_row"))
-        .agg(F.expr(f"bitmap_construct_agg(_bit % {_ROW_BITS})").alias("_bits"))
-    )
+@dataclass(frozen=True)
+class Filter:
+    """A set of 64-bit numbers: rows (_row, _bits) of a bitmap, or, with no ``bits``, the numbers (_h) themselves."""
+
+    table: DataFrame
+    bits: int
+
+
+def bitmap(hashes: DataFrame, most: int = FILTER_MOST) -> Filter:
+    """The filter that holds all numbers of the only column of ``hashes``; its size follows from their count."""
+    numbers = stored(hashes.toDF("_h").where("_h is not null").distinct(), "filter")
+    bits = max(_ROW_BITS, 1 << (FILTER_SHARE * max(1, numbers.count()) - 1).bit_length())
+    if bits > most:
+        return Filter(numbers, 0)
+    at = numbers.select(F.pmod("_h", F.lit(bits)).alias("_bit")).groupBy(F.expr(f"_bit div {_ROW_BITS}").alias("_row"))
+    return Filter(checkpointed(at.agg(F.expr(f"bitmap_construct_agg(_bit % {_ROW_BITS})").alias("_bits"))), bits)
 
 
-def in_bitmap(df: DataFrame, bits: DataFrame, number: str, out: str) -> DataFrame:
+def in_bitmap(df: DataFrame, held: Filter, number: str, out: str) -> DataFrame:
     """``df`` with a boolean ``out``: false only if the filter does not hold ``number``.
 
-    A full filter lets everything pass, which costs time and changes no result.
+    A bitmap is broadcast. A set too large for that is joined by shuffling ``df``, and ``out`` is exact.
     """
-    at = df.withColumn("_bit", F.pmod(number, F.lit(1 << FILTER_BITS)))
+    if not held.bits:
+        known = held.table.select("_h", F.lit(True).alias("_known"))
+        joined = df.join(known, F.col(number) == F.col("_h"), "left")
+        return joined.withColumn(out, F.coalesce("_known", F.lit(False))).drop("_h", "_known")
+    at = df.withColumn("_bit", F.pmod(number, F.lit(held.bits)))
     at = at.withColumn("_row", F.expr(f"_bit div {_ROW_BITS}"))
     byte = F.conv(F.hex(F.expr(f"substring(_bits, cast((_bit % {_ROW_BITS}) div 8 + 1 as int), 1)")), 16, 10)
-    joined = at.join(F.broadcast(bits), "_row", "left").withColumn("_byte", F.coalesce(byte, F.lit("0")).cast("int"))
+    joined = at.join(F.broadcast(held.table), "_row", "left").withColumn("_byte", F.coalesce(byte, F.lit("0")).cast("int"))
     hit = F.expr("shiftright(_byte, cast(_bit % 8 as int)) & 1 = 1")
     return joined.withColumn(out, hit).drop("_row", "_bit", "_bits", "_byte")
 

@@ -1,9 +1,9 @@
 """Exact duplicates by progressive refinement: length, then a hash of the beginning, then a full hash.
 
-A first pass reads texts and keeps two numbers of each row. Rows that share both with
-another row are marked in a bitmap of fixed size; a second pass hashes the full content of
-marked rows only, so texts themselves are never shuffled. A bit set by two different groups
-only costs a needless hash: the full hash decides.
+A first pass reads texts and keeps two numbers of each row, its length and a hash of its beginning.
+Lengths are counted first; only rows whose length occurs again are grouped by their beginning too. Pairs
+of both that occur again go into a filter; a second pass hashes the full content of the rows it lets
+through only. A bit set by two different groups only costs a needless hash: the full hash decides.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierline.llm.common import bitmap, checkpointed, in_bitmap
+from tierline.llm.common import Filter, bitmap, checkpointed, in_bitmap, stored
 
 #: White space that does not count.
 BLANK = " \t\n\x0b\x0c\r"
@@ -27,15 +27,16 @@ def _with_prefix(df: DataFrame, text: str) -> DataFrame:
     return plain.withColumns({"_len": F.length("_plain"), "_head": head})
 
 
-def survivors(df: DataFrame, text: str = "text") -> DataFrame:
-    """Bitmap over the (length, prefix hash) pairs that occur at least twice."""
-    small = _with_prefix(df, text).groupBy("_len", "_head").agg(F.count("*").alias("_n"))
-    lengths = small.groupBy("_len").agg(F.sum("_n").alias("_all")).where("_all > 1").select("_len")
-    pairs = small.where("_n > 1").join(lengths, "_len", "left_semi")
+def survivors(df: DataFrame, text: str = "text") -> Filter:
+    """Filter over the (length, prefix hash) pairs that occur at least twice, among rows whose length does."""
+    small = stored(_with_prefix(df, text).select("_len", "_head"), "lengths")
+    lengths = small.groupBy("_len").count().where("count > 1")
+    again = in_bitmap(small.withColumn("_long", F.col("_len").cast("long")), bitmap(lengths.select(F.col("_len").cast("long"))), "_long", "_again")
+    pairs = again.where("_again").groupBy("_len", "_head").count().where("count > 1")
     return bitmap(pairs.select(F.xxhash64("_len", "_head")))
 
 
-def _marked(df: DataFrame, bits: DataFrame, text: str) -> DataFrame:
+def _marked(df: DataFrame, bits: Filter, text: str) -> DataFrame:
     """Rows with ``_alive``: whether another row may share length and prefix."""
     at = _with_prefix(df, text).withColumn("_pair", F.xxhash64("_len", "_head"))
     return in_bitmap(at, bits, "_pair", "_alive").drop("_pair")
@@ -91,20 +92,22 @@ def exact_groups(df: DataFrame, id_column: str = "doc_id", text: str = "text", d
 def drop_copies(df: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """``df`` with one row of each group of equal texts, chosen as in ``exact_groups``; all columns stay.
 
-    Rows that the bitmap clears pass without a shuffle. Of the others, only those that share
-    their full hash with another row lose their text to a comparison of ranks.
+    Rows that the filter clears pass without a shuffle. Of the others, the best row of each full hash is
+    found on hashes and ranks alone; only the rows that a second filter, of those, lets through have their
+    texts shuffled, after copies alike in every column have been reduced in each task.
     """
-    bits = checkpointed(survivors(df.select(text), text))
     held = df.select(F.struct("*").alias("_doc"), F.col(id_column).alias("_id"), F.col(text).alias("_text"))
-    marked = _marked(held, bits, "_text")
+    marked = _marked(held, survivors(df.select(F.col(text).alias("_text")), "_text"), "_text")
     free = marked.where(~F.col("_alive")).select("_doc.*")
     chars = F.length(F.coalesce("_text", F.lit("")))
     order = F.struct(
         (-chars).alias("c"), F.col("_id").isNull().alias("n"), F.col("_id").alias("i"), F.xxhash64("_doc").alias("d")
     )
     bound = marked.where("_alive").select("_doc", _full_hash().alias("_sha"), order.alias("_order"))
-    best = bound.groupBy("_sha").agg(F.min("_order").alias("_best"))
-    first = bound.join(best, "_sha").where("_order = _best")
+    best = stored(bound.groupBy("_sha").agg(F.min("_order").alias("_best")), "best-copies")
+    winners = bitmap(best.select(F.xxhash64("_sha", "_best")))
+    likely = in_bitmap(bound.withColumn("_rank", F.xxhash64("_sha", "_order")), winners, "_rank", "_hit").where("_hit")
     # Rows alike in every column are left; any one of them is the same row.
-    once = first.groupBy("_sha").agg(F.any_value("_doc").alias("_doc"))
-    return free.union(once.select("_doc.*"))
+    once = likely.groupBy("_sha", "_order").agg(F.any_value("_doc").alias("_doc"))
+    first = once.join(best, "_sha").where("_order <=> _best")
+    return free.union(first.select("_doc.*"))

@@ -278,7 +278,7 @@ def drop_near(df: DataFrame, id_column: str = "doc_id", text: str = "text", at_l
     groups = checkpointed(near_groups(df, id_column, text, at_least).select("mark", "class_size", "kept"))
     crowd = groups.where("class_size > 1")
     held = df.select(F.struct("*").alias("_doc"), F.xxhash64(F.col(id_column), F.col(text)).alias("mark"))
-    told = in_bitmap(held, checkpointed(bitmap(crowd.select("mark"))), "mark", "hit")
+    told = in_bitmap(held, bitmap(crowd.select("mark")), "mark", "hit")
     stay = groups.where("kept").select("mark").distinct()
     bound = told.where("hit").join(stay, "mark", "left_semi")
     # Rows of one mark are copies of one another; one of them stays.

@@ -58,41 +58,49 @@ def op2_token_files(spark, sf_dir):
 
 @_query
 def op3_source_mix(spark, sf_dir):
+    """All documents mixed to the sources' targets; null, repeated and empty rows as in ``mixing.mixed_words``."""
     return mixing.mixed_words(_table(spark, sf_dir, "documents"))
 
 
 @_query
 def op4_exact_dedup(spark, sf_dir):
+    """Groups of texts equal without white space; nulls, ties and repeated rows as in ``exact_dedup.exact_groups``."""
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"), digest_all=True)
 
 
 @_query
 def op5_repeated_passages(spark, sf_dir):
+    """Passages that documents share, as in ``compact_windows.repeated_passages``."""
     return compact_windows.repeated_passages(_table(spark, sf_dir, "documents"))
 
 
 @_query
 def op6_sentencepiece(spark, sf_dir):
+    """Piece ids of every whole text, as in ``pieces.encoded``."""
     return pieces.encoded(_table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"))
 
 
 @_query
 def op7_license_scan(spark, sf_dir):
+    """Licence notices in all documents, as in ``licenses.found_licenses``."""
     return licenses.found_licenses(_table(spark, sf_dir, "documents"))
 
 
 @_query
 def op8_quality(spark, sf_dir):
+    """Score and verdict of every document, as in ``quality.judged``."""
     return quality.judged(_table(spark, sf_dir, "documents"))
 
 
 @_query
 def op9_near_dedup(spark, sf_dir):
+    """Classes of near-duplicates over all documents, as in ``near_dedup.near_groups``."""
     return near_dedup.near_groups(_table(spark, sf_dir, "documents")).drop("mark")
 
 
 @_query
 def op10_url_rules(spark, sf_dir):
+    """Rule and verdict of every page; null URLs and repeated rows as in ``url_rules.judged``."""
     pages = _table(spark, sf_dir, "pages").select("page_id", "url")
     return url_rules.judged(pages).select("page_id", "host", "path", "rule", "verdict")
 
@@ -160,10 +168,13 @@ FROM r
 
 SQL["op3_source_mix"] = r"""
 WITH d AS (
-  SELECT doc_id, source, coalesce(text, '') AS text FROM documents), s AS (
-  SELECT doc_id, source,
+  SELECT doc_id, source, coalesce(text, '') AS text, md5(coalesce(text, '')) AS digest,
+         row_number() OVER (PARTITION BY source, doc_id, md5(coalesce(text, ''))) - 1 AS number
+  FROM documents), s AS (
+  SELECT doc_id, source, digest, number,
          length(regexp_replace(regexp_replace(text, '[^\x20\x09-\x0D]+', 'x', 'g'), '[\x20\x09-\x0D]+', '', 'g')) AS size,
-         -ln((('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null')), 1, 12))::BIGINT::DOUBLE + 0.5) / 281474976710656.0)
+         -ln((('0x' || substr(md5(concat_ws(' ', coalesce(doc_id::VARCHAR, 'null'), digest, number)), 1, 12))::BIGINT::DOUBLE + 0.5)
+             / 281474976710656.0)
            / ((length(translate(text, '#$%&*|!~^<>{}[]=+_@', '')) + 1)::DOUBLE / (length(text) + 1)) AS k
   FROM d), t AS (
   SELECT source, sum(size)::BIGINT AS total,
@@ -181,7 +192,7 @@ WITH d AS (
   SELECT source, total, CASE WHEN has_open THEN least(cap::DOUBLE, weight * lv) ELSE cap::DOUBLE END AS target FROM g), e AS (
   SELECT *, CASE WHEN total > 0 THEN floor(target / total)::BIGINT ELSE 0 END AS epochs FROM a), x AS (
   SELECT s.doc_id, s.size, e.total, e.target, e.epochs, e.target - e.epochs * e.total AS rest,
-         (sum(s.size) OVER (PARTITION BY s.source ORDER BY s.k, s.doc_id, s.size
+         (sum(s.size) OVER (PARTITION BY s.source ORDER BY s.k, s.doc_id NULLS FIRST, s.digest, s.number
             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))::DOUBLE - s.size / 2.0 AS middle
   FROM s JOIN e ON s.source IS NOT DISTINCT FROM e.source)
 SELECT doc_id, size, total AS source_size, target,
