@@ -144,7 +144,7 @@ WITH p AS (
   SELECT page_id, coalesce(url, '') AS url,
          CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
   FROM pages), q AS (
-  SELECT page_id, url, lower(regexp_extract(rest, '^([^/?#]*)', 1)) AS host,
+  SELECT page_id, url, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
          regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
   FROM p), r AS (
   SELECT *, CASE
