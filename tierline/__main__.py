@@ -26,6 +26,7 @@ def _parser() -> argparse.ArgumentParser:
     bronze = job.add_parser("bronze", help="append raw CSV to Bronze")
     bronze.add_argument("--source", help="CSV file or folder")
     bronze.add_argument("--check-header", action="store_true", help="refuse unexpected columns")
+    bronze.add_argument("--by-header", action="store_true", help="read each file by its own header")
     stream = job.add_parser("stream", help="append new CSV files to Bronze")
     stream.add_argument("--source", help="folder to watch")
     stream.add_argument("--continuous", action="store_true", help="run until stopped")
@@ -53,7 +54,7 @@ def main(argv: list[str] | None = None) -> object:
     spark = SparkSession.builder.appName(f"tierline-{args.job}").getOrCreate()
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     if args.job == "bronze":
-        return jobs.bronze_job(spark, lake, args.source, args.check_header)
+        return jobs.bronze_job(spark, lake, args.source, args.check_header, by_header=args.by_header)
     if args.job == "stream":
         stream = ingest.raw_stream(spark, args.source or lake.raw)
         query = ingest.start(stream, lake.bronze, lake.checkpoint("bronze"), not args.continuous)

@@ -267,6 +267,12 @@ def lag_features(spark, sf_dir):
     return features.lag_features(_daily(spark, sf_dir))
 
 
+@_query
+def lag_features_by_ranges(spark, sf_dir):
+    """The same features with every country's series cut into ranges of about two hundred days."""
+    return features.lag_features_by_ranges(_daily(spark, sf_dir), rows=200)
+
+
 @_query
 def row_filter(spark, sf_dir):
     """Daily revenue as the analyst of region 2 sees it; scopes come from the nation table."""
@@ -427,6 +433,20 @@ def batch_csv_ingest(spark, sf_dir):
     )
 
 
+@_query
+def changing_headers_ingest(spark, sf_dir):
+    """Two deliveries whose headers differ in order and columns, in one folder: each file goes by its own header."""
+    layout = Layout(scratch_dir(spark, "lakehouse"), MONTHLY)
+    later = raw_feed(spark, sf_dir, ~first_delivery())
+    # The later files lack the currency, bring two columns more and come in another order.
+    shop = F.concat(F.lit("shop, "), F.right("product_id", F.lit(1)))
+    more = later.withColumns({"Shop": shop, "line": F.substring_index("transaction_id", "-", -1)})
+    write_csv(raw_feed(spark, sf_dir, first_delivery()), layout.raw)
+    write_csv(more.select("Shop", *reversed(RAW_COLUMNS), "line").drop("currency"), layout.raw, "append")
+    jobs.bronze_job(spark, layout, layout.raw, by_header=True)
+    return append_table.read(spark, layout.bronze).select(*RAW_COLUMNS, "Shop", "line")
+
+
 def _streamed(spark, layout):
     ingest.ingest_available(spark, layout.raw, layout.bronze, layout.checkpoint("bronze"))
 

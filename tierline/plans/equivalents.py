@@ -234,6 +234,7 @@ SQL: dict[str, str] = {
  UNION ALL SELECT 'customer_ltv', count(*) FROM ltv
  UNION ALL SELECT 'archive', NULL""",
     "lag_features": _with(_SILVER, _DAILY, _LAGS) + " SELECT * FROM lags",
+    "lag_features_by_ranges": _with(_SILVER, _DAILY, _LAGS) + " SELECT * FROM lags",
     "row_filter": _with(_SILVER, _DAILY)
     + """ SELECT * FROM daily WHERE country IN (
    SELECT trim(lower(n_name)) FROM nation WHERE 'analyst-' || n_regionkey = 'analyst-2')""",
@@ -260,6 +261,11 @@ SQL: dict[str, str] = {
      WHERE transaction_id IN (SELECT transaction_id FROM second))""",
     "batch_csv_ingest": _with()
     + f" {_RAW_FEED_ROWS}, 'sample_raw' AS _source_hint, true AS from_csv FROM feed",
+    "changing_headers_ingest": _with()
+    + """ SELECT transaction_id, nullif(customer_id, '') AS customer_id, product_id, quantity, unit_price,
+   CASE WHEN first_delivery THEN currency END AS currency, event_ts, country,
+   CASE WHEN NOT first_delivery THEN 'shop, ' || right(product_id, 1) END AS "Shop",
+   CASE WHEN NOT first_delivery THEN split_part(transaction_id, '-', 3) END AS line FROM feed""",
     "stream_ingest_available_now": _with() + f" {_RAW_FEED_ROWS} FROM feed",
     "stream_rerun_no_duplicates": _with() + f" {_RAW_FEED_ROWS} FROM feed",
     "jobs_daily_revenue": _with(_SILVER, _DAILY) + " SELECT * FROM daily",

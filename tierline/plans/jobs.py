@@ -9,6 +9,7 @@ from tierline.operators import clean, dashboard
 from tierline.plans import increments
 from tierline.schemas import BRONZE_TRANSACTIONS
 from tierline.sources import append_table, snapshot_table, upkeep
+from tierline.sources.changing_feed import read_changing_csv
 from tierline.sources.csv_feed import read_raw_csv, with_lineage
 from tierline.sources.layout import Layout
 
@@ -21,15 +22,22 @@ def bronze_job(
     source: str | None = None,
     check_header: bool = False,
     batch_key: str | None = None,
+    by_header: bool = False,
 ) -> int:
     """Append raw files to Bronze and return the rows it holds, as counted by the jobs that wrote them.
 
     Reruns append again, unless a ``batch_key`` names the delivery: the same key replaces it.
+    With ``by_header`` each file is read by its own header, and columns it adds become columns of Bronze.
     """
+    if by_header and check_header:
+        raise ValueError("files read by their own headers are not checked against the schema")
     source = source or f"{layout.raw}/transactions.csv"
-    raw = read_raw_csv(spark, source, check_header)
     hint = source.rstrip("/").rsplit("/", 1)[-1]
-    append_table.append(with_lineage(raw, hint), layout.bronze, batch_key)
+    if by_header:
+        rows = read_changing_csv(spark, source, hint)
+    else:
+        rows = with_lineage(read_raw_csv(spark, source, check_header), hint)
+    append_table.append(rows, layout.bronze, batch_key)
     return append_table.rows(spark, layout.bronze)
 
 

@@ -84,8 +84,8 @@ def raw_feed(spark: SparkSession, sf_dir: str, delivered: Column | None = None)
     )
 
 
-def write_csv(raw: DataFrame, folder: str) -> None:
+def write_csv(raw: DataFrame, folder: str, mode: str = "error") -> None:
     """The feed as CSV files with headers, blanks kept and empty fields left empty."""
-    raw.write.options(
+    raw.write.mode(mode).options(
         header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, emptyValue=""
     ).csv(folder)
