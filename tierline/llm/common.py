@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import re
 from collections.abc import Callable, Iterator
@@ -203,13 +204,23 @@ def begin(module: str) -> None:
         _at_work = module
 
 
+def give_back() -> None:
+    """What a task has freed goes back to the system; else a waiting worker would hold its largest batch's memory."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def arrow_map(df: DataFrame, fn: Callable, schema: str | T.StructType) -> DataFrame:
     ship(df.sparkSession)
     module = fn.__module__
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin(module)
-        return fn(batches)
+        try:
+            yield from fn(batches)
+        finally:
+            give_back()
 
     return df.mapInArrow(run, schema)
 
