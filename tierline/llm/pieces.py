@@ -26,8 +26,10 @@ from tierline.llm.common import arrow_map, kept_by, slices, texts_of
 from tierline.llm.pool import PiecePool, starts_of
 
 MARK = "▁"
-#: Pairs of pieces that a worker keeps. Only speed depends on it.
-KEPT_PAIRS = 1_000_000
+#: Words and pairs of pieces that a worker keeps. Only speed depends on them.
+KEPT_WORDS, KEPT_PAIRS = 200_000, 300_000
+#: Code points of words indexed at once; a longer word is indexed alone.
+INDEXED_CHARS = 400_000
 #: What stands before a position: no path, or a start where any piece fits.
 NOWHERE, ANY = -2, -1
 
@@ -35,6 +37,8 @@ NOWHERE, ANY = -2, -1
 class Pieces(PiecePool):
     """The vocabulary of a BPE model with byte fallback, as read by the sentencepiece library."""
 
+    kept = KEPT_WORDS
+
     def __init__(self, path: str):
         from sentencepiece import SentencePieceProcessor
 
@@ -145,6 +149,10 @@ class Pieces(PiecePool):
         return start[by_place], which[by_place]
 
     def ids_of_new(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        flat, counts = zip(*[self.indexed(new[s]) for s in slices(new, INDEXED_CHARS)], strict=True)
+        return np.concatenate(flat), np.concatenate(counts)
+
+    def indexed(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.pair) > KEPT_PAIRS:
             self.pair.clear()
         text = "\n".join(new) + "\n"
