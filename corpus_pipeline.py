@@ -15,6 +15,10 @@ from tierline.llm import exact_dedup, mixing, near_dedup, pieces, quality
 from tierline.llm.common import stored
 
 
+#: Texts that go to a Python worker together while they are encoded, as executors are fullest then. Results do not depend on it.
+ENCODED_AT_ONCE = {"maxRecordsPerBatch": 2000, "maxBytesPerBatch": 8 << 20}
+
+
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject."""
     return quality.keep_good(docs)
@@ -37,6 +41,8 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def encoded_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of every document of the mix."""
+    for name, most in ENCODED_AT_ONCE.items():
+        spark.conf.set(f"spark.sql.execution.arrow.{name}", most)
     return pieces.encoded(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
