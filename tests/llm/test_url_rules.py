@@ -1,0 +1,83 @@
+"""Many URL rules, compared with trying every rule on every URL."""
+
+import random
+import re
+import time
+
+import pytest
+
+from tierline.llm import url_rules
+
+WORDS = [f"w{i}" for i in range(400)]
+
+
+def made(n_rules: int, n_urls: int, seed: int = 1):
+    chance = random.Random(seed)
+
+    def host():
+        return ".".join(chance.choices(WORDS, k=chance.randint(1, 2)) + [chance.choice(["com", "org", "net"])])
+
+    rules = {}
+    while len(rules) < n_rules:
+        path = chance.choice(["/", "/", f"/{chance.choice(WORDS)}/", f"/{chance.choice(WORDS)}"])
+        rule = url_rules.site_rule(chance.choice(["allow", "block"]), host(), path)
+        rules.setdefault(rule.name, rule)
+    some = list(rules)
+    urls = [None, "", "no scheme", "http://", "://org/"]
+    for _ in range(n_urls):
+        base = chance.choice(some) if chance.random() < 0.7 else host() + "/"
+        urls.append(f"http://{chance.choice(['', 'www.', 'W7.', 'x'])}{base}{chance.choice(['', 'index?utm_source=a', '?page=3', 'é#x'])}")
+    return tuple(rules.values()), urls
+
+
+def by_force(url, site, other):
+    if url is None or "://" not in url:
+        return None, "allow"
+    for rules, named in ((site, True), (other, False)):
+        tokens = set(re.findall("[a-z0-9]+", url.lower()))
+        fit = [r for r in rules if set(r.literals) <= tokens and re.search(r.pattern, url)]
+        if fit:
+            best = max(fit, key=lambda r: (r.rank, r.name))
+            return (best.name if named else None), best.verdict
+    return None, "allow"
+
+
+@pytest.mark.parametrize("n_rules", [0, 1, 300])
+def test_against_every_rule(spark, n_rules):
+    site, urls = made(n_rules, 400 if n_rules else 0)
+    urls += ["http://a.org/?utm_x=1", "http://m.b.com/?page=2"]
+    frame = spark.createDataFrame([(u,) for u in urls], "url STRING")
+    got = [(r["url"], r["rule"], r["verdict"]) for r in url_rules.judged(frame, site_rules=site).collect()]
+    want = [(u, *by_force(u, site, url_rules.PATTERN_RULES)) for u in urls]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_ten_thousand_rules(spark):
+    site, urls = made(10_000, 20_000)
+    frame = spark.createDataFrame([(u,) for u in urls], "url STRING").repartition(4)
+    start = time.time()
+    got = {r["url"]: (r["rule"], r["verdict"]) for r in url_rules.judged(frame, site_rules=site).collect()}
+    assert time.time() - start < 60
+    for u in random.Random(2).sample(urls, 25):
+        assert got[u] == by_force(u, site, url_rules.PATTERN_RULES)
+
+
+def test_names_that_clash_and_rules_without_token(spark):
+    frame = spark.createDataFrame([("http://a.org/x", 1, 2, "h", "r")], "`u.rl` STRING, _site INT, _other INT, host STRING, rule STRING")
+    row = url_rules.judged(frame, "u.rl").first()
+    assert (row["_site"], row["_other"], row["host"], row["rule"], row["verdict"]) == (1, 2, "a.org", "org/", "allow")
+    with pytest.raises(ValueError, match="without a literal token: .*any"):
+        url_rules.judged(frame, "u.rl", pattern_rules=(url_rules.Rule("any", ".", (), "block", 1),))
+
+
+def test_rows_are_not_shuffled(spark):
+    frame = spark.createDataFrame([("http://a.org/x", 1)], "url STRING, n INT")
+    node = url_rules.judged(frame)._jdf.queryExecution().optimizedPlan()
+    names = []
+    while True:
+        names.append(node.nodeName())
+        if not node.children().size():
+            break
+        assert node.children().size() == 1
+        node = node.children().head()
+    assert set(names) == {"Project", "LogicalRDD"}

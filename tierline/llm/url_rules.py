@@ -1,8 +1,8 @@
 """URL rules looked up by their rarest literal token.
 
 A rule is a regular expression together with the literal tokens that any URL it fits must hold.
-Of these, the token in the fewest URLs is the rule's key. A URL's own tokens fetch the rules
-filed under them, and only those rules run.
+Of these, the token in the fewest URLs is the rule's key. Rules are a table, hashed by key into slots; a
+URL's own tokens fetch the rules filed under them, and only those rules run.
 """
 
 from __future__ import annotations
@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 #: Runs of these are tokens.
 TOKEN = "[a-z0-9]+"
+#: What the index holds of a rule.
+ENTRY = "rank int, name string, verdict string, pattern string, token string"
 
 
 @dataclass(frozen=True)
@@ -53,34 +55,62 @@ def tokens(url: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(url, F.lit(""))), F.lit(TOKEN), 0))
 
 
-def rarest_tokens(urls: DataFrame, column: str, rules: tuple[Rule, ...]) -> dict[str, str]:
-    """Rule name to the literal token of the rule that the fewest URLs hold (ties: the smallest).
+def filed(urls: DataFrame, column: str, rules: tuple[Rule, ...]) -> DataFrame:
+    """Rows (token, rank, name, verdict, pattern): each rule under its literal that the fewest URLs hold (ties: the smallest).
 
-    Counts cover every URL; what comes to the driver is one number for each literal of the rules.
+    Counts cover every URL; only tokens that rules ask for are counted. The list of these, to be held by
+    every task, is no longer than the rules.
     """
-    wanted = sorted({t for r in rules for t in r.literals})
-    held = F.array_intersect(tokens(F.col(column)), F.array(*map(F.lit, wanted)))
-    counts = dict(urls.select(F.explode(held).alias("t")).groupBy("t").count().collect())
-    return {r.name: min(r.literals, key=lambda t: (counts.get(t, 0), t)) for r in rules}
+    spark = urls.sparkSession
+    literals = [(i, t) for i, r in enumerate(rules) for t in r.literals]
+    wanted = spark.createDataFrame(literals, "rule int, token string")
+    seen = urls.select(F.explode(tokens(named(column))).alias("token"))
+    counts = seen.join(F.broadcast(wanted.select("token").distinct()), "token").groupBy("token").count()
+    rarest = F.min(F.struct(F.coalesce("count", F.lit(0)).alias("often"), "token")).alias("least")
+    keys = wanted.join(counts, "token", "left").groupBy("rule").agg(rarest).select("rule", "least.token")
+    known = spark.createDataFrame(
+        [(i, r.rank, r.name, r.verdict, r.pattern) for i, r in enumerate(rules)],
+        "rule int, rank int, name string, verdict string, pattern string",
+    )
+    return keys.join(known, "rule").drop("rule")
+
+
+def slot(token: Column, slots: int) -> Column:
+    return F.pmod(F.xxhash64(token), F.lit(slots)).cast("int")
+
+
+def rule_index(rules: DataFrame, slots: int) -> Column:
+    """The rules as one value: an array of slots, each with the rules whose token's hash leads there.
+
+    A token is looked up in one step, however many rules there are. The value passes through the driver, which
+    has the rules anyway, and is a constant of the plan.
+    """
+    spark = rules.sparkSession
+    entry = F.struct(*(part.split()[0] for part in ENTRY.split(", ")))
+    held = rules.select(slot(F.col("token"), slots).alias("slot"), entry.alias("rule"))
+    every = spark.range(slots).select(F.col("id").cast("int").alias("slot")).join(held, "slot", "left")
+    lists = every.groupBy("slot").agg(F.collect_list("rule").alias("rules"))
+    ordered = F.array_sort(F.collect_list(F.struct("slot", "rules")))
+    held = lists.agg(F.to_json(F.transform(ordered, lambda s: s["rules"]))).first()[0]
+    return F.from_json(F.lit(held), f"array<array<struct<{ENTRY}>>>")
+
+
+def best_rule(url: Column, index: Column, slots: int) -> Column:
+    """Struct (rank, name, verdict) of the highest rule that fits, or null. Only rules that a token of the URL fetches run."""
+    fetched = F.transform(tokens(url), lambda t: F.filter(F.get(index, slot(t, slots)), lambda r: r["token"] == t))
+    fitting = F.filter(F.flatten(fetched), lambda r: F.rlike(url, r["pattern"]))
+    return F.array_max(F.transform(fitting, lambda r: F.struct(r["rank"], r["name"], r["verdict"])))
 
 
-def best_rule(url: Column, rules: tuple[Rule, ...], keys: dict[str, str]) -> Column:
-    """Struct (rank, name, verdict) of the highest rule that fits, or null."""
-    filed: dict[str, list[Rule]] = {}
-    for r in rules:
-        filed.setdefault(keys[r.name], []).append(r)
+def named(column: str) -> Column:
+    return F.col("`" + column.replace("`", "``") + "`")
 
-    def entry(r: Rule) -> Column:
-        return F.struct(
-            F.lit(r.rank).alias("rank"), F.lit(r.name).alias("name"),
-            F.lit(r.verdict).alias("verdict"), F.lit(r.pattern).alias("pattern"),
-        )
 
-    index = F.create_map(*[c for t, rs in filed.items() for c in (F.lit(t), F.array(*map(entry, rs)))])
-    found = F.array_intersect(tokens(url), F.array(*map(F.lit, filed)))
-    candidates = F.flatten(F.transform(found, lambda t: F.element_at(index, t)))
-    fitting = F.filter(candidates, lambda c: F.rlike(url, c["pattern"]))
-    return F.array_max(F.transform(fitting, lambda c: F.struct(c["rank"], c["name"], c["verdict"])))
+def unused(name: str, columns: list[str]) -> str:
+    taken = {c.lower() for c in columns}
+    while name in taken:
+        name += "_"
+    return name
 
 
 def judged(
@@ -90,25 +120,29 @@ def judged(
     pattern_rules: tuple[Rule, ...] = PATTERN_RULES,
     default: str = "allow",
 ) -> DataFrame:
-    """``pages`` with columns host, path, rule, verdict; one row out for each row in, no shuffle.
+    """``pages`` with columns host, path, rule, verdict; one row out for each row in, no shuffle of rows.
 
     Columns of these names are replaced. A null URL and one without ``://`` have an empty host
-    and path, no rule, and get the default verdict. Repeated rows are judged alike; an empty
-    table gives no rows. Each rule needs at least one literal token.
+    and path, no rule, and get the default verdict. Of rules with one rank the greater name wins. Repeated
+    rows are judged alike; an empty table gives no rows. Each rule needs at least one literal token. Rules
+    may number some 100,000: every task holds all of them.
     """
-    rules = site_rules + pattern_rules
-    keys = rarest_tokens(pages, column, rules)
-    url = F.coalesce(F.col(column), F.lit(""))
-    real = F.instr(url, "://") > 0
-    rest = F.when(real, F.expr(f"substring(`{column}`, instr(`{column}`, '://') + 3)")).otherwise("")
+    if bare := [r.name for r in site_rules + pattern_rules if not r.literals]:
+        raise ValueError(f"rules without a literal token: {bare[:3]}")
+    url = F.coalesce(named(column), F.lit(""))
+    at = F.instr(url, "://")
+    real = at > 0
+    rest = F.when(real, F.substring(url, at + 3, F.length(url))).otherwise("")
     host = F.regexp_extract(rest, "^([^/?#]*)", 1)
     path = F.regexp_extract(rest, "^[^/?#]*([^?#]*)", 1)
     lower = F.translate(host, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    site = F.when(real, best_rule(url, site_rules, keys))
-    other = F.when(real, best_rule(url, pattern_rules, keys))
-    out = pages.withColumns({"host": lower, "path": path, "_site": site}).withColumn(
-        "_other", F.when(F.col("_site").isNull(), other)
-    )
-    return out.withColumns(
-        {"rule": F.col("_site.name"), "verdict": F.coalesce("_site.verdict", "_other.verdict", F.lit(default))}
-    ).drop("_site", "_other")
+
+    def best(rules: tuple[Rule, ...]) -> Column:
+        slots = max(1, len(rules))
+        return best_rule(url, rule_index(filed(pages, column, rules), slots), slots)
+
+    site, other = (unused(n, pages.columns) for n in ("_site", "_other"))
+    out = pages.withColumn(site, F.when(real, best(site_rules)))
+    out = out.withColumn(other, F.when(real & F.col(site).isNull(), best(pattern_rules)))
+    verdict = F.coalesce(F.col(site)["verdict"], F.col(other)["verdict"], F.lit(default))
+    return out.withColumns({"host": lower, "path": path, "rule": F.col(site)["name"], "verdict": verdict}).drop(site, other)
