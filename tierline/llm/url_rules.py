@@ -7,10 +7,11 @@ URL's own tokens fetch the rules filed under them, and only those rules run.
 
 from __future__ import annotations
 
+import json
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Runs of these are tokens.
@@ -55,6 +56,11 @@ def tokens(url: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(url, F.lit(""))), F.lit(TOKEN), 0))
 
 
+def table_of(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
+    """A table of what the driver holds, made without Python workers."""
+    return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>")))
+
+
 def filed(urls: DataFrame, column: str, rules: tuple[Rule, ...]) -> DataFrame:
     """Rows (token, rank, name, verdict, pattern): each rule under its literal that the fewest URLs hold (ties: the smallest).
 
@@ -62,16 +68,14 @@ def filed(urls: DataFrame, column: str, rules: tuple[Rule, ...]) -> DataFrame:
     every task, is no longer than the rules.
     """
     spark = urls.sparkSession
-    literals = [(i, t) for i, r in enumerate(rules) for t in r.literals]
-    wanted = spark.createDataFrame(literals, "rule int, token string")
+    literals = [{"rule": i, "token": t} for i, r in enumerate(rules) for t in r.literals]
+    wanted = table_of(spark, literals, "rule int, token string")
     seen = urls.select(F.explode(tokens(named(column))).alias("token"))
     counts = seen.join(F.broadcast(wanted.select("token").distinct()), "token").groupBy("token").count()
     rarest = F.min(F.struct(F.coalesce("count", F.lit(0)).alias("often"), "token")).alias("least")
     keys = wanted.join(counts, "token", "left").groupBy("rule").agg(rarest).select("rule", "least.token")
-    known = spark.createDataFrame(
-        [(i, r.rank, r.name, r.verdict, r.pattern) for i, r in enumerate(rules)],
-        "rule int, rank int, name string, verdict string, pattern string",
-    )
+    known = [{"rule": i, "rank": r.rank, "name": r.name, "verdict": r.verdict, "pattern": r.pattern} for i, r in enumerate(rules)]
+    known = table_of(spark, known, "rule int, rank int, name string, verdict string, pattern string")
     return keys.join(known, "rule").drop("rule")
 
 
