@@ -407,15 +407,3 @@ def test_exact_groups_against_brute_force(spark):
     assert sum(r["kept"] for r in got) == len(best)
     kept = exact_dedup.drop_copies(frame).collect()
     assert sorted(str(r["doc_id"]) for r in kept) == sorted(str(r["doc_id"]) for r in got if r["kept"])
-
-
-def test_ids_do_not_depend_on_what_is_kept_or_indexed_at_once(monkeypatch):
-    path = P.path("piece_bpe_32k.model")
-    texts = [prose(300, i) for i in range(12)] + ["", "x" * 500, "你好  a"]
-    want = [ids.tolist() for ids in pieces.Pieces(path).encode(texts)]
-    monkeypatch.setattr(pieces, "INDEXED_CHARS", 50)
-    monkeypatch.setattr(pieces, "KEPT_PAIRS", 10)
-    few = pieces.Pieces(path)
-    few.kept = 20
-    assert [few.encode([t])[0].tolist() for t in texts] == want
-    assert len(few.codes) < 500

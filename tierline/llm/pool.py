@@ -42,10 +42,10 @@ class PiecePool:
         self.uses = np.zeros(len(lengths), np.int64)
 
     def _shrink(self) -> None:
-        """Keep the pieces met most, half as many as are allowed at most, none that were met but once."""
-        half = self.kept // 2
-        rarest = np.partition(self.uses, -half - 1)[-half - 1] if len(self.uses) > half else 0
-        keep = self.uses > max(1, rarest)
+        """Keep the pieces met more than once."""
+        keep = self.uses > 1
+        if keep.sum() > self.kept // 2:
+            keep[:] = False
         number = np.cumsum(keep) - 1
         self.codes = {p: int(number[c]) for p, c in self.codes.items() if keep[c]}
         lengths = self.lengths[keep]
