@@ -305,6 +305,44 @@ def test_clustering_by_several_columns_skips_files_for_each(spark, table):
     assert upkeep.optimize(spark, f"{table}-both", cluster_by=["article", "customer"]) == 2
 
 
+def test_one_large_folder_is_shared_out_over_tasks(spark, table, monkeypatch):
+    df = spark.range(20000).select(F.concat(F.lit("k"), "id").alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    for columns in (None, "k", ["k", "v"]):
+        path = f"{table}-{columns and len(columns)}"
+        snapshot_table.overwrite(df.repartition(12), path, spread=False)
+        size = upkeep.file_inventory(spark, path).agg(F.sum("bytes")).first()[0]
+        monkeypatch.setattr(upkeep, "TASK_FILE_BYTES", size // 6)
+        assert upkeep.optimize(spark, path, cluster_by=columns) == 1  # the file size aimed at is far above the table's
+        assert 6 <= upkeep.file_inventory(spark, path).count() <= 8
+        assert rows_of(snapshot_table.read(spark, path)) == rows_of(df)
+        assert upkeep.optimize(spark, path, cluster_by=columns) is None
+
+
+@pytest.mark.parametrize("columns", ["k", ["k", "v"]])
+def test_upkeep_sorts_by_columns_not_expressions(spark, table, monkeypatch, columns):
+    rows = [(f"k{i}", i, date(2025, 1 + i % 3, 1 + i % 20)) for i in range(60)]
+    snapshot_table.overwrite(frame(spark, rows), table, ("month(day)",))
+    written, inner = [], snapshot_table.replace_folders
+    monkeypatch.setattr(snapshot_table, "replace_folders", lambda df, *a, **k: written.append(df) or inner(df, *a, **k))
+    upkeep.optimize(spark, table, cluster_by=columns)
+    plan = written[0]._jdf.queryExecution().optimizedPlan().toString()
+    (sort,) = [line for line in plan.splitlines() if line.lstrip("+- :").startswith("Sort [")]
+    assert "day_month" in sort and "(" not in sort
+    now = snapshot_table.read(spark, table)
+    assert now.columns == ["k", "v", "day"] and rows_of(now) == sorted(rows, key=str)
+
+
+def test_parts_of_a_column_are_found_by_halving(spark):
+    cuts = sorted({v * v % 131 for v in range(70)})[:63]
+    df = spark.createDataFrame([(v,) for v in [None, *range(-3, 140)]], "v INT")
+    for some in ([], cuts[:1], cuts[:37], cuts):
+        found = {r["v"]: r["n"] for r in df.select("v", upkeep._part(F.col("v"), some, df.schema["v"].dataType).alias("n")).collect()}
+        assert found == {v: 0 if v is None else sum(c <= v for c in some) for v in found}
+    text = spark.createDataFrame([("a",), ("b",), ("bb",), ("z",)], "v STRING")
+    kind = text.schema["v"].dataType
+    assert [r["n"] for r in text.select(upkeep._part(F.col("v"), ["b", "c"], kind).alias("n")).collect()] == [0, 1, 1, 2]
+
+
 def test_vacuum_counts_age_from_replacement(spark, table):
     t0 = datetime(2025, 1, 1, tzinfo=timezone.utc)
     d = [date(2025, 1, 1), date(2025, 1, 2)]

@@ -90,6 +90,11 @@ def folder_columns(partition_by: tuple[str, ...]) -> dict[str, Column]:
     return out
 
 
+def with_folders(df: DataFrame, partition_by: tuple[str, ...]) -> DataFrame:
+    """``df`` with a column for each folder name; those of months are made for the write and are no part of a table."""
+    return df.withColumns({n: c for n, c in folder_columns(partition_by).items() if n not in partition_by})
+
+
 def versions(spark: SparkSession, table: str) -> list[int]:
     done = files.matching(spark, f"{table}/snapshots/version=*/_SUCCESS")
     return sorted(int(p.split("version=")[-1].split("/")[0]) for p in done)
@@ -189,16 +194,18 @@ def _written_folders(spark: SparkSession, root: str, depth: int) -> list[str]:
 
 
 def _stage_version(
-    df: DataFrame, table: str, partition_by: tuple[str, ...], spread: bool = True
+    df: DataFrame, table: str, partition_by: tuple[str, ...], spread: bool = True, placed: bool = False
 ) -> tuple[int, list[str], int | None]:
-    """Write ``df`` as the next data version without making it visible; also its folders and rows."""
+    """Write ``df`` as the next data version without making it visible; also its folders and rows.
+
+    ``placed`` tells that ``df`` has the columns of ``with_folders`` already.
+    """
     spark = df.sparkSession
     last = latest_version(spark, table)
     version = 0 if last is None else last + 1
     root = f"{table}/data/data_version={version}"
     folders = folder_columns(partition_by)
-    # Where a month divides the table, its column is made for the write and is no part of the table.
-    out = df.withColumns({n: c for n, c in folders.items() if n not in partition_by})
+    out = df if placed else with_folders(df, partition_by)
     if partition_by and spread:
         # Rows of one partition meet in few tasks, so few files are written; adaptive
         # execution cuts a partition that is too big for one task into several.
@@ -437,11 +444,12 @@ def replace_folders(
 ) -> int:
     """New version with the rows of ``df`` in place of some folders of ``snap``.
 
-    Upkeep passes ``packed_by`` to mark what it wrote, so that it does not write it again. ``gained`` is by how
-    many rows the table grows, if the caller knows.
+    Upkeep passes ``packed_by`` to mark what it wrote, so that it does not write it again; its rows come sorted by
+    the columns of ``with_folders``. ``gained`` is by how many rows the table grows, if the caller knows.
     """
+    upkeep = packed_by is not None
     before = _kept_count(df.sparkSession, table, snap.version)
-    version, written, _ = _stage_version(df, table, snap.partition_by, spread)
+    version, written, _ = _stage_version(df, table, snap.partition_by, spread, placed=upkeep)
     gone = set(rewritten)
     lost = [f for f in written if f in snap.folders and f not in gone]
     if lost:
@@ -449,7 +457,7 @@ def replace_folders(
     folders = {f: v for f, v in snap.folders.items() if f not in gone}
     folders.update({f: version for f in written})
     packed = {v: c for v, c in snap.packed.items() if v in folders.values()}
-    if packed_by is not None:
+    if upkeep:
         packed[version] = packed_by
     return _commit(
         df.sparkSession,
@@ -457,7 +465,7 @@ def replace_folders(
         version,
         folders,
         snap.partition_by,
-        df.schema,
+        snap.schema if upkeep else df.schema,
         operation,
         snap.source_version if source_version is None else source_version,
         committed_at,

@@ -17,10 +17,15 @@ from tierline.sources.snapshot_table import Snapshot
 # File size aimed at, and the shortest retention allowed without force.
 TARGET_FILE_BYTES = 1 << 30
 MIN_RETAIN_HOURS = 168
+# A file is the work of one task, which reads its rows from a shuffle at about twice the file's size, so a file
+# stops here. A folder with more than the least is shared out while there are cores.
+TASK_FILE_BYTES = 256 << 20
+LEAST_FILE_BYTES = 32 << 20
 
 # Parts of a column are numbered with so many bits, from so many rows.
 CURVE_BITS = 6
 CURVE_SAMPLE = 10_000
+_ALONG = "_along_curve"
 
 _FOLDER = r"/data/(data_version=\d+(?:/[^/]+=[^/]+)*)/[^/]+$"
 
@@ -54,7 +59,7 @@ def optimize(
     cluster_by: str | Sequence[str] | None = None,
     target_bytes: int = TARGET_FILE_BYTES,
 ) -> int | None:
-    """Rewrite small files into files near ``target_bytes``; rows stay the same.
+    """Rewrite small files into files near ``target_bytes``, or near TASK_FILE_BYTES if that is less; rows stay the same.
 
     With ``cluster_by`` partitions not yet clustered by that column are rewritten, sorted on
     it, so that a filter on it skips files. With several columns rows are ordered along a curve through
@@ -69,6 +74,7 @@ def optimize(
     snap = snapshot_table.snapshot(spark, table)
     columns = [cluster_by] if isinstance(cluster_by, str) else list(cluster_by or ())
     mark = ",".join(columns)
+    file_bytes = min(target_bytes, TASK_FILE_BYTES)
     todo = [
         f
         for f, v in snap.folders.items()
@@ -82,23 +88,26 @@ def optimize(
         .agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"))
     )
     if not columns:
-        sizes = sizes.filter(F.col("files") > F.ceil(F.col("bytes") / F.lit(target_bytes)))
+        sizes = sizes.filter(F.col("files") > F.ceil(F.col("bytes") / F.lit(file_bytes)))
     chosen = {r["folder"]: r["bytes"] for r in sizes.collect()}  # one row per partition folder
     rewritten = [f for f in todo if f"data_version={snap.folders[f]}/{f}".rstrip("/") in chosen]
     if not rewritten:
         return None
-    # At least one task per core while there are folders to go round: a cut through a
+    # At least one task per core while there are folders, or bytes, to go round: a cut through a
     # folder adds one file, and with many small folders files cost more than bytes.
-    pieces = max(
-        math.ceil(sum(chosen.values()) / target_bytes),
-        min(len(rewritten), spark.sparkContext.defaultParallelism),
-    )
+    whole_bytes = sum(chosen.values())
+    shares = max(len(rewritten), whole_bytes // LEAST_FILE_BYTES)
+    pieces = max(math.ceil(whole_bytes / file_bytes), min(shares, spark.sparkContext.defaultParallelism))
     rows = snapshot_table.read_folders(spark, table, snap, rewritten)
-    along = [interleaved(rows, columns)] if len(columns) > 1 else columns
-    order = [*snapshot_table.folder_columns(snap.partition_by).values(), *along]
-    packed = rows.repartitionByRange(pieces, *order, F.xxhash64(*rows.columns))
+    # What rows are sorted by is computed once a row: a sort evaluates its expressions for each comparison.
+    whole = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns])
+    keyed = rows.withColumn(_ALONG, interleaved(rows, columns)) if len(columns) > 1 else rows
+    along = [_ALONG] if len(columns) > 1 else columns
+    order = [F.col(f"`{c}`") for c in [*snapshot_table.folder_columns(snap.partition_by), *along]]
+    packed = snapshot_table.with_folders(keyed, snap.partition_by).repartitionByRange(pieces, *order, whole)
     if order:
         packed = packed.sortWithinPartitions(*order)
+    packed = packed.drop(_ALONG)
     return snapshot_table.replace_folders(
         packed, table, snap, rewritten, snapshot_table.UPKEEP, packed_by=mark, gained=0
     )
@@ -109,9 +118,14 @@ def _cuts(rows: DataFrame, column: str) -> list:
     whole = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns])
     values = rows.select(F.col(f"`{column}`").alias("v"), whole.alias("h")).where("v IS NOT NULL")
     # The rows with the smallest hashes: the same ones in every run, each task sends its first.
-    drawn = sorted(r["v"] for r in values.orderBy("h").limit(CURVE_SAMPLE).collect())
+    drawn = sorted((r["v"] for r in values.orderBy("h").limit(CURVE_SAMPLE).collect()), key=_nan_last)
     parts = 1 << CURVE_BITS
-    return sorted({drawn[len(drawn) * i // parts] for i in range(1, parts)}) if drawn else []
+    return sorted({drawn[len(drawn) * i // parts] for i in range(1, parts)}, key=_nan_last) if drawn else []
+
+
+def _nan_last(value) -> tuple:
+    """Spark's order: NaN is above every number."""
+    return (value != value, value)
 
 
 def interleaved(rows: DataFrame, columns: Sequence[str]) -> Column:
@@ -126,18 +140,26 @@ def interleaved(rows: DataFrame, columns: Sequence[str]) -> Column:
     key = F.lit(0).cast("bigint")
     for i, column in enumerate(columns):
         part = _part(F.col(f"`{column}`"), _cuts(rows, column), rows.schema[column].dataType)
-        for bit in range(CURVE_BITS):
-            one = F.shiftright(part, bit).bitwiseAND(F.lit(1).cast("bigint"))
-            key = key.bitwiseOR(F.shiftleft(one, bit * len(columns) + len(columns) - 1 - i))
+        # Each part's bits, moved to their places, from a table: the part is found once a row.
+        moved = [
+            sum((n >> bit & 1) << (bit * len(columns) + len(columns) - 1 - i) for bit in range(CURVE_BITS))
+            for n in range(1 << CURVE_BITS)
+        ]
+        key = key.bitwiseOR(F.get(F.array(*[F.lit(m).cast("bigint") for m in moved]), part))
     return key
 
 
 def _part(value: Column, cuts: list, kind: DataType) -> Column:
-    """How many of the cuts are not above the value; 0 for NULL."""
+    """How many of the cuts, which are in order, are not above the value; 0 for NULL."""
     if not cuts:
-        return F.lit(0).cast("bigint")
-    below = F.size(F.filter(F.array(*[F.lit(c).cast(kind) for c in cuts]), lambda cut: cut <= value))
-    return F.when(value.isNull(), 0).otherwise(below).cast("bigint")
+        return F.lit(0)
+    sorted_cuts = F.array(*[F.lit(c).cast(kind) for c in cuts])
+    # Halving steps; beyond the last cut there is NULL, which holds nothing back and adds nothing.
+    steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(CURVE_BITS))])
+    found = F.aggregate(
+        steps, F.lit(0), lambda at, step: F.when(F.get(sorted_cuts, at + step - 1) <= value, at + step).otherwise(at)
+    )
+    return F.when(value.isNull(), 0).otherwise(found)
 
 
 def _live(history: list[Snapshot], cutoff: datetime) -> list[Snapshot]:
