@@ -1,0 +1,32 @@
+"""The raw feed over order tables."""
+
+from datetime import datetime
+
+from tierline.sources.retail_feed import raw_feed
+
+
+def test_lines_are_joined_once_with_orders_that_know_their_customers(spark, tmp_path):
+    day = datetime(1997, 1, 2)
+    lines = [(o, n, 5, 2.0, 9.5, day) for o in (1, 2, 3, None) for n in (1, 2)]
+    tables = {
+        "lineitem": (lines, "l_orderkey LONG, l_linenumber INT, l_partkey LONG, l_quantity DOUBLE, l_extendedprice DOUBLE, l_shipdate TIMESTAMP_NTZ"),
+        "orders": ([(1, 10), (1, 11), (2, None), (3, 12), (None, 10)], "o_orderkey LONG, o_custkey LONG"),
+        "customer": ([(10, 1), (11, 1), (12, None), (12, 2), (None, 1)], "c_custkey LONG, c_nationkey INT"),
+        "nation": ([(1, "PERU", 1), (2, "CHINA", 2), (None, "X", 0)], "n_nationkey INT, n_name STRING, n_regionkey INT"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    feed = raw_feed(spark, str(tmp_path))
+    # Copies of an order or a customer multiply its lines, NULL keys match nothing.
+    found = sorted((r["transaction_id"], r["customer_id"], r["country"]) for r in feed.collect())
+    assert found == [
+        (f"T-{o:09}-{n}", f"C-{c:07}", country)
+        for o, n, c, country in sorted([(1, n, c, "PERU") for n in (1, 2) for c in (10, 11)] + [(3, n, 12, "CHINA") for n in (1, 2)])
+    ]
+    above = []
+    for line in feed._jdf.queryExecution().optimizedPlan().toString().splitlines():
+        depth = len(line) - len(line.lstrip("+-: "))
+        above = [a for a in above if a[0] < depth] + [(depth, line.lstrip("+-: "))]
+        if "l_orderkey" in line and "Relation" in line:
+            break
+    assert sum(text.startswith("Join") for _, text in above) == 2  # with orders and with the small nations

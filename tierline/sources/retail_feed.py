@@ -47,10 +47,10 @@ def raw_feed(spark: SparkSession, sf_dir: str, delivered: Column | None = None)
     orders = _table(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
     customers = _table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
     nations = _table(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey")
-    rows = (
-        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+    # Orders find their customers first: many fewer rows than lines, which are then shuffled once at most.
+    placed = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).drop("c_custkey")
+    rows = lines.join(placed, F.col("l_orderkey") == F.col("o_orderkey")).join(
+        nations, F.col("c_nationkey") == F.col("n_nationkey")
     )
 
     def fault(kind: int, broken: Column, sound: Column) -> Column:
