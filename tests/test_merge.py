@@ -197,3 +197,30 @@ def test_bronze_job_names_a_delivery(spark, layout, write_raw):
     write_raw([sale("N-1", 1, "2031-05-01 08:00:00")])
     assert jobs.bronze_job(spark, layout, path, batch_key="may") == 1
     assert jobs.bronze_job(spark, layout, path) == 2
+
+
+def test_only_keys_and_places_are_joined_for_the_decision(spark, table, monkeypatch):
+    snapshot_table.overwrite(frame(spark, [(f"k{i}", i, DAYS[i % 8]) for i in range(40)]), table, ("month(day)",))
+    decided, inner = [], snapshot_table.staged
+    monkeypatch.setattr(snapshot_table, "staged", lambda df, *a: decided.append(df) or inner(df, *a))
+    done = snapshot_table.merge(frame(spark, [("k1", 7, DAYS[1]), ("new", 8, DAYS[0])]), table, ["k"])
+    assert done[1:] == (1, 1, 0)
+    plan = decided[0]._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<k:string,day:date>" in plan and "v:int" not in plan
+
+
+def test_folders_that_only_gain_rows_are_not_joined(spark, table, monkeypatch):
+    rows = [(f"k{i}", i, DAYS[i % 8]) for i in range(40)]
+    snapshot_table.overwrite(frame(spark, rows), table, ("day",))
+    written, inner = [], snapshot_table.replace_folders
+    monkeypatch.setattr(snapshot_table, "replace_folders", lambda df, *a, **k: written.append(df._jdf.queryExecution().optimizedPlan().toString()) or inner(df, *a, **k))
+    new = [("n1", 1, DAYS[0]), ("n2", 2, DAYS[0]), (None, 3, DAYS[2]), (None, 4, DAYS[2])]
+    assert snapshot_table.merge(frame(spark, new), table, ["k"])[1:] == (4, 0, 0)
+    assert "Join" not in written[0]
+    assert rows_of(snapshot_table.read(spark, table)) == sorted([*rows, *new], key=str)
+    # One row changes its day: the folder it leaves is joined, the one it comes to is not.
+    assert snapshot_table.merge(frame(spark, [("k5", 50, DAYS[6])]), table, ["k"])[1:] == (0, 1, 0)
+    assert written[1].count("Join") == 1 and "Union" in written[1]
+    left = [r for r in rows if r[0] != "k5"]
+    assert rows_of(snapshot_table.read(spark, table)) == sorted([*left, *new, ("k5", 50, DAYS[6])], key=str)
+    assert snapshot_table.rows(spark, table) == 44

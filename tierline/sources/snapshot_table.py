@@ -19,6 +19,7 @@ import re
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import reduce
 from typing import NamedTuple
 from urllib.parse import unquote
 
@@ -321,8 +322,8 @@ def merge(
     starts with ``_merge`` serve the conditions and are not stored.
 
     A first join, of the keys and of what the conditions read, decides on every source row; if a key matches
-    more than once, the merge is refused. Only partitions with a change are then read, once, for one full outer
-    join with the rows that change something, and only they are written. Counts come with the decisions.
+    more than once, the merge is refused. Only partitions with a change are then read, once, and only they are
+    written; those that lose or change rows are joined with the rows that tell so. Counts come with the decisions.
     """
     spark = source.sparkSession
     snap = snapshot(spark, table)
@@ -346,7 +347,11 @@ def merge(
     def holds(condition: str) -> Column:
         return F.coalesce(F.expr(condition), F.lit(False))
 
-    met = F.col("t").isNotNull()
+    def picked(side: str) -> Column:
+        return F.struct(*[F.col(f"{side}.{_quoted(c)}").alias(c) for c in columns])
+
+    # The folder tells a match, so that of ``t`` only what the conditions read is joined.
+    met = F.col(_IN).isNotNull()
     action = (
         F.when(met & holds(delete_if), _DELETE)
         .when(met & holds(update_if), _UPDATE)
@@ -354,18 +359,20 @@ def merge(
         .otherwise(_KEEP)
     )
     joined = ours.join(theirs(held()), keys, "left").withColumn(_ACTION, action)
-    decided = joined.select(*keys, "s", _ACTION, F.when(met, F.col(_IN)).alias(_IN), _TO)
-    with staged(decided, "decided") as decisions:
+    decided = joined.select(picked("s").alias("s"), _ACTION, _IN, _TO)
+    with staged(decided, "decided") as written:
+        decisions = written.select(*[F.col(f"s.{_quoted(k)}").alias(k) for k in keys], "s", _ACTION, _IN, _TO)
         _refuse_ambiguous(decisions, keys)
         # One row per pair of partitions and action.
         done = decisions.where(F.col(_ACTION) != _KEEP).groupBy(_ACTION, _IN, _TO).agg(F.count(F.lit(1)).alias("n")).collect()
         counts = {a: sum(r["n"] for r in done if r[_ACTION] == a) for a in (_INSERT, _UPDATE, _DELETE)}
-        places = {r[_IN] for r in done} | {r[_TO] for r in done if r[_ACTION] != _DELETE}
+        losing = {r[_IN] for r in done if r[_ACTION] != _INSERT}
+        places = losing | {r[_TO] for r in done if r[_ACTION] != _DELETE}
         purged = 0
         if delete_unmatched_if != "false":
             loose = theirs(held()).where(holds(delete_unmatched_if)).join(decisions.select(*keys), keys, "left_anti")
             found = {r[_IN]: r["n"] for r in loose.groupBy(_IN).agg(F.count(F.lit(1)).alias("n")).collect()}
-            purged, places = sum(found.values()), places | set(found)
+            purged, losing, places = sum(found.values()), losing | set(found), places | set(found)
         if not places:
             version = snap.version
             if source_version not in (None, snap.source_version):
@@ -375,17 +382,25 @@ def merge(
                 )
             return Merged(version, 0, 0, 0)
         rewritten = [f for f in snap.folders if not by or _folder_text(f) in places]
-        # A row that is matched and stays must not pass for an unmatched one.
-        tells = F.col(_ACTION) != _KEEP
+        # Only folders that lose or change rows are joined; the others and new rows go along as they are.
+        touched = [f for f in rewritten if not by or _folder_text(f) in losing]
+        tells = F.col(_ACTION).isin(_UPDATE, _DELETE)
         if delete_unmatched_if != "false":
+            # A row that is matched and stays must not pass for an unmatched one.
             tells = tells | F.col(_IN).isNotNull()
-        both = theirs(held(rewritten)).join(decisions.where(tells).select(*keys, "s", _ACTION), keys, "full_outer")
-        from_source = F.coalesce(F.col(_ACTION).isin(_INSERT, _UPDATE), F.lit(False))
+        told = decisions.where(tells).select(*keys, "s", _ACTION)
+        updated = F.coalesce(F.col(_ACTION) == _UPDATE, F.lit(False))
         unmatched = F.col(_ACTION).isNull() & ~holds(delete_unmatched_if)
-        stays = F.col("t").isNotNull() & (unmatched | F.coalesce(F.col(_ACTION) == _KEEP, F.lit(False)))
-        merged = both.where(from_source | stays).select(
-            F.when(from_source, F.struct(*[F.col(f"s.{_quoted(c)}").alias(c) for c in columns])).otherwise(F.col("t")).alias("_row")
-        ).select("_row.*")
+        stays = unmatched | F.coalesce(F.col(_ACTION) == _KEEP, F.lit(False))
+        both = theirs(held(touched)).join(told, keys, "left").where(updated | stays)
+        inserts = written.where(F.col(_ACTION) == _INSERT).select("s.*")
+        parts = [both.select(F.when(updated, F.col("s")).otherwise(F.col("t")).alias("_row")).select("_row.*")] if touched else []
+        if len(touched) < len(rewritten):
+            parts.append(held([f for f in rewritten if f not in touched]).select(*[F.col(_quoted(c)) for c in columns]))
+        if counts[_INSERT]:
+            # A table of one folder is not spread by folder when it is written.
+            parts.append(inserts if by else inserts.hint("rebalance"))
+        merged = reduce(DataFrame.unionByName, parts) if parts else held([]).select(*[F.col(_quoted(c)) for c in columns])
         gained = counts[_INSERT] - counts[_DELETE] - purged
         version = replace_folders(
             merged, table, snap, rewritten, operation, source_version, committed_at, spread=True, gained=gained
@@ -394,8 +409,9 @@ def merge(
 
 
 def _refuse_ambiguous(decided: DataFrame, keys: list[str]) -> None:
-    repeated = decided.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.max(F.col(_IN).isNotNull()).alias("met"))
-    if not repeated.where("n > 1 AND met").isEmpty():
+    # All rows of a key are met, or none.
+    repeated = decided.where(F.col(_IN).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    if not repeated.where("n > 1").isEmpty():
         raise DuplicateSourceKeys(f"rows repeat a key of the table: {', '.join(keys)}")
 
 
