@@ -148,3 +148,21 @@ def test_three_deliveries_through_the_jobs(spark, layout):
     assert ways == [increments.REBUILD, increments.INCREMENT, increments.INCREMENT]
     assert {r["customer_id"]: r["orders"] for r in spark.table("gold_customer_ltv").collect()} == {"K-2": 2}
     assert spark.table("gold_daily_revenue").agg(F.sum("gross_revenue")).first()[0] == 13 * 1.25
+
+
+def test_days_are_told_without_a_shuffle(spark):
+    """The days that changed are names of folders: neither the state nor the daily mart is shuffled to find them."""
+    days = [date(2031, 5, 1), date(2031, 5, 2), date(2031, 6, 1), None]
+    rows = spark.createDataFrame([(d,) for d in days], "event_date DATE")
+
+    def on(names, pattern="yyyy-MM-dd"):
+        met = mart_state.on_days(names, pattern)
+        found, rest = rows.where(met), rows.where(~met)
+        assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(str, (r[0] for r in found.union(rest).collect()))) == sorted(map(str, days))
+        return {r[0] for r in found.collect()}
+
+    assert on(["2031-05-02", None]) == {days[1], None}
+    assert on(["2031-05-02"]) == {days[1]}
+    assert on(["2031-05"], "yyyy-MM") == set(days[:2])
+    assert on([None]) == {None} and on([]) == set()

@@ -56,12 +56,15 @@ def ltv_of(totals: DataFrame) -> DataFrame:
     return totals.select("customer_id", amounts.alias("lifetime_revenue"), "orders", "first_seen", "last_seen")
 
 
-def on_days(rows: DataFrame, days: DataFrame, how: str, pattern: str = "yyyy-MM-dd") -> DataFrame:
-    """Rows of ``rows`` on one of ``days`` (left_semi) or on none of them (left_anti); a NULL day is a day.
+def on_days(days: list[str | None], pattern: str = "yyyy-MM-dd") -> Column:
+    """Whether a row is on one of ``days``; a NULL day is a day.
 
-    ``days`` holds texts; with the pattern of a month, months.
+    ``days`` holds texts; with the pattern of a month, months. They are names of folders, which the driver holds
+    anyway, so rows are told apart as they are read and none is shuffled for it.
     """
-    return rows.join(days, F.date_format(rows["event_date"], pattern).eqNullSafe(days["day"]), how)
+    named = [d for d in days if d is not None]
+    day = F.date_format("event_date", pattern)
+    return F.when(day.isNull(), F.lit(None in days)).otherwise(day.isin(named))
 
 
 def moved_totals(totals: DataFrame, removed: DataFrame, added: DataFrame) -> DataFrame:

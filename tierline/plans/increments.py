@@ -88,7 +88,7 @@ def _day(folder: str) -> str | None:
 def _increment(spark: SparkSession, layout: Layout, snap: snapshot_table.Snapshot, changed: list[str]) -> Refreshed:
     at, pattern = snap.version, _PATTERNS[snap.partition_by]
     dates = [_day(f) for f in changed]
-    days = spark.createDataFrame([(d,) for d in dates], "day STRING")
+    on_changed = mart_state.on_days(dates, pattern)
     sales = snapshot_table.read_folders(spark, layout.silver, snap, [f for f in changed if f in snap.folders])
     with staged(mart_state.customer_days(sales), "customer-days", _beyond()) as (new, found):
         if found.get("beyond"):
@@ -97,8 +97,7 @@ def _increment(spark: SparkSession, layout: Layout, snap: snapshot_table.Snapsho
         months = {f"{mart_state.MONTH}={d[:7] if d else snapshot_table.NULL_PARTITION}" for d in dates}
         touched = [f for f in state.folders if f in months]
         before = snapshot_table.read_folders(spark, layout.customer_days, state, touched)
-        kept = mart_state.on_days(before, days, "left_anti", pattern)
-        went = mart_state.on_days(before, days, "left_semi", pattern)
+        kept, went = before.where(~on_changed), before.where(on_changed)
         snapshot_table.replace_folders(
             kept.unionByName(new), layout.customer_days, state, touched, INCREMENT, at, spread=True
         )
@@ -116,7 +115,7 @@ def _increment(spark: SparkSession, layout: Layout, snap: snapshot_table.Snapsho
                 settled = settled.unionByName(mart_state.customer_totals(theirs))
             snapshot_table.overwrite(settled, layout.customer_totals, (), INCREMENT, at)
         _write_ltv(spark, layout, INCREMENT, at)
-        daily = mart_state.on_days(snapshot_table.read(spark, layout.daily_revenue), days, "left_anti", pattern)
+        daily = snapshot_table.read(spark, layout.daily_revenue).where(~on_changed)
         daily = daily.unionByName(mart_state.daily_of(new))
         snapshot_table.overwrite(marts.by_day(daily), layout.daily_revenue, (), INCREMENT, at)
     return Refreshed(INCREMENT, len(changed))
