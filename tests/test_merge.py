@@ -178,6 +178,22 @@ def test_a_batch_replaced_before_silver_saw_it(spark, layout):
     assert snapshot_table.read(spark, layout.silver).count() == 0
 
 
+def test_changes_of_a_replaced_batch_come_from_one_scan(spark, layout):
+    """Bronze and the replaced batch are read once each, not once for every kind of change."""
+    first = [sale("N-1", 1, "2031-05-01 08:00:00"), sale("N-2", 1, "2031-05-02 08:00:00")]
+    second = [sale("N-2", 8, "2031-05-06 09:00:00"), sale("N-4", 4, "2031-05-04 08:00:00"), sale("N-7", 0, "2031-05-04 08:00:00")]
+    again = [sale("N-7", 7, "2031-05-04 08:00:00"), sale("N-7", 6, "2031-05-03 08:00:00")]
+    third = [sale("N-1", 3, "2031-04-01 08:00:00"), sale("N-4", 0, "2031-05-04 08:00:00"), sale("N-8", 8, "2031-05-08 08:00:00")]
+    for key, rows in (("one", first), ("two", second), ("two", again), ("three", third)):
+        append_table.append(raw(spark, rows), layout.bronze, key)
+    changes = jobs.silver_changes(spark, layout, seen=1, upto=3)
+    assert rows_of(changes.select("transaction_id", "quantity", "_merge_change")) == [
+        ("N-1", 3, "competes"), ("N-2", 1, "judged"), ("N-4", None, "gone"), ("N-7", 7, "judged"), ("N-8", 8, "competes"),
+    ]
+    # The keys are read a second time for those that have no copy left.
+    assert changes._jdf.queryExecution().optimizedPlan().toString().count("Relation [") <= 3
+
+
 def test_a_run_cut_off_before_the_old_batch_was_dropped(spark, layout, monkeypatch):
     append_table.append(raw(spark, [sale("N-1", 1, "2031-05-01 08:00:00"), sale("N-2", 1, "2031-05-02 08:00:00")]), layout.bronze, "b")
     jobs.silver_job(spark, layout)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tierline.operators import clean, dashboard
 from tierline.plans import increments
-from tierline.schemas import BRONZE_TRANSACTIONS
+from tierline.schemas import BRONZE_TRANSACTIONS, SILVER_COLUMNS
 from tierline.sources import append_table, snapshot_table, upkeep
 from tierline.sources.changing_feed import read_changing_csv
 from tierline.sources.csv_feed import read_raw_csv, with_lineage
@@ -88,24 +88,27 @@ def silver_job(spark: SparkSession, layout: Layout, full: bool = False) -> dict[
 # How a row of Silver changes: it competes with the copy that is there, it was judged anew, or no copy is left.
 _CHANGE = "_merge_change"
 _COMPETES, _JUDGED, _GONE = "competes", "judged", "gone"
+# Marks rows whose key was in a batch replaced since.
+_OLD = "_replaced"
 
 
 def silver_changes(spark: SparkSession, layout: Layout, seen: int, upto: int) -> DataFrame:
     """What Bronze versions after ``seen`` change in Silver: one row per transaction, with the kind of change.
 
     The keys of batches that were replaced are looked up in all of Bronze; only their copies are cleaned again.
+    Each such key also comes as a row of its own with no time, which is last in order: it stays if no copy is left.
     """
-    new = clean.silver(read_bronze(spark, layout, as_of=upto, after=seen))
     gone = append_table.replaced(spark, layout.bronze, upto=seen)
     if not gone:
-        return new.withColumn(_CHANGE, F.lit(_COMPETES))
+        return clean.silver(read_bronze(spark, layout, as_of=upto, after=seen)).withColumn(_CHANGE, F.lit(_COMPETES))
     old = append_table.read_batches(spark, layout.bronze, gone, BRONZE_TRANSACTIONS)
-    keys = old.where(F.col(clean.KEY).isNotNull()).select(clean.KEY).distinct()
-    left = clean.silver(read_bronze(spark, layout, as_of=upto).join(keys, clean.KEY, "left_semi"))
-    judged = left.withColumn(_CHANGE, F.lit(_JUDGED))
-    none = keys.join(left, clean.KEY, "left_anti").withColumn(_CHANGE, F.lit(_GONE))
-    others = new.join(keys, clean.KEY, "left_anti").withColumn(_CHANGE, F.lit(_COMPETES))
-    return others.unionByName(judged).unionByName(none, allowMissingColumns=True)
+    keys = old.where(F.col(clean.KEY).isNotNull()).select(clean.KEY, F.lit(True).alias(_OLD)).distinct()
+    raw = read_bronze(spark, layout, as_of=upto).join(keys, clean.KEY, "left")
+    raw = raw.where(F.col(_OLD) | (F.col(append_table.VERSION) > seen))
+    copies = clean.clean_rows(clean.typed(raw, (append_table.VERSION, _OLD)))
+    best = clean.deduplicated(copies.unionByName(keys, allowMissingColumns=True))
+    change = F.when(F.col("event_ts").isNull(), _GONE).when(F.col(_OLD), _JUDGED).otherwise(_COMPETES)
+    return clean.derived(best).select(*SILVER_COLUMNS, change.alias(_CHANGE))
 
 
 def _write_rejects(spark: SparkSession, layout: Layout, upto: int) -> None:
