@@ -407,3 +407,17 @@ def test_exact_groups_against_brute_force(spark):
     assert sum(r["kept"] for r in got) == len(best)
     kept = exact_dedup.drop_copies(frame).collect()
     assert sorted(str(r["doc_id"]) for r in kept) == sorted(str(r["doc_id"]) for r in got if r["kept"])
+
+
+def test_new_words_of_a_batch_are_sorted_in_parts(monkeypatch):
+    """The arrays of a batch with many new words are those of a part of them; ids stay the same."""
+    texts = [" ".join(f"w{i * j} übung{i}" for i in range(40)) for j in range(1, 9)] + ["", "x" * 3000]
+    path = P.path("piece_bpe_32k.model")
+    whole = [ids.tolist() for ids in pieces.Pieces(path).encode(texts)]
+    sorted_at_once = []
+    edges = pieces.Pieces.edges
+    monkeypatch.setattr(pieces, "SORTED_AT_ONCE", 500)
+    monkeypatch.setattr(pieces.Pieces, "edges", lambda self, text: sorted_at_once.append(len(text)) or edges(self, text))
+    assert [ids.tolist() for ids in pieces.Pieces(path).encode(texts)] == whole
+    # A word longer than a part is one of its own; a part has a mark after each word.
+    assert len(sorted_at_once) > 3 and sorted(sorted_at_once)[-2] <= 2 * 500

@@ -28,6 +28,10 @@ from tierline.llm.pool import PiecePool, starts_of
 MARK = "▁"
 #: Pairs of pieces that a worker keeps. Only speed depends on it.
 KEPT_PAIRS = 1_000_000
+#: Code points of new words whose suffixes are sorted at once, which bounds a batch's arrays. Only memory and speed depend on it.
+SORTED_AT_ONCE = 150_000
+#: Code points of texts that a task encodes at once.
+ENCODED_CHARS = 500_000
 #: What stands before a position: no path, or a start where any piece fits.
 NOWHERE, ANY = -2, -1
 
@@ -147,6 +151,10 @@ class Pieces(PiecePool):
     def ids_of_new(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.pair) > KEPT_PAIRS:
             self.pair.clear()
+        parts = [self.ids_at_once(new[s]) for s in slices(new, SORTED_AT_ONCE)]
+        return np.concatenate([ids for ids, _ in parts]), np.concatenate([counts for _, counts in parts])
+
+    def ids_at_once(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
         text = "\n".join(new) + "\n"
         start, which = self.edges(text)
         sizes = np.fromiter(map(len, new), np.int64, len(new))
@@ -262,7 +270,7 @@ def encoded(df: DataFrame, model: str, id_column: str = "doc_id", text: str = "t
         model_pieces = pieces(model)
         for batch in batches:
             texts, names = texts_of(batch, "text"), batch.column("id")
-            for s in slices(texts):
+            for s in slices(texts, ENCODED_CHARS):
                 flat, counts = model_pieces.ids(texts[s])
                 ends = np.concatenate(([0], np.cumsum(counts)))
                 each = [flat[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
