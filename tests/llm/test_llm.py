@@ -1,6 +1,7 @@
 """The training-data operators on small inputs, against brute force or the libraries they follow."""
 
 import hashlib
+import random
 import zlib
 from pathlib import Path
 
@@ -421,3 +422,20 @@ def test_new_words_of_a_batch_are_sorted_in_parts(monkeypatch):
     assert [ids.tolist() for ids in pieces.Pieces(path).encode(texts)] == whole
     # A word longer than a part is one of its own; a part has a mark after each word.
     assert len(sorted_at_once) > 3 and sorted(sorted_at_once)[-2] <= 2 * 500
+
+
+def test_new_pieces_are_put_together_and_dealt_out_again():
+    enc = token_files.PieceEncoder(P.path("byte_bpe_50k.json"))
+    calls = {"text": 0, "words": 0}
+    as_text, as_words = enc.as_text, enc.as_words
+    enc.as_text = lambda p: calls.update(text=calls["text"] + 1) or as_text(p)
+    enc.as_words = lambda p: calls.update(words=calls["words"] + len(p)) or as_words(p)
+    draw = random.Random(4)
+    letters = [*"ab  é\n\t日x€😀\x00\x85\xa0 '1s", "<|endoftext|>", " <|endoftext|>", "'s"]
+    texts = ["".join(draw.choices(letters, k=draw.randrange(60))) for _ in range(400)]
+    ids, counts = enc.ids([*texts, "plain words of one text"])
+    ends = np.cumsum(counts)
+    for t, a, b in zip(texts, [0, *ends.tolist()], ends.tolist(), strict=False):
+        assert ids[a:b].tolist() == enc.tokenizer.encode(t, add_special_tokens=False).ids
+    # Only what begins a text, or begins with loose space, goes as words.
+    assert calls["text"] and calls["words"] <= 2 * len(texts)

@@ -24,7 +24,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tierline.llm.common import arrow_map, by_ranges, kept_by, shuffle_width, slices, stored, texts_of
-from tierline.llm.pool import PiecePool, starts_of
+from tierline.llm.pool import PiecePool, runs, starts_of
 from tierline.sources.scratch import scratch_dir
 
 LENGTH = 2048
@@ -33,15 +33,17 @@ END_ID = 0
 #: A space that no text follows at once.
 _LOOSE = re.compile(r" (?:\s|\Z)")
 #: Pieces the library is given at once.
-CALL = 8192
+CALL = 512
 
 
 class PieceEncoder(PiecePool):
     """Encodes texts with a byte-level BPE of the tokenizers library.
 
     A space that a non-space follows always begins a pre-token, so a text may be cut there and
-    its pieces encoded apart. The library takes new pieces in one call, as words that are cut already, and
-    in this thread: Spark runs as many tasks as there are cores.
+    its pieces encoded apart, or put together and encoded as one. The library takes hundreds of new pieces as one text,
+    whose ids are dealt to the pieces by the bytes they stand for, and in this thread: Spark runs as many tasks as
+    there are cores. Pieces that begin otherwise (the first of a text) go as words that are cut already; they are named by
+    themselves after a space, the others by what follows their space.
     """
 
     def __init__(self, path: str):
@@ -50,27 +52,53 @@ class PieceEncoder(PiecePool):
 
         self.tokenizer = Tokenizer.from_file(path)
         super().__init__(np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4"))
+        #: Bytes of each id: a letter of a byte-level piece is one byte, an added token is text.
+        self.bytes = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
+        for piece, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
+            self.bytes[i] = len(piece)
+        for i, token in self.tokenizer.get_added_tokens_decoder().items():
+            self.bytes[i] = len(token.content.encode())
 
     def split(self, text: str) -> list[str]:
         first, *rest = text.split(" ")
-        pieces = [first] if first else []
         if not _LOOSE.search(text):
-            return pieces + [" " + r for r in rest]
+            return [" " + first, *rest] if first else rest
+        pieces = [first] if first else []
         for r in rest:
             if pieces and (not r or r[0].isspace()):
                 pieces[-1] += " " + r
             else:
                 pieces.append(" " + r)
-        return pieces
+        return [p[1:] if p[0] == " " and len(p) > 1 and not p[1].isspace() else " " + p for p in pieces]
 
     def ids_of_new(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        bare = np.fromiter((p[0] == " " for p in pieces), bool, len(pieces))
         ids, lengths = [np.zeros(0, self.dtype)], [np.zeros(0, np.int64)]
-        for i in range(0, len(pieces), CALL):
-            some = pieces[i : i + CALL]
-            got = self.tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
-            ids.append(np.array(got.ids, self.dtype))
-            lengths.append(np.bincount(np.array(got.word_ids, np.int64), minlength=len(some)))
-        return np.concatenate(ids), np.concatenate(lengths)
+        for encode, some in ((self.as_text, [p for p in pieces if p[0] != " "]), (self.as_words, [p[1:] for p in pieces if p[0] == " "])):
+            for i in range(0, len(some), CALL):
+                got, counts = encode(some[i : i + CALL])
+                ids.append(got)
+                lengths.append(counts)
+        counts, place = np.concatenate(lengths), np.argsort(bare, kind="stable")
+        starts, back = starts_of(counts), np.empty_like(place)
+        back[place] = np.arange(len(place))
+        return np.concatenate(ids)[runs(starts[back], counts[back])], counts[back]
+
+    def as_text(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces of a space and a word each, encoded as the text they make up."""
+        text = " " + " ".join(words)
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
+        sizes = np.fromiter(map(len, words if text.isascii() else map(str.encode, words)), np.int64, len(words))
+        after, ends = np.cumsum(self.bytes[ids]), np.cumsum(sizes + 1)
+        # An id that reaches over the end of a piece cannot be dealt out.
+        last = np.searchsorted(after, ends)
+        if last[-1] != len(ids) - 1 or (after[last] != ends).any():
+            return self.as_words([" " + w for w in words])
+        return ids, np.diff(last, prepend=-1)
+
+    def as_words(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        got = self.tokenizer.encode(pieces, is_pretokenized=True, add_special_tokens=False)
+        return np.array(got.ids, self.dtype), np.bincount(np.array(got.word_ids, np.int64), minlength=len(pieces))
 
 
 @cache
