@@ -439,3 +439,24 @@ def test_new_pieces_are_put_together_and_dealt_out_again():
         assert ids[a:b].tolist() == enc.tokenizer.encode(t, add_special_tokens=False).ids
     # Only what begins a text, or begins with loose space, goes as words.
     assert calls["text"] and calls["words"] <= 2 * len(texts)
+
+
+def test_pairs_that_share_a_slot_are_told_apart(monkeypatch):
+    text = ["the unending internationalisation of things, 日本 and all", "another text of the same kind"]
+    whole = pieces.Pieces(P.path("piece_bpe_32k.model")).encode(text)
+    monkeypatch.setattr(pieces, "KEPT_PAIRS", 2)
+    few = pieces.Pieces(P.path("piece_bpe_32k.model"))
+    assert [e.tolist() for e in few.encode(text)] == [e.tolist() for e in whole]
+    assert [few.decode(e.tolist()) for e in whole] == text
+
+
+def test_suffixes_start_from_packed_letters_of_any_width():
+    draw = np.random.default_rng(3)
+    for kinds in (2, 40, 60_000):
+        numbers = draw.integers(1, kinds + 1, 3000)
+        bits = int(kinds + 1).bit_length()
+        head, wide = pieces.packed(numbers, bits, 16)
+        order = pieces.suffixes(head, 16, wide)
+        keys = [tuple(numbers[i : i + 16]) for i in order]
+        assert keys == sorted(keys) and sorted(order.tolist()) == list(range(3000))
+        assert wide * bits < 63 and wide <= 16

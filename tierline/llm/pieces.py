@@ -16,18 +16,19 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from functools import cache
+from sys import intern
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierline.llm.common import arrow_map, kept_by, slices, texts_of
-from tierline.llm.pool import PiecePool, starts_of
+from tierline.llm.common import arrow_map, kept_by, mixed, slices, texts_of
+from tierline.llm.pool import PiecePool, runs, starts_of
 
 MARK = "▁"
-#: Pairs of pieces that a worker keeps. Only speed depends on it.
-KEPT_PAIRS = 1_000_000
+#: Slots for the pairs of pieces that a worker knows, a power of two; a pair that meets a taken slot takes it over. Only speed depends on it.
+KEPT_PAIRS = 1 << 20
 #: Code points of new words whose suffixes are sorted at once, which bounds a batch's arrays. Only memory and speed depend on it.
 SORTED_AT_ONCE = 150_000
 #: Code points of texts that a task encodes at once.
@@ -46,13 +47,15 @@ class Pieces(PiecePool):
         sp = SentencePieceProcessor(model_file=path)
         n = sp.get_piece_size()
         self.text = [sp.id_to_piece(i) for i in range(n)]
-        self.encoded = [p.encode() for p in self.text]
         self.special = {i for i in range(n) if sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)}
         self.byte = {int(self.text[i][1:-1], 16): i for i in range(n) if sp.is_byte(i)}
         skip = self.special | set(self.byte.values())
+        #: What each id adds to a decoded text.
+        self.encoded = [b"" if i in self.special else p.encode() for i, p in enumerate(self.text)]
+        for b, i in self.byte.items():
+            self.encoded[i] = bytes([b])
         self.rank = {self.text[i]: -sp.get_score(i) for i in range(n) if i not in skip}
         self.id = {self.text[i]: i for i in range(n) if i not in skip}
-        self.byte_of = {i: b for b, i in self.byte.items()}
         spans = [p for p in self.id if MARK in p.lstrip(MARK)]
         if spans:
             raise ValueError(f"pieces that reach over a word mark are not supported: {spans[:3]}")
@@ -61,7 +64,7 @@ class Pieces(PiecePool):
         self.pieces = sorted(p for p in self.id if past[p][0] == [p])
         self.past = [past[p] for p in self.pieces]
         self.longest = max(map(len, self.pieces))
-        self.pair: dict[int, bool] = {}
+        self.pair, self.pair_fits = np.full(KEPT_PAIRS, -1, np.int64), np.zeros(KEPT_PAIRS, bool)
         codes = np.zeros((len(self.pieces), self.longest), np.uint32)
         for i, p in enumerate(self.pieces):
             codes[i, : len(p)] = np.frombuffer(p.encode("utf-32-le"), np.uint32)
@@ -84,7 +87,7 @@ class Pieces(PiecePool):
             if best == np.inf:
                 return parts, ranks, firsts, lasts
             at = each.index(best)
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            parts[at : at + 2] = [intern(parts[at] + parts[at + 1])]
 
     def fit(self, left: int, right: int) -> bool:
         """Whether merging both pieces' text leaves just the two: no merge reaches over the border.
@@ -107,50 +110,67 @@ class Pieces(PiecePool):
 
     def fits(self, keys: np.ndarray) -> np.ndarray:
         """Whether merging leaves the two pieces of each key (left * number of pieces + right) as they are."""
-        known, n = self.pair, len(self.pieces)
-        distinct, back = np.unique(keys, return_inverse=True)
-        out = []
-        for k in distinct.tolist():
-            if (good := known.get(k)) is None:
-                good = known[k] = self.fit(k // n, k % n)
-            out.append(good)
-        return np.array(out, bool)[back]
+        n = len(self.pieces)
+        slot = (mixed(keys.astype(np.uint64)) % np.uint64(KEPT_PAIRS)).astype(np.int64)
+        good, new = self.pair_fits[slot], np.flatnonzero(self.pair[slot] != keys)
+        if len(new):
+            distinct, one, back = np.unique(keys[new], return_index=True, return_inverse=True)
+            found = np.fromiter((self.fit(k // n, k % n) for k in distinct.tolist()), bool, len(distinct))
+            good[new] = found[back]
+            taken, last = np.unique(slot[new[one]], return_index=True)
+            self.pair[taken], self.pair_fits[taken] = distinct[last], found[last]
+        return good
 
     def edges(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """(position, index of piece) of every occurrence of every piece, by position, longest first."""
         code = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-        order, depth = suffixes(code, self.longest), self.longest
+        depth = self.longest
+        letters = np.unique(code)
+        bits = len(letters).bit_length()
+        head, wide = packed(np.searchsorted(letters, code) + 1, bits, depth)
+        order = suffixes(head, depth, wide)
+        # Pieces by what their first code points pack to; one that has a letter the text lacks is nowhere.
+        at = np.minimum(np.searchsorted(letters, self.letters), len(letters) - 1)
+        used = np.arange(depth) < self.sizes[:, None]
+        which = np.flatnonzero(((letters[at] == self.letters) | ~used).all(axis=1))
+        numbers = np.where(used, at + 1, 0)[which, :wide]
+        low = np.zeros(len(which), np.int64)
+        for j in range(wide):
+            low = (low << bits) | (numbers[:, j] if j < depth else 0)
+        free = bits * np.maximum(wide - self.sizes[which], 0)
+        heads = head[order]
+        first = np.searchsorted(heads, low)
+        after = np.searchsorted(heads, low + (1 << free) - 1, side="right")
+        # Longer pieces are looked up where their first code points are.
+        long = np.flatnonzero((self.sizes[which] > wide) & (first < after))
         padded = np.concatenate((code, np.zeros(depth, np.uint32)))
-
-        def bound(right: bool) -> np.ndarray:
-            low, high = np.zeros(len(self.pieces), np.int64), np.full(len(self.pieces), len(order))
-            while (open_ := low < high).any():
-                mid = np.minimum((low + high) // 2, len(order) - 1)
-                at = order[mid]
-                less, equal = np.zeros(len(mid), bool), np.ones(len(mid), bool)
-                for j in range(depth):
-                    inside = equal & (j < self.sizes)
-                    if not inside.any():
-                        break
-                    here, want = padded[at + j], self.letters[:, j]
-                    less |= inside & (here < want)
-                    equal &= ~inside | (here == want)
-                go = open_ & (less | (equal if right else False))
-                low = np.where(go, mid + 1, low)
-                high = np.where(open_ & ~go, mid, high)
-            return low
-
-        first, after = bound(False), bound(True)
+        bounds = [self.bound(which[long], first[long], after[long], order, padded, right) for right in (False, True)]
+        first[long], after[long] = bounds
         counts = after - first
-        which = np.repeat(np.arange(len(counts)), counts)
-        skip = first - np.concatenate(([0], np.cumsum(counts)))[:-1]
-        start = order[np.repeat(skip, counts) + np.arange(int(counts.sum()))]
-        by_place = np.lexsort((-self.sizes[which], start))
+        start = order[runs(first, counts)]
+        which = np.repeat(which, counts)
+        by_place = np.argsort(start * (depth + 1) + depth - self.sizes[which])
         return start[by_place], which[by_place]
 
+    def bound(self, which: np.ndarray, low: np.ndarray, high: np.ndarray, order: np.ndarray, padded: np.ndarray, right: bool) -> np.ndarray:
+        """Where the suffixes that begin with each piece begin (``right``: end) in their order, between two bounds."""
+        while (open_ := low < high).any():
+            mid = np.minimum((low + high) // 2, len(order) - 1)
+            at = order[mid]
+            less, equal = np.zeros(len(mid), bool), np.ones(len(mid), bool)
+            for j in range(self.longest):
+                inside = equal & (j < self.sizes[which])
+                if not inside.any():
+                    break
+                here, want = padded[at + j], self.letters[which, j]
+                less |= inside & (here < want)
+                equal &= ~inside | (here == want)
+            go = open_ & (less | (equal if right else False))
+            low = np.where(go, mid + 1, low)
+            high = np.where(open_ & ~go, mid, high)
+        return low
+
     def ids_of_new(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.pair) > KEPT_PAIRS:
-            self.pair.clear()
         parts = [self.ids_at_once(new[s]) for s in slices(new, SORTED_AT_ONCE)]
         return np.concatenate([ids for ids, _ in parts]), np.concatenate([counts for _, counts in parts])
 
@@ -165,7 +185,8 @@ class Pieces(PiecePool):
         last[begins] = ANY
         bare = np.repeat(sizes, sizes + 1) > place
         bare[start[self.sizes[which] == 1]] = False
-        by_place = np.argsort(place[start], kind="stable")
+        # Small numbers are sorted by radix.
+        by_place = np.argsort(place[start].astype(np.min_scalar_type(int(sizes.max()))), kind="stable")
         start, which = start[by_place], which[by_place]
         steps = np.searchsorted(place[start], np.arange(sizes.max() + 1))
         unknown = np.flatnonzero(bare)
@@ -205,12 +226,7 @@ class Pieces(PiecePool):
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids: bytes are put together, marks become spaces, the added first one goes."""
-        raw = bytearray()
-        for i in ids:
-            if i in self.byte_of:
-                raw.append(self.byte_of[i])
-            elif i not in self.special:
-                raw += self.encoded[i]
+        raw = b"".join([self.encoded[i] for i in ids])
         text = raw.decode("utf-8", "replace").replace(MARK, " ")
         return text[1:] if text.startswith(" ") else text
 
@@ -231,22 +247,36 @@ def word_runs(text: str) -> list[str]:
     return out + [MARK * marks] if marks else out
 
 
-def suffixes(code: np.ndarray, depth: int) -> np.ndarray:
-    """Positions in the order of the suffixes there, told apart by at least ``depth`` code points."""
-    rank = code.astype(np.int64)
-    width = 1
-    order = np.argsort(rank, kind="stable")
-    while True:
+def packed(numbers: np.ndarray, bits: int, depth: int) -> tuple[np.ndarray, int]:
+    """At each position the numbers (from 1, of ``bits`` bits) from there on, the first highest, as many as fit and a
+    power of two up to the one that covers ``depth``; also how many. Behind the end are zeros.
+    """
+    out, width = numbers.astype(np.int64), 1
+    while width < depth and 2 * width * bits < 63:
+        ahead = np.zeros_like(out)
+        ahead[:-width] = out[width:]
+        out = (out << (bits * width)) | ahead
+        width *= 2
+    return out, width
+
+
+def suffixes(head: np.ndarray, depth: int, width: int = 1) -> np.ndarray:
+    """Positions in the order of the suffixes there, told apart by at least ``depth`` code points.
+
+    ``head`` holds numbers in the order of the first ``width`` code points. Equal suffixes come in any order.
+    """
+    rank = head.astype(np.int64)
+    order = np.argsort(rank)
+    while width < depth:
         ordered = rank[order]
         rank = np.empty_like(rank)
         rank[order] = np.concatenate(([0], np.cumsum(ordered[1:] != ordered[:-1]))) + 1
-        if width >= depth:
-            return order
         ahead = np.zeros_like(rank)
         ahead[:-width] = rank[width:]
-        rank = rank * (len(code) + 2) + ahead
-        order = np.argsort(rank, kind="stable")
+        rank = rank * (len(head) + 2) + ahead
+        order = np.argsort(rank)
         width *= 2
+    return order
 
 
 @cache
