@@ -2,6 +2,8 @@
 
 import hashlib
 import random
+import subprocess
+import sys
 import zlib
 from pathlib import Path
 
@@ -424,6 +426,12 @@ def test_new_words_of_a_batch_are_sorted_in_parts(monkeypatch):
     assert len(sorted_at_once) > 3 and sorted(sorted_at_once)[-2] <= 2 * 500
 
 
+def test_a_worker_does_not_load_what_only_the_driver_needs():
+    code = "import sys, tierline.llm.pieces; sys.exit('pyspark.ml' in sys.modules)"
+    root = str(Path(pieces.__file__).resolve().parents[2])
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=root)
+
+
 def test_new_pieces_are_put_together_and_dealt_out_again():
     enc = token_files.PieceEncoder(P.path("byte_bpe_50k.json"))
     calls = {"text": 0, "words": 0}
