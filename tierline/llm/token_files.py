@@ -46,11 +46,16 @@ class PieceEncoder(PiecePool):
     themselves after a space, the others by what follows their space.
     """
 
+    # A piece that is not kept is merged anew when it is met again; a kept one takes about 150 bytes.
+    kept = 1_000_000
+
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        # A piece is asked for once, so what the library would keep of it is not met again.
+        self.tokenizer.model._resize_cache(0)
         super().__init__(np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4"))
         #: Bytes of each id: a letter of a byte-level piece is one byte, an added token is text.
         self.bytes = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
