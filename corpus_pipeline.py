@@ -17,6 +17,8 @@ from tierline.llm.common import stored
 
 #: Texts that go to a Python worker together while they are encoded, as executors are fullest then. Results do not depend on it.
 ENCODED_AT_ONCE = {"maxRecordsPerBatch": 2000, "maxBytesPerBatch": 8 << 20}
+#: Words that a worker knows while it encodes, half of the operator's own number for the same reason.
+ENCODED_KEPT = 300_000
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +45,7 @@ def encoded_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Piece ids of every document of the mix."""
     for name, most in ENCODED_AT_ONCE.items():
         spark.conf.set(f"spark.sql.execution.arrow.{name}", most)
-    return pieces.encoded(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return pieces.encoded(docs, public_tokenizers.path("piece_bpe_32k.model"), kept=ENCODED_KEPT)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -19,6 +19,7 @@ from tierline.llm import (
     mixing,
     near_dedup,
     pieces,
+    pool,
     quality,
     spotsigs,
     token_files,
@@ -468,3 +469,49 @@ def test_suffixes_start_from_packed_letters_of_any_width():
         keys = [tuple(numbers[i : i + 16]) for i in order]
         assert keys == sorted(keys) and sorted(order.tolist()) == list(range(3000))
         assert wide * bits < 63 and wide <= 16
+
+
+def test_pieces_met_most_stay_when_all_were_met_often():
+    class Letters(pool.PiecePool):
+        kept = 8
+
+        def split(self, text):
+            return text.split()
+
+        def ids_of_new(self, new):
+            return np.array([ord(p) for p in new], self.dtype), np.ones(len(new), np.int64)
+
+    letters = Letters(np.dtype(np.int32))
+    assert letters.ids(["a b c d e f g h i j " * 2, "c c h h"])[0].tolist() == [ord(c) for c in "abcdefghij" * 2 + "cchh"]
+    asked = []
+    of_new = letters.ids_of_new
+    letters.ids_of_new = lambda new: asked.extend(new) or of_new(new)
+    assert letters.ids(["h a c"])[0].tolist() == [ord(c) for c in "hac"]
+    assert asked == ["a"] and sorted(letters.codes) == ["a", "c", "h"]
+
+
+def test_how_many_pieces_met_once_are_kept(docs, monkeypatch):
+    import corpus_pipeline
+
+    def kept_of(enc, words):
+        asked = []
+        enc.ids_of_new = lambda new: asked.append(len(new)) or (np.zeros(len(new), enc.dtype), np.ones(len(new), np.int64))
+        enc.ids([" ".join(f"w{i}" for i in range(words))])
+        enc.ids(["w0 w5"])
+        return asked, len(enc.codes)
+
+    # Files are encoded faster if known pieces stay.
+    assert kept_of(token_files.PieceEncoder(P.path("byte_bpe_50k.json")), 700_000) == ([700_000], 700_000)
+    # The pipeline's executors are fullest when they encode.
+    given = {}
+    monkeypatch.setattr(corpus_pipeline, "ENCODED_AT_ONCE", {})
+    monkeypatch.setattr(pieces, "encoded", lambda *a, **more: given.update(more))
+    corpus_pipeline.encoded_texts(docs.sparkSession, docs, "")
+    enc = pieces.Pieces(P.path("piece_bpe_32k.model"))
+    enc.kept = given["kept"]
+    assert kept_of(enc, 350_000) == ([350_000, 2], 2)
+
+
+def test_ids_do_not_depend_on_the_words_kept(docs):
+    few, all_ = (pieces.encoded(docs, P.path("piece_bpe_32k.model"), **more) for more in ({"kept": 20}, {}))
+    assert sorted(map(str, few.collect())) == sorted(map(str, all_.collect()))

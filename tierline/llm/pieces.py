@@ -287,17 +287,19 @@ def pieces(path: str) -> Pieces:
 kept_by(__name__, pieces.cache_clear)
 
 
-def encoded(df: DataFrame, model: str, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+def encoded(df: DataFrame, model: str, id_column: str = "doc_id", text: str = "text", kept: int = PiecePool.kept) -> DataFrame:
     """One row for each row of ``df``: id, ids (the pieces of the whole text), n_ids, ids_crc32, decoded_ok.
 
     ``decoded_ok`` says that decoding gives the text back. It does not where a text holds the word
     mark itself, which decodes to a space. A null text is an empty one and has no ids. Ids of rows may be
-    null or repeat. No shuffle; a task holds one slice of a batch, or one long text, at a time.
+    null or repeat. No shuffle; a task holds one slice of a batch, or one long text, at a time. A worker knows about
+    ``kept`` words between batches: fewer take less memory and more time.
     """
     schema = "id long, ids array<int>, n_ids long, ids_crc32 long, decoded_ok boolean"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model_pieces = pieces(model)
+        model_pieces.kept = kept
         for batch in batches:
             texts, names = texts_of(batch, "text"), batch.column("id")
             for s in slices(texts, ENCODED_CHARS):
