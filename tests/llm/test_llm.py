@@ -15,6 +15,7 @@ from tierline.llm import (
     common,
     compact_windows,
     exact_dedup,
+    held,
     licenses,
     mixing,
     near_dedup,
@@ -210,6 +211,84 @@ def test_passages_with_changed_words(spark):
     assert all(r["class_id"] == r["doc_id"] // 2 * 2 for r in rows)
 
 
+def test_equal_passages_need_few_windows(spark, monkeypatch):
+    """Three and more texts share stretches of different lengths: their words are those of brute force, and few windows are listed."""
+    made = {}
+
+    def stored(df, label):
+        table = common.stored(df, label)
+        made[label] = made.get(label, 0) + table.count()
+        return table
+
+    monkeypatch.setattr(compact_windows, "stored", stored)
+    rng = np.random.default_rng(5)
+    source = [prose(400, 60 + i).split() for i in range(3)]
+    texts = []
+    for k in range(40):
+        parts = prose(80, 7000 + k).split()
+        for i in rng.choice(3, 2, replace=False):
+            begin, size = int(rng.integers(0, 250)), int(rng.integers(60, 150))
+            parts += source[i][begin : begin + size] + prose(80, 8000 + 10 * k + int(i)).split()
+        texts.append(parts)
+    # At a smaller similarity than any two texts have without an equal stretch, chains of stretches would be passages too.
+    rows = compact_windows.repeated_passages(spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id LONG, text STRING"), at_least=1.0)
+    got = {(r["doc_id"], w) for r in rows.collect() for w in range(r["first_word"], r["first_word"] + r["n_words"])}
+    holders = {}
+    for k, t in enumerate(texts):
+        for i in range(len(t) - 50):
+            holders.setdefault(tuple(t[i : i + 51]), set()).add(k)
+    want = {(k, w) for k, t in enumerate(texts) for i in range(len(t) - 50) if len(holders[tuple(t[i : i + 51])]) > 1 for w in range(i, i + 51)}
+    assert got == want and len(want) > 2000
+    assert made["windows"] < 300
+
+
+def test_places_that_cannot_hold_a_passage_are_left_out():
+    rng = np.random.default_rng(2)
+    x = rng.integers(2, 1 << 30, 300).astype("<u4")
+    y = rng.integers(1 << 30, 1 << 31, 300).astype("<u4")
+    y[100:160], y[250:254] = x[50:110], x[200:204]
+    y[200:236] = x[250:286]  # 36 shingles are too few at twice the price
+    places = [(60, 110, 20, 20), (201, 251, 20, 20), (105, 155, 20, 20), (260, 210, 10, 20)]
+    assert compact_windows.near_places(x, y, places, 0.8) == [places[0], places[2]]
+    assert compact_windows.passages(x, y, places, 0.8) >= {(50, 110, 100, 160)}
+
+
+def test_what_is_known_of_numbers(spark):
+    rng = np.random.default_rng(3)
+    sources = [(int(s), rng.integers(0, 60, 40).astype(np.uint64), np.sort(rng.integers(3 * s, 3 * s + 4, 40))) for s in range(6)]
+    frame = spark.createDataFrame([(s, bytearray(v.tobytes()), bytearray(o.tobytes())) for s, v, o in sources], "src LONG, value BINARY, owner BINARY")
+
+    def numbers(row):
+        value = common.mixed(np.frombuffer(row["value"], "<u8"))
+        return value, np.frombuffer(row["owner"], "<i8")
+
+    holders = {}
+    for _, v, o in sources:
+        for a, b in zip(v.tolist(), o.tolist(), strict=True):
+            holders.setdefault(a, set()).add(b)
+    replies = held.asked(frame, numbers, True, 240).cache()
+    want = {(min(h), b) for h in holders.values() for b in h if b > min(h)}
+    assert {(r["a"], r["b"]) for r in held.pairs(replies).collect()} == want
+    for row in held.answered(frame, replies).collect():
+        row = row.asDict(recursive=True)
+        value, owner = np.frombuffer(row["value"], "<u8"), np.frombuffer(row["owner"], "<i8")
+        expected = [0 if len(holders[a]) == 1 else 1 if b == min(holders[a]) else 2 for a, b in zip(value.tolist(), owner.tolist(), strict=True)]
+        assert held.told(row, *numbers(row), True).tolist() == expected
+    for row in held.answered(frame, held.asked(frame, numbers, False, 240)).collect():
+        row = row.asDict(recursive=True)
+        known = held.told(row, *numbers(row), False) > 0
+        assert all(k for k, a in zip(known, np.frombuffer(row["value"], "<u8").tolist(), strict=True) if len(holders[a]) > 1)
+    # Marked: odd owners; a number counts where it has a marked owner besides the one asked, or is marked itself and has another.
+    marked = {a: {b >> 1 for b in h if b & 1} for a, h in holders.items()}
+    every = {a: {b >> 1 for b in h} for a, h in holders.items()}
+    for row in held.answered(frame, held.asked(frame, numbers, False, 240, only_marked=True)).collect():
+        row = row.asDict(recursive=True)
+        known = held.told(row, numbers(row)[0], numbers(row)[1] >> 1, False) > 0
+        for k, a, b in zip(known, np.frombuffer(row["value"], "<u8").tolist(), np.frombuffer(row["owner"], "<i8").tolist(), strict=True):
+            own = b >> 1
+            assert k or not (marked[a] - {own} or (own in marked[a] and every[a] - {own}))
+
+
 def test_pieces_follow_the_library(docs):
     from sentencepiece import SentencePieceProcessor
 
